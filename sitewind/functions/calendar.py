@@ -22,21 +22,19 @@ def grain_columns(grain: str) -> list[str]:
     return GRAINS[grain]
 
 
-def utc_date(df: DataFrame, name: str) -> Column:
-    """UTC calendar day of a timestamp column, whatever the session time zone is."""
+def utc_time(df: DataFrame, name: str) -> Column:
+    """A timestamp column as UTC clock time without a zone, whatever the session time zone is.
+    A column that has no zone is taken to be in UTC already."""
+    if isinstance(df.schema[name].dataType, TimestampNTZType):
+        return F.col(name)
     zone = df.sparkSession.conf.get("spark.sql.session.timeZone")
-    if isinstance(df.schema[name].dataType, TimestampNTZType) or zone in _UTC_NAMES:
-        return F.to_date(F.col(name))
-    return F.to_date(F.to_utc_timestamp(F.col(name), zone))
+    local = F.col(name) if zone in _UTC_NAMES else F.to_utc_timestamp(F.col(name), zone)
+    return local.cast("timestamp_ntz")
 
 
-def utc_timestamp(df: DataFrame, name: str) -> Column:
-    """A timestamp column as an instant; one without a zone is taken as UTC."""
-    if not isinstance(df.schema[name].dataType, TimestampNTZType):
-        return F.col(name)
-    zone = df.sparkSession.conf.get("spark.sql.session.timeZone")
-    instant = F.col(name).cast("timestamp")
-    return instant if zone in _UTC_NAMES else F.from_utc_timestamp(instant, zone)
+def utc_date(df: DataFrame, name: str) -> Column:
+    """UTC calendar day of a timestamp column."""
+    return F.to_date(utc_time(df, name))
 
 
 def utc_literal(df: DataFrame, name: str, text: str) -> Column:

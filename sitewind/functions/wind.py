@@ -28,7 +28,9 @@ def sector_index(direction: Column) -> Column:
 
 
 def sector_label(index: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(label) for label in SECTORS]), index + 1)
+    # element_at on an array without NULLs is taken to never be NULL, even for a NULL index.
+    labels = F.array(*[F.lit(label) for label in SECTORS])
+    return F.when(index.isNotNull(), F.element_at(labels, index + 1))
 
 
 # Sines and cosines are summed as whole millionths, which makes the sums exact.

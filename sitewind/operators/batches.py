@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sitewind.operators.ordinal import running_total
@@ -71,8 +71,9 @@ def batch_state_counts(batches: DataFrame, sites: DataFrame) -> DataFrame:
         .groupBy("run_id", "state")
         .agg(F.count(F.lit(1)).alias("n_sites"))
     )
-    states = counts.groupBy("run_id").agg(F.count(F.lit(1)).alias("n_states"))
-    return counts.join(states, "run_id").select("run_id", "state", "n_sites", "n_states")
+    # One row per state: a batch has no more of them than sites.
+    states = F.count(F.lit(1)).over(Window.partitionBy("run_id"))
+    return counts.select("run_id", "state", "n_sites", states.alias("n_states"))
 
 
 def _join_sites(measurements: DataFrame, sites: DataFrame, rows: int, how: str) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sitewind.functions import numbers
+from sitewind.session import pin
 
 FIRST_YEAR = 2009
 LAST_YEAR = 2013
@@ -30,6 +31,9 @@ def site_score(avg_power: DataFrame, bands: int = BANDS) -> DataFrame:
     maximum. All sites score 0 if all are equal; a site without a mean has no score. Score all
     sites at once: scores of different batches do not compare.
     """
+    # The means are read for the bounds and for the scores: what they come from, which may be a
+    # scan of all measurements, must not run twice.
+    avg_power = pin(avg_power)
     bounds = avg_power.agg(F.min("avg_power").alias("low"), F.max("avg_power").alias("high"))
     above = F.col("avg_power") - F.col("low")
     width = (F.col("high") - F.col("low")) / F.lit(float(bands))

@@ -144,8 +144,10 @@ def chart_series(
     points = rows.select(
         "site_id", start_date(grain).alias("date"), F.col(value).alias("value")
     )
-    # A site has at most one row per period here.
-    of_site = Window.partitionBy("site_id")
+    # A site has at most one row per period here. The order serves the sort below, too.
+    of_site = Window.partitionBy("site_id").orderBy("date").rowsBetween(
+        Window.unboundedPreceding, Window.unboundedFollowing
+    )
     shown = (
         points.withColumn("complete", F.max(_all_set(["date", "value"])).over(of_site))
         .where("complete")

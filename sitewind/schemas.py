@@ -12,6 +12,7 @@ from pyspark.sql.types import (
     StringType,
     StructField,
     StructType,
+    TimestampNTZType,
     TimestampType,
 )
 
@@ -30,7 +31,11 @@ ATTRIBUTES = ["density", "power", "pressure", "temperature", "wind_direction", "
 
 MEASUREMENT = _schema(site_id=_LONG, datetime=_TIME, **{name: _DOUBLE for name in ATTRIBUTES})
 
-STORED_MEASUREMENT = StructType([*MEASUREMENT, StructField("site_block", _LONG)])
+# In the compacted dataset, times are UTC clock times.
+STORED_MEASUREMENT = _schema(
+    site_id=_LONG, datetime=TimestampNTZType(), **{name: _DOUBLE for name in ATTRIBUTES},
+    site_block=_LONG,
+)
 
 SITE_TIMEZONE = _schema(
     site_id=_LONG, abbreviation=_TEXT, countryCode=_TEXT, countryName=_TEXT,

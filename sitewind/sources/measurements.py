@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sitewind import schemas
-from sitewind.functions.calendar import utc_literal, utc_timestamp
+from sitewind.functions.calendar import utc_literal, utc_time
 
 SITES_PER_BLOCK = 500
 FILE_BYTES = 512 * 1024 * 1024
@@ -92,12 +92,14 @@ def write_measurements(
 ) -> None:
     """Write the compacted dataset, or replace only the given blocks of it.
 
+    Times are stored as UTC clock times, which Parquet keeps as plain integers with statistics.
+
     Rows are split into ranges of (site, time): the ranges are of equal size even if one site
     holds most rows, and each task writes to one or two blocks. ``input_bytes`` sets the number
     of ranges; without it the session's number of shuffle partitions is used.
     """
     out = measurements.withColumn(
-        "datetime", utc_timestamp(measurements, "datetime")
+        "datetime", utc_time(measurements, "datetime")
     ).withColumn("site_block", site_block(F.col("site_id")))
     if blocks is not None:
         out = out.where(F.col("site_block").isin([int(block) for block in blocks]))

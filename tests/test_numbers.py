@@ -1,0 +1,106 @@
+"""Rounding, exact totals and sectors on hand-made values."""
+
+import math
+from decimal import ROUND_HALF_UP, Decimal
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from sitewind.functions import numbers, wind
+
+
+def _values(spark, values):
+    rows = [(index, value) for index, value in enumerate(values)]
+    return spark.createDataFrame(rows, "i int, x double")
+
+
+def _half_up(value):
+    return int(Decimal(repr(value)).quantize(Decimal("0.01"), ROUND_HALF_UP) * 100)
+
+
+def _hundredths(spark, values):
+    frame = _values(spark, values).select("i", numbers.hundredths(F.col("x")).alias("h"))
+    return [row.h for row in sorted(frame.collect())]
+
+
+def test_rounding_is_half_up_on_the_decimal_text(spark):
+    values = [1.005, 1.255, 0.125, -1.005, 2.675, 0.0, -0.004, 1e12 + 0.125, 123456789.125]
+    assert _hundredths(spark, values) == [_half_up(value) for value in values]
+    rounded = _values(spark, [1.005, 1.255, 0.125, -1.005, 2.675]).select(
+        "i", numbers.rounded(F.col("x")).alias("r")
+    )
+    assert [row.r for row in sorted(rounded.collect())] == [1.01, 1.26, 0.13, -1.01, 2.68]
+
+
+def test_values_without_a_decimal_are_null(spark):
+    values = [math.nan, math.inf, -math.inf, None, 1e16, 1e300]
+    assert _hundredths(spark, values) == [None] * len(values)
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(
+    st.one_of(
+        st.integers(-10**12, 10**12).map(lambda n: n / 1000),
+        st.floats(-1e13, 1e13, allow_nan=False),
+        st.integers(-10**9, 10**9).map(lambda n: math.nextafter(n / 1000, math.inf)),
+    ),
+    min_size=1, max_size=200,
+))
+def test_rounding_equals_decimal_rounding(spark, values):
+    assert _hundredths(spark, values) == [_half_up(value) for value in values]
+
+
+def test_totals_are_exact_and_do_not_overflow(spark):
+    big = 9e15
+    frame = spark.range(3000).select(F.lit(big).alias("x")).union(
+        spark.range(10).select(F.lit(-0.01).alias("x"))
+    )
+    total = frame.select(numbers.hundredths(F.col("x")).alias("h")).agg(
+        numbers.total_of_hundredths(F.col("h")).alias("t")
+    )
+    # 3000 * 9e17 hundredths is far beyond a BIGINT.
+    assert total.first().t == Decimal(9 * 10**15) * 3000 - Decimal("0.10")
+
+
+def test_negative_totals(spark):
+    frame = _values(spark, [-1.5, -2.25, 0.5, None])
+    total = frame.select(numbers.hundredths(F.col("x")).alias("h")).agg(
+        numbers.total_of_hundredths(F.col("h")).alias("t")
+    )
+    assert total.first().t == Decimal("-3.25")
+
+
+BOUNDS = {
+    0.0: "N", 0.004: "N", 0.01: "NNE", 44.99: "NNE", 45.0: "NE", 45.01: "ENE", 89.99: "ENE",
+    90.0: "E", 90.01: "ESE", 134.99: "ESE", 135.0: "SE", 135.01: "SSE", 179.99: "SSE",
+    180.0: "S", 180.01: "SSW", 224.99: "SSW", 225.0: "SW", 225.01: "WSW", 269.99: "WSW",
+    270.0: "W", 270.01: "WNW", 314.99: "WNW", 315.0: "NW", 315.01: "NNW", 359.99: "NNW",
+    359.996: None, 360.0: None, 361.0: None, -1.0: None, -0.01: None, -0.004: "N",
+    math.inf: None, -math.inf: None,
+}
+
+
+def _sectors(spark, values):
+    scaled = _values(spark, values).select("i", numbers.hundredths(F.col("x")).alias("h"))
+    labelled = scaled.select("i", wind.sector_label(wind.sector_index(F.col("h"))).alias("s"))
+    return [row.s for row in sorted(labelled.collect())]
+
+
+def test_sector_bounds(spark):
+    assert _sectors(spark, list(BOUNDS)) == list(BOUNDS.values())
+    assert _sectors(spark, [None, math.nan]) == [None, None]
+
+
+@pytest.mark.parametrize("directions, expected", [
+    ([350.0, 10.0], 0.0), ([90.0, 90.0], 90.0), ([200.0, 220.0], 210.0),
+    ([0.0, 180.0], None), ([None], None), ([359.99, 359.99], 359.99),
+])
+def test_mean_direction_goes_around_north(spark, directions, expected):
+    scaled = _values(spark, directions).select(numbers.hundredths(F.col("x")).alias("h"))
+    mean = scaled.agg(
+        F.sum(wind.direction_sine(F.col("h"))).alias("s"),
+        F.sum(wind.direction_cosine(F.col("h"))).alias("c"),
+    ).select(wind.mean_direction(F.col("s"), F.col("c")).alias("d"))
+    assert mean.first().d == expected

@@ -1,0 +1,158 @@
+"""Site dimension and batches, against plain loops on small inputs."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from sitewind.functions.states import STATE_NAMES, state_lookup
+from sitewind.operators import batches, sites
+from sitewind.operators.ordinal import running_total
+
+SITES = "site_id bigint, state string"
+
+
+def sites_frame(spark, pairs):
+    return spark.createDataFrame(pairs, SITES)
+
+
+def round_robin(pairs):
+    """The plain loop: states in turn, each giving its last remaining site."""
+    remaining = {}
+    for site_id, state in sorted(pairs, key=lambda pair: pair[0]):
+        remaining.setdefault(state, []).append(site_id)
+    sequence = []
+    while any(remaining.values()):
+        for state, left in remaining.items():
+            if left:
+                sequence.append((left.pop(), state))
+    return sequence
+
+
+def assigned(spark, pairs, size):
+    rows = batches.assign_batches(sites_frame(spark, pairs), size).orderBy("pos").collect()
+    assert [row.pos for row in rows] == list(range(len(pairs)))
+    assert [row.run_id for row in rows] == [row.pos // size + 1 for row in rows]
+    return [(row.site_id, row.state) for row in rows]
+
+
+def test_uneven_states_with_a_null_state(spark):
+    pairs = [(5, "A"), (1, "B"), (2, "B"), (3, "B"), (9, "B"), (4, "C"), (8, "C"),
+             (0, None), (6, None), (7, None)]
+    assert assigned(spark, pairs, 4) == round_robin(pairs)
+
+
+def test_batch_cut(spark):
+    pairs = [(site, "A") for site in range(10)]
+    counts = batches.assign_batches(sites_frame(spark, pairs), 4).groupBy("run_id").count()
+    assert sorted(map(tuple, counts.collect())) == [(1, 4), (2, 4), (3, 2)]
+
+
+def test_no_sites(spark):
+    assert assigned(spark, [], 4) == []
+
+
+def test_a_state_with_most_sites_over_many_ranges(spark):
+    choose = random.Random(7)
+    states = ["A"] * 60 + [f"S{n}" for n in range(40)] + [None] * 5
+    pairs = [(site, choose.choice(states)) for site in range(3000)]
+    choose.shuffle(pairs)
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        assert assigned(spark, pairs, 50) == round_robin(pairs)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+
+
+def test_copies_of_a_site_are_all_placed(spark, monkeypatch):
+    monkeypatch.setattr(batches, "_COPIES_PER_PIECE", 3)
+    pairs = [(1, "A")] * 10 + [(2, "A"), (3, "B"), (3, "B"), (4, "B"), (3, "C")]
+    assert assigned(spark, pairs, 4) == round_robin(pairs)
+
+
+def test_a_batch_needs_a_size(spark):
+    with pytest.raises(ValueError):
+        batches.assign_batches(sites_frame(spark, []), 0)
+
+
+def test_running_total_restarts_per_group_and_for_null(spark):
+    frame = spark.createDataFrame(
+        [("x", 1, 5), ("x", 2, 7), ("x", 3, 1), (None, 1, 2), (None, 2, 3)],
+        "g string, o int, w int",
+    )
+    found = running_total(frame, ["g", "o"], F.col("w"), "before", within=["g"])
+    assert sorted(map(tuple, found.select("g", "o", "before").collect()), key=str) == sorted(
+        [("x", 1, 0), ("x", 2, 5), ("x", 3, 12), (None, 1, 0), (None, 2, 2)], key=str
+    )
+    with pytest.raises(ValueError):
+        running_total(frame, ["o", "g"], F.col("w"), "before", within=["g"])
+
+
+def test_batch_state_counts_use_the_first_row_of_a_site(spark):
+    listed = sites_frame(spark, [(1, "B"), (1, "A"), (2, None), (3, None), (4, "A")])
+    plan = spark.createDataFrame(
+        [(1, 1), (2, 1), (3, 1), (4, 2)], "site_id bigint, run_id bigint"
+    )
+    found = batches.batch_state_counts(plan, listed).collect()
+    assert sorted(map(tuple, found), key=str) == sorted(
+        [(1, "A", 1, 2), (1, None, 2, 2), (2, "A", 1, 1)], key=str
+    )
+
+
+def test_measurements_of_a_batch(spark):
+    plan = spark.createDataFrame([(1, 1), (2, 1), (2, 2)], "site_id bigint, run_id bigint")
+    data = spark.createDataFrame(
+        [(1, 10.0), (2, 20.0), (2, 21.0), (3, 30.0)], "site_id bigint, power double"
+    )
+    first = batches.batch_measurements(data, plan, 1)
+    assert sorted(row.power for row in first.collect()) == [10.0, 20.0, 21.0]
+    both = batches.with_run_id(data, plan)
+    assert sorted((row.run_id, row.power) for row in both.collect()) == [
+        (1, 10.0), (1, 20.0), (1, 21.0), (2, 20.0), (2, 21.0),
+    ]
+    some = batches.in_sites(data, spark.createDataFrame([(3,), (3,)], "site_id bigint"))
+    assert [row.power for row in some.collect()] == [30.0]
+
+
+def test_large_site_lists_are_not_broadcast(spark, monkeypatch):
+    plan = spark.createDataFrame([(1, 1), (2, 1), (2, 2)], "site_id bigint, run_id bigint")
+    data = spark.createDataFrame([(1, 10.0), (2, 20.0)], "site_id bigint, power double")
+    hinted = batches.with_run_id(data, plan)
+    assert "ResolvedHint (strategy=broadcast)" in plan_text(hinted)
+    monkeypatch.setattr(batches, "BROADCAST_ROWS", 2)
+    plain = batches.with_run_id(data, plan)
+    assert "ResolvedHint" not in plan_text(plain)
+    assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, hinted.collect()))
+
+
+def plan_text(df):
+    return df._jdf.queryExecution().analyzed().toString()
+
+
+def test_state_extremes(spark):
+    found = sites.state_extremes(sites_frame(spark, [
+        (1, "B"), (2, "B"), (3, "A"), (4, "A"), (5, "D"), (6, "C"),
+        (7, None), (8, None), (9, None),
+    ])).first()
+    assert tuple(found) == ("A", 2, "C", 1, 5)
+
+
+def test_sites_per_state(spark):
+    found = sites.sites_per_state(sites_frame(spark, [(1, "B"), (5, "B"), (3, None)]))
+    assert sorted(map(tuple, found.collect()), key=str) == [("B", 2, 1, 5), (None, 1, 3, 3)]
+
+
+def test_unmatched_sites(spark):
+    zones = spark.createDataFrame([(1,), (2,), (None,)], "site_id bigint")
+    meta = spark.createDataFrame([(1,), (2,), (2,), (3,), (3,)], "site_id bigint")
+    geo = spark.createDataFrame([(1,)], "site_id bigint")
+    found = sites.unmatched_sites(zones, meta, geo).collect()
+    assert dict(map(tuple, found)) == {"site_timezone": 2, "site_3tier": 4, "site_geo": 0}
+
+
+def test_state_names(spark):
+    assert len(STATE_NAMES) == 58
+    lookup = state_lookup(spark)
+    assert lookup.where("code = 'WY'").first().name == "Wyoming"
+    assert lookup.where("code = 'ALL'").first().name == "All"
