@@ -1,8 +1,8 @@
 """Two-place rounding and sums that do not depend on the order of the rows.
 
 A measure is rounded half-up on its decimal text, as ``round(x, 2)`` does, and then handled as
-a BIGINT count of hundredths. Integer sums are exact and stay in generated code, where decimal
-sums allocate one object per row.
+a BIGINT count of hundredths. Integer sums are exact and cheap, where decimal sums allocate an
+object per row.
 """
 
 from __future__ import annotations
@@ -12,11 +12,9 @@ from decimal import Decimal
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Totals leave the aggregates with this type.
-TOTAL_TYPE = "decimal(28,2)"
-
-# A sum is kept as two BIGINTs, of the bits above and below this one, so that neither can
-# overflow for any number of rows a cluster can hold.
+# A total is kept as the sum of the bits above this one and the sum of those below it, both
+# BIGINT. Neither can overflow for any number of rows a cluster can hold, and totals of totals
+# are sums of the same two parts.
 _SPLIT_BITS = 20
 _LOW_MASK = (1 << _SPLIT_BITS) - 1
 
@@ -50,14 +48,30 @@ def rounded(x: Column) -> Column:
     )
 
 
-def total_of_hundredths(x: Column) -> Column:
-    """Aggregate: exact total of a column of hundredths, NULL if all its values are."""
-    high = F.sum(F.shiftright(x, _SPLIT_BITS)).cast("decimal(20,0)")
-    low = F.sum(x.bitwiseAND(F.lit(_LOW_MASK))).cast("decimal(20,0)")
-    total = high * F.lit(Decimal(1 << _SPLIT_BITS)) + low
-    return (total * F.lit(Decimal("0.01"))).cast(TOTAL_TYPE)
+def total_parts(x: Column, name: str) -> list[Column]:
+    """Aggregates: the two parts of the exact total of a column of hundredths."""
+    return [
+        F.sum(F.shiftright(x, _SPLIT_BITS)).alias(f"{name}_high"),
+        F.sum(x.bitwiseAND(F.lit(_LOW_MASK))).alias(f"{name}_low"),
+    ]
+
+
+def sum_of_totals(name: str) -> list[Column]:
+    """Aggregates: the two parts of the sum of totals, NULL if all of them are."""
+    return [F.sum(f"{name}_high").alias(f"{name}_high"), F.sum(f"{name}_low").alias(f"{name}_low")]
+
+
+def total(name: str) -> Column:
+    """A total as DOUBLE: the value nearest to the exact decimal."""
+    high, low = F.col(f"{name}_high"), F.col(f"{name}_low")
+    # Below 2**52 hundredths one division rounds correctly; larger totals go through decimals.
+    small = (F.abs(high) < F.lit(1 << 31)) & (low < F.lit(1 << 51))
+    whole = high.cast("decimal(20,0)") * F.lit(Decimal(1 << _SPLIT_BITS)) + low.cast("decimal(20,0)")
+    return F.when(small, (high * F.lit(1 << _SPLIT_BITS) + low) / F.lit(100.0)).otherwise(
+        (whole * F.lit(Decimal("0.01"))).cast("double")
+    )
 
 
-def mean(total: Column, count: Column) -> Column:
+def mean(name: str, count: Column) -> Column:
     """Mean from an exact total; NULL when nothing was counted."""
-    return F.try_divide(total.cast("double"), count)
+    return F.try_divide(total(name), count)

@@ -27,6 +27,14 @@ def sector_index(direction: Column) -> Column:
     return F.when(inside, (arc * 2 + between).cast("int"))
 
 
+def in_a_sector(direction: Column) -> Column:
+    """Whether an unrounded direction, in degrees, rounds to one that has a sector.
+
+    The same as asking for the sector, but on the plain column: the files can be filtered by it.
+    """
+    return (direction > F.lit(-0.005)) & (direction < F.lit(359.995))
+
+
 def sector_label(index: Column) -> Column:
     # element_at on an array without NULLs is taken to never be NULL, even for a NULL index.
     labels = F.array(*[F.lit(label) for label in SECTORS])

@@ -5,17 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sitewind.functions import wind
+from sitewind.functions import numbers, wind
 from sitewind.operators import rollup
 
 _KEYS = ["wind_direction", "month", "year", "site_id"]
 
 
+def _with_sector(measurements: DataFrame) -> DataFrame:
+    found = measurements.where(wind.in_a_sector(F.col("wind_direction")))
+    return rollup.scaled_measurements(found)
+
+
 def sector_counts(measurements: DataFrame) -> DataFrame:
     """Number of measurements in each sector; those outside every sector are left out."""
     counts = (
-        rollup.scaled_measurements(measurements)
-        .where(F.col("sector").isNotNull())
+        _with_sector(measurements)
         .groupBy("sector")
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -25,8 +29,7 @@ def sector_counts(measurements: DataFrame) -> DataFrame:
 def direction_facts(measurements: DataFrame) -> DataFrame:
     """Totals and counts per sector, month and site: one pass for both tables below."""
     grouped = (
-        rollup.scaled_measurements(measurements)
-        .where(F.col("sector").isNotNull())
+        _with_sector(measurements)
         .groupBy("site_id", "year", "month", "sector")
         .agg(*rollup.measure_totals())
     )
@@ -44,7 +47,7 @@ def sector_means(frame: DataFrame) -> DataFrame:
 
 
 def sector_power(frame: DataFrame) -> DataFrame:
-    return frame.select(*_KEYS, F.col("total_power").cast("double").alias("total_power"))
+    return frame.select(*_KEYS, numbers.total("total_power").alias("total_power"))
 
 
 def daily_and_direction_facts(measurements: DataFrame) -> DataFrame:

@@ -54,7 +54,11 @@ def scaled_measurements(measurements: DataFrame) -> DataFrame:
 def measure_totals() -> list[Column]:
     """Aggregates over :func:`scaled_measurements`: total and count of each measure."""
     return [
-        *[numbers.total_of_hundredths(F.col(name)).alias(f"total_{name}") for name in MEASURES],
+        *[
+            part
+            for name in MEASURES
+            for part in numbers.total_parts(F.col(name), f"total_{name}")
+        ],
         *[F.count(name).alias(f"count_{name}") for name in MEASURES],
     ]
 
@@ -94,10 +98,7 @@ def split_date(daily: DataFrame) -> DataFrame:
 def roll(finer: DataFrame, grain: str) -> DataFrame:
     """Facts of a coarser grain from finer facts."""
     return finer.groupBy("site_id", *grain_columns(grain)).agg(
-        *[
-            F.sum(f"total_{name}").cast(numbers.TOTAL_TYPE).alias(f"total_{name}")
-            for name in MEASURES
-        ],
+        *[part for name in MEASURES for part in numbers.sum_of_totals(f"total_{name}")],
         *[F.sum(f"count_{name}").alias(f"count_{name}") for name in MEASURES],
         *[F.sum(name).alias(name) for name in _DIRECTION_TOTALS],
     )
@@ -105,7 +106,7 @@ def roll(finer: DataFrame, grain: str) -> DataFrame:
 
 def mean_columns() -> list[Column]:
     return [
-        numbers.mean(F.col(f"total_{name}"), F.col(f"count_{name}")).alias(f"avg_{name}")
+        numbers.mean(f"total_{name}", F.col(f"count_{name}")).alias(f"avg_{name}")
         for name in MEASURES
     ]
 
@@ -128,5 +129,5 @@ def mean_directions(frame: DataFrame, grain: str) -> DataFrame:
 def total_power(frame: DataFrame, grain: str) -> DataFrame:
     """Sum of the power samples of the period, as ``daily_power``, ``monthly_power`` or
     ``yearly_power``."""
-    total = F.col("total_power").cast("double")
-    return frame.select("site_id", *grain_columns(grain), total.alias(f"{grain}_power"))
+    total = numbers.total("total_power").alias(f"{grain}_power")
+    return frame.select("site_id", *grain_columns(grain), total)

@@ -20,7 +20,8 @@ def avg_annual_power(
     return (
         yearly_facts.where(F.col("year").between(first_year, last_year))
         .groupBy("site_id")
-        .agg(numbers.mean(F.sum("total_power"), F.count("total_power")).alias("avg_power"))
+        .agg(*numbers.sum_of_totals("total_power"), F.count("total_power_high").alias("n_years"))
+        .select("site_id", numbers.mean("total_power", F.col("n_years")).alias("avg_power"))
     )
 
 

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sitewind.functions import numbers
 from sitewind.operators import batches, direction, rollup, score, serving, sites
 from sitewind.plans.views import view
 from sitewind.sources import dimensions, measurements
@@ -116,7 +117,7 @@ def daily_and_direction_totals(spark, folder):
     return frame.select(
         "kind", "site_id", "year", "month", "day",
         F.col("sector").cast("bigint").alias("sector"),
-        F.col("total_power").cast("double").alias("total_power"),
+        numbers.total("total_power").alias("total_power"),
         F.col("count_wind_speed").alias("n_wind_speed"),
     )
 

@@ -52,24 +52,34 @@ def test_rounding_equals_decimal_rounding(spark, values):
     assert _hundredths(spark, values) == [_half_up(value) for value in values]
 
 
+def _total(frame):
+    """Total of column x, summed in two steps."""
+    parts = frame.withColumn("g", F.monotonically_increasing_id() % 3).groupBy("g").agg(
+        *numbers.total_parts(numbers.hundredths(F.col("x")), "t")
+    )
+    return parts.agg(*numbers.sum_of_totals("t")).select(numbers.total("t")).first()[0]
+
+
 def test_totals_are_exact_and_do_not_overflow(spark):
     big = 9e15
     frame = spark.range(3000).select(F.lit(big).alias("x")).union(
         spark.range(10).select(F.lit(-0.01).alias("x"))
     )
-    total = frame.select(numbers.hundredths(F.col("x")).alias("h")).agg(
-        numbers.total_of_hundredths(F.col("h")).alias("t")
-    )
     # 3000 * 9e17 hundredths is far beyond a BIGINT.
-    assert total.first().t == Decimal(9 * 10**15) * 3000 - Decimal("0.10")
+    assert _total(frame) == float(Decimal(9 * 10**15) * 3000 - Decimal("0.10"))
 
 
 def test_negative_totals(spark):
     frame = _values(spark, [-1.5, -2.25, 0.5, None])
-    total = frame.select(numbers.hundredths(F.col("x")).alias("h")).agg(
-        numbers.total_of_hundredths(F.col("h")).alias("t")
-    )
-    assert total.first().t == Decimal("-3.25")
+    assert _total(frame) == -3.25
+    assert _total(_values(spark, [None])) is None
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.one_of(st.floats(-1e15, 1e15), st.floats(-1e4, 1e4)), min_size=1, max_size=50))
+def test_totals_equal_decimal_totals(spark, values):
+    exact = sum(Decimal(_half_up(value)) for value in values) / 100
+    assert _total(_values(spark, values)) == float(exact)
 
 
 BOUNDS = {
@@ -93,6 +103,16 @@ def test_sector_bounds(spark):
     assert _sectors(spark, [None, math.nan]) == [None, None]
 
 
+def test_the_filter_on_directions_agrees_with_the_sectors(spark):
+    edges = [-0.005, 0.0, 359.995, 360.0]
+    values = [*BOUNDS, None, math.nan, *edges]
+    values += [math.nextafter(edge, way) for edge in edges for way in (-math.inf, math.inf)]
+    frame = _values(spark, values)
+    scaled = frame.where(wind.in_a_sector(F.col("x"))).select("i")
+    kept = {row.i for row in scaled.collect()}
+    assert kept == {i for i, label in enumerate(_sectors(spark, values)) if label is not None}
+
+
 @pytest.mark.parametrize("directions, expected", [
     ([350.0, 10.0], 0.0), ([90.0, 90.0], 90.0), ([200.0, 220.0], 210.0),
     ([0.0, 180.0], None), ([None], None), ([359.99, 359.99], 359.99),
