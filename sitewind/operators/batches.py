@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sitewind.operators.ordinal import running_total
@@ -12,13 +12,40 @@ from sitewind.sources.measurements import site_block
 
 SITES_PER_BATCH = 50
 
-# A batch table of up to this many rows (two BIGINTs each) is sent whole to every executor.
-BROADCAST_ROWS = 2_000_000
+# A site list of up to this many rows (three BIGINTs each) is sent whole to every executor.
+BROADCAST_ROWS = 1_000_000
 
 # Copies of one site row are spread over tasks in pieces of this many.
 _COPIES_PER_PIECE = 65_536
 
 
+def _numbered(sites: DataFrame, order: Column) -> DataFrame:
+    """Rows ``(site_id, state)`` with their ``place`` in the order of their state, from 0."""
+    listed = sites.groupBy("state", "site_id").agg(F.count(F.lit(1)).alias("copies"))
+    placed = running_total(
+        listed.withColumn("order", order), ["state", "order"], F.col("copies"), "place",
+        within=["state"],
+    )
+    # One row per copy, in pieces so that no task makes all copies of a site.
+    end = F.col("place") + F.col("copies") - 1
+    pieces = placed.select(
+        "site_id", "state", end.alias("end"),
+        F.explode(F.sequence("place", end, F.lit(_COPIES_PER_PIECE))).alias("start"),
+    ).repartition("state", "start")
+    piece_end = F.least(F.col("start") + F.lit(_COPIES_PER_PIECE - 1), F.col("end"))
+    return pieces.select(
+        "site_id", "state", F.explode(F.sequence("start", piece_end)).alias("place")
+    )
+
+
+def state_members(sites: DataFrame) -> DataFrame:
+    """The site list of each state as rows ``(state, place, site_id)``, ordered by site id.
+
+    Rows instead of arrays, because a state may hold any number of sites.
+    """
+    return _numbered(sites, F.col("site_id")).select("state", "place", "site_id")
+
+
 def assign_batches(sites: DataFrame, size: int = SITES_PER_BATCH) -> DataFrame:
     """Position and batch of every site, as ``(site_id, state, pos, run_id)``.
 
@@ -29,36 +56,17 @@ def assign_batches(sites: DataFrame, size: int = SITES_PER_BATCH) -> DataFrame:
     """
     if size < 1:
         raise ValueError("a batch needs at least one site")
-    listed = sites.groupBy("state", "site_id").agg(F.count(F.lit(1)).alias("copies"))
-    first = listed.groupBy("state").agg(F.min("site_id").alias("first_id"))
-    listed = listed.join(
+    first = sites.groupBy("state").agg(F.min("site_id").alias("first_id"))
+    turns = _numbered(sites, -F.col("site_id")).withColumnRenamed("place", "turn")
+    turns = turns.join(
         first.withColumnRenamed("state", "of_state"), F.col("state").eqNullSafe(F.col("of_state"))
     ).drop("of_state")
-
-    # Which turns of its state a site takes.
-    ordered = listed.withColumn("from_last", -F.col("site_id"))
-    taken = running_total(
-        ordered, ["state", "from_last"], F.col("copies"), "turn", within=["state"]
-    )
-    turns = _spread(taken).select("site_id", "state", "first_id", "turn")
-
-    placed = running_total(turns, ["turn", "first_id", "state"], F.lit(1), "pos")
-    return placed.select(
+    sequence = running_total(turns, ["turn", "first_id", "state"], F.lit(1), "pos")
+    return sequence.select(
         "site_id", "state", "pos", (F.floor(F.col("pos") / F.lit(size)) + 1).alias("run_id")
     )
 
 
-def _spread(taken: DataFrame) -> DataFrame:
-    """One row per copy, in pieces so that no task makes all copies of a site."""
-    end = F.col("turn") + F.col("copies") - 1
-    pieces = taken.select(
-        "site_id", "state", "first_id", end.alias("end"),
-        F.explode(F.sequence("turn", end, F.lit(_COPIES_PER_PIECE))).alias("start"),
-    ).repartition("state", "start")
-    piece_end = F.least(F.col("start") + F.lit(_COPIES_PER_PIECE - 1), F.col("end"))
-    return pieces.withColumn("turn", F.explode(F.sequence("start", piece_end)))
-
-
 def batch_state_counts(batches: DataFrame, sites: DataFrame) -> DataFrame:
     """Sites of each state within each batch, and the number of states in the batch.
 
@@ -76,35 +84,35 @@ def batch_state_counts(batches: DataFrame, sites: DataFrame) -> DataFrame:
     return counts.select("run_id", "state", "n_sites", states.alias("n_states"))
 
 
-def _join_sites(measurements: DataFrame, sites: DataFrame, rows: int, how: str) -> DataFrame:
-    """Join measurements to ``rows`` or fewer site rows. Where the measurements come in blocks,
-    the block is a key too, which lets the site side prune folders at run time."""
-    keys = ["site_id"]
-    if "site_block" in measurements.columns:
-        keys = ["site_block", "site_id"]
-        sites = sites.withColumn("site_block", site_block(F.col("site_id")))
-    if rows <= BROADCAST_ROWS:
-        sites = F.broadcast(sites)
-    return measurements.join(sites, keys, how)
+def _small(sites: DataFrame) -> DataFrame:
+    """Marked for broadcast, if a count shows that it has no more than ``BROADCAST_ROWS`` rows.
 
+    Beyond that the join shuffles, and adaptive execution splits the sites with most rows.
+    """
+    return F.broadcast(sites) if sites.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else sites
 
-def batch_measurements(
-    measurements: DataFrame, batches: DataFrame, run_id: int, size: int = SITES_PER_BATCH
-) -> DataFrame:
-    """Measurements of the sites of one batch, which has no more than ``size`` sites."""
+
+def batch_measurements(measurements: DataFrame, batches: DataFrame, run_id: int) -> DataFrame:
+    """Measurements of the sites of one batch.
+
+    Where the measurements come in blocks of sites, only the folders of the batch's blocks are
+    read: they are found at run time.
+    """
     sites = batches.where(F.col("run_id") == run_id).select("site_id")
-    return _join_sites(measurements, sites, size, "left_semi")
+    keys = ["site_id"]
+    if "site_block" in measurements.columns:
+        sites = sites.withColumn("site_block", site_block(F.col("site_id")))
+        keys = ["site_block", "site_id"]
+    return measurements.join(_small(sites), keys, "left_semi")
 
 
 def with_run_id(measurements: DataFrame, batches: DataFrame) -> DataFrame:
     """Measurements with the batch their site belongs to, those of unlisted sites left out."""
     sites = pin(batches.select("site_id", "run_id").distinct())
-    rows = sites.limit(BROADCAST_ROWS + 1).count()
-    return _join_sites(measurements, sites, rows, "inner")
+    return measurements.join(_small(sites), "site_id")
 
 
 def in_sites(measurements: DataFrame, sites: DataFrame) -> DataFrame:
     """Measurements of the sites listed in a frame."""
     wanted = pin(sites.select("site_id").distinct())
-    rows = wanted.limit(BROADCAST_ROWS + 1).count()
-    return _join_sites(measurements, wanted, rows, "left_semi")
+    return measurements.join(_small(wanted), "site_id", "left_semi")

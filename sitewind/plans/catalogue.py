@@ -176,6 +176,11 @@ def sites_per_state(spark, folder):
     return sites.sites_per_state(_sites(spark, folder))
 
 
+@_query
+def state_members(spark, folder):
+    return batches.state_members(_sites(spark, folder))
+
+
 @_query
 def state_extremes(spark, folder):
     return sites.state_extremes(_sites(spark, folder))
@@ -274,7 +279,8 @@ def chart_yearly_speed(spark, folder):
 @_query
 def site_wind_power(spark, folder):
     """Power by sector of the default site."""
-    return serving.of_default_site(wind_dir_power(spark, folder), _sites(spark, folder))
+    chosen = serving.of_default_site(_raw(spark, folder), _sites(spark, folder))
+    return direction.sector_power(direction.direction_facts(chosen))
 
 
 @_query

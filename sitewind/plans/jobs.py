@@ -47,7 +47,6 @@ def ingest(
     start: str | None = measurements.PERIOD_START,
     end: str | None = measurements.PERIOD_END,
     blocks: Sequence[int] | None = None,
-    input_bytes: int | None = None,
 ) -> None:
     """Turn raw files of single sites into the compacted dataset at ``path``.
 
@@ -59,7 +58,8 @@ def ingest(
     else:
         raw = measurements.read_raw_files(spark, raw_path, decoder)
     window = measurements.extract_window(raw, start, end)
-    measurements.write_measurements(window, path, blocks, input_bytes)
+    size = measurements.stored_bytes(spark, raw_path)
+    measurements.write_measurements(window, path, blocks, size)
 
 
 def load_site_info(
@@ -91,8 +91,9 @@ def materialise_batches(
     stored = measurements.read_measurements(spark, measurement_path)
     batched = batches.with_run_id(stored, read_table(spark, root, BATCHES))
     keys = ["run_id", "site_id", "datetime"]
+    count = measurements.file_count(measurements.stored_bytes(spark, measurement_path))
     (
-        batched.repartitionByRange(*keys)
+        batched.repartitionByRange(count, *keys)
         .sortWithinPartitions(*keys)
         .write.mode("overwrite")
         .partitionBy("run_id")
@@ -108,8 +109,7 @@ def process_measurements(
     if run_id != ALL_SITES:
         _refuse_mixture(spark, root)
         assigned = read_table(spark, root, BATCHES)
-        listed = assigned.where(F.col("run_id") == run_id).count()
-        stored = batches.batch_measurements(stored, assigned, run_id, listed)
+        stored = batches.batch_measurements(stored, assigned, run_id)
     facts = direction.daily_and_direction_facts(stored)
     _write(facts, root, FACTS, run_id, ["kind", "year"], ["kind", "year", "site_id"])
 

@@ -260,6 +260,12 @@ def oracle_sql() -> dict[str, str]:
                       max(site_id) as last_site_id
                from site_3tier group by state""",
         ),
+        "state_members": _with(
+            ["site_3tier"],
+            """select state, site_id,
+                      row_number() over (partition by state order by site_id) - 1 as place
+               from site_3tier""",
+        ),
         "state_extremes": _with(
             ["state_counts"],
             """select x.state as max_state, x.n as max_sites, y.state as min_state,

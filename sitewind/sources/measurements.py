@@ -16,7 +16,7 @@ from sitewind import schemas
 from sitewind.functions.calendar import utc_literal, utc_time
 
 SITES_PER_BLOCK = 500
-FILE_BYTES = 512 * 1024 * 1024
+FILE_BYTES = 256 * 1024 * 1024
 
 # The period that ingest keeps unless told otherwise, end excluded.
 PERIOD_START = "2007-01-01"
@@ -86,6 +86,17 @@ def extract_years(measurements: DataFrame, first: int, last: int) -> DataFrame:
     return extract_window(measurements, f"{first:04d}-01-01", f"{last + 1:04d}-01-01")
 
 
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Size of all files under a path, from their listing alone."""
+    files = spark.read.format("binaryFile").load(path)
+    return files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+
+
+def file_count(size: int) -> int:
+    """Number of files of a good size that ``size`` bytes make."""
+    return max(1, -(-size // FILE_BYTES))
+
+
 def write_measurements(
     measurements: DataFrame, path: str, blocks: Sequence[int] | None = None,
     input_bytes: int | None = None,
@@ -104,7 +115,7 @@ def write_measurements(
     if blocks is not None:
         out = out.where(F.col("site_block").isin([int(block) for block in blocks]))
     keys = ["site_id", "datetime"]
-    count = [-(-input_bytes // FILE_BYTES)] if input_bytes else []
+    count = [file_count(input_bytes)] if input_bytes else []
     writer = (
         out.repartitionByRange(*count, *keys)
         .sortWithinPartitions(*keys)

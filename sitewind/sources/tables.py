@@ -55,3 +55,10 @@ def write_jdbc(
     if mode not in SAVE_MODES:
         raise ValueError(f"unknown save mode {mode!r}; use one of {SAVE_MODES}")
     df.write.jdbc(url, table, mode=mode, properties=properties or {})
+
+
+def read_jdbc(
+    spark: SparkSession, url: str, table: str, properties: dict[str, str] | None = None
+) -> DataFrame:
+    """Read a database table; Spark passes filters and the choice of columns on to it."""
+    return spark.read.jdbc(url, table, properties=properties or {})

@@ -18,6 +18,7 @@ def spark(tmp_path_factory):
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "4g",
             "spark.sql.shuffle.partitions": "4",
+            "spark.sql.maxMetadataStringLength": "1000",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("checkpoint")),
         },
     )

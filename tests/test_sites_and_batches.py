@@ -115,6 +115,13 @@ def test_measurements_of_a_batch(spark):
     assert [row.power for row in some.collect()] == [30.0]
 
 
+def test_members_of_a_state_are_listed_in_order(spark):
+    found = batches.state_members(sites_frame(spark, [(5, "B"), (1, "B"), (3, None), (5, "B")]))
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(
+        [("B", 0, 1), ("B", 1, 5), ("B", 2, 5), (None, 0, 3)], key=str
+    )
+
+
 def test_large_site_lists_are_not_broadcast(spark, monkeypatch):
     plan = spark.createDataFrame([(1, 1), (2, 1), (2, 2)], "site_id bigint, run_id bigint")
     data = spark.createDataFrame([(1, 10.0), (2, 20.0)], "site_id bigint, power double")

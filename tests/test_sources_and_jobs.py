@@ -159,7 +159,7 @@ def test_ingest_and_lookups(spark, tmp_path, raw_files):
 def test_ingest_of_some_blocks_leaves_the_others(spark, tmp_path, raw_files):
     path = str(tmp_path / "store")
     jobs.ingest(spark, raw_files, path)
-    jobs.ingest(spark, raw_files, path, end="2010-01-01", blocks=[1], input_bytes=10**9)
+    jobs.ingest(spark, raw_files, path, end="2010-01-01", blocks=[1])
     stored = measurements.read_measurements(spark, path)
     assert rows(stored.groupBy("site_id").count()) == [(0, 24), (499, 24), (500, 12), (1203, 24)]
 
