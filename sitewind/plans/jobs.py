@@ -48,7 +48,7 @@ def ingest(
     end: str | None = measurements.PERIOD_END,
     blocks: Sequence[int] | None = None,
 ) -> None:
-    """Turn raw files of single sites into the compacted dataset at ``path``.
+    """Turn raw files of single sites into the dataset at ``path``.
 
     Without a decoder the raw files are Parquet. ``blocks`` replaces only those blocks, from
     whatever raw files their sites have.
@@ -58,8 +58,7 @@ def ingest(
     else:
         raw = measurements.read_raw_files(spark, raw_path, decoder)
     window = measurements.extract_window(raw, start, end)
-    size = measurements.stored_bytes(spark, raw_path)
-    measurements.write_measurements(window, path, blocks, size)
+    measurements.write_measurements(window, path, blocks)
 
 
 def load_site_info(
@@ -87,14 +86,14 @@ def split_batches(
 def materialise_batches(
     spark: SparkSession, measurement_path: str, root: str, path: str
 ) -> None:
-    """Write the measurements as one input set per batch, partitioned by ``run_id``."""
+    """Write the measurements as one input set per batch, partitioned by ``run_id``.
+
+    Each task writes the sites it reads, so the measurements are not shuffled.
+    """
     stored = measurements.read_measurements(spark, measurement_path)
     batched = batches.with_run_id(stored, read_table(spark, root, BATCHES))
-    keys = ["run_id", "site_id", "datetime"]
-    count = measurements.file_count(measurements.stored_bytes(spark, measurement_path))
     (
-        batched.repartitionByRange(count, *keys)
-        .sortWithinPartitions(*keys)
+        batched.sortWithinPartitions("run_id", "site_id", "datetime")
         .write.mode("overwrite")
         .partitionBy("run_id")
         .parquet(path)
@@ -105,9 +104,9 @@ def process_measurements(
     spark: SparkSession, measurement_path: str, root: str, run_id: int = ALL_SITES
 ) -> None:
     """Scan the measurements of one batch, or of all sites, once and write every roll-up."""
+    _refuse_mixture(spark, root, run_id)
     stored = measurements.read_measurements(spark, measurement_path)
     if run_id != ALL_SITES:
-        _refuse_mixture(spark, root)
         assigned = read_table(spark, root, BATCHES)
         stored = batches.batch_measurements(stored, assigned, run_id)
     facts = direction.daily_and_direction_facts(stored)
@@ -117,29 +116,26 @@ def process_measurements(
     write_directions(spark, root, run_id)
 
 
-def _refuse_mixture(spark: SparkSession, root: str) -> None:
-    """A batch next to facts of all sites would count its sites twice."""
+def _refuse_mixture(spark: SparkSession, root: str, run_id: int) -> None:
+    """Batches next to facts of all sites would count their sites twice."""
     if table_exists(spark, root, FACTS):
-        whole = read_table(spark, root, FACTS).where(F.col("run_id") == ALL_SITES)
-        if not whole.isEmpty():
-            raise ValueError(f"{root} holds facts of all sites; use another root for batches")
+        of_all = F.col("run_id") == ALL_SITES
+        other = read_table(spark, root, FACTS).where(~of_all if run_id == ALL_SITES else of_all)
+        if not other.isEmpty():
+            raise ValueError(f"{root} is used for {'batches' if run_id == ALL_SITES else 'all sites'}")
 
 
 def _write(
     df: DataFrame, root: str, name: str, run_id: int, folders: Sequence[str],
     order: Sequence[str],
 ) -> None:
-    """Write the rows of one batch in files sorted for lookups by site.
+    """Replace the rows of one batch, in files sorted for lookups by site.
 
-    Processing all sites replaces the table, a batch only its own partitions.
+    The batch is part of the path and not a column of the rows, because sorting by a column
+    that is constant is left out, and the writer would then sort again in its own way.
     """
-    write_table(
-        df.withColumn("run_id", F.lit(run_id)).repartitionByRange(*order).sortWithinPartitions(*order),
-        root,
-        name,
-        partition_by=["run_id", *folders],
-        replace_partitions=run_id != ALL_SITES,
-    )
+    rows = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    write_table(rows, root, f"{name}/run_id={run_id}", partition_by=folders)
 
 
 def read_facts(spark: SparkSession, root: str, kind: str, run_id: int | None = None) -> DataFrame:

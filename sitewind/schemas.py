@@ -31,7 +31,7 @@ ATTRIBUTES = ["density", "power", "pressure", "temperature", "wind_direction", "
 
 MEASUREMENT = _schema(site_id=_LONG, datetime=_TIME, **{name: _DOUBLE for name in ATTRIBUTES})
 
-# In the compacted dataset, times are UTC clock times.
+# In the stored dataset, times are UTC clock times.
 STORED_MEASUREMENT = _schema(
     site_id=_LONG, datetime=TimestampNTZType(), **{name: _DOUBLE for name in ATTRIBUTES},
     site_block=_LONG,

@@ -1,7 +1,7 @@
-"""Measurement series: raw files of single sites, and the compacted dataset made from them.
+"""Measurement series: raw files of single sites, and the dataset made from them.
 
-The compacted dataset is partitioned by blocks of site ids and sorted by site and time inside
-each file, so that a block filter prunes folders and a site or time filter prunes row groups.
+The dataset is partitioned by blocks of site ids and sorted by site and time inside each file, so
+that a block filter prunes folders and a site or time filter prunes row groups.
 """
 
 from __future__ import annotations
@@ -98,37 +98,47 @@ def file_count(size: int) -> int:
 
 
 def write_measurements(
-    measurements: DataFrame, path: str, blocks: Sequence[int] | None = None,
-    input_bytes: int | None = None,
+    measurements: DataFrame, path: str, blocks: Sequence[int] | None = None
 ) -> None:
-    """Write the compacted dataset, or replace only the given blocks of it.
+    """Write the dataset, or replace only the given blocks of it, without a shuffle.
 
-    Times are stored as UTC clock times, which Parquet keeps as plain integers with statistics.
-
-    Rows are split into ranges of (site, time): the ranges are of equal size even if one site
-    holds most rows, and each task writes to one or two blocks. ``input_bytes`` sets the number
-    of ranges; without it the session's number of shuffle partitions is used.
+    Each task writes the sites it reads: there are no more files than raw files or splits of
+    them. Times are stored as UTC clock times, which Parquet keeps as plain integers with
+    statistics.
     """
-    out = measurements.withColumn(
-        "datetime", utc_time(measurements, "datetime")
-    ).withColumn("site_block", site_block(F.col("site_id")))
+    out = measurements.withColumn("datetime", utc_time(measurements, "datetime")).withColumn(
+        "site_block", site_block(F.col("site_id"))
+    )
     if blocks is not None:
         out = out.where(F.col("site_block").isin([int(block) for block in blocks]))
-    keys = ["site_id", "datetime"]
-    count = [file_count(input_bytes)] if input_bytes else []
-    writer = (
-        out.repartitionByRange(*count, *keys)
-        .sortWithinPartitions(*keys)
+    _write_blocks(out, path, "static" if blocks is None else "dynamic")
+
+
+def compact_measurements(spark: SparkSession, path: str, compacted_path: str) -> None:
+    """Rewrite a dataset of many small files into files of a good size.
+
+    The rows are split into ranges of (site, time) of about equal size, even if one site holds
+    most rows. All rows cross the network once, and the input is read twice, the first time for
+    the bounds of the ranges: worth it for small raw files only.
+    """
+    stored = read_measurements(spark, path)
+    count = file_count(stored_bytes(spark, path))
+    ranges = stored.repartitionByRange(count, "site_id", "datetime")
+    _write_blocks(ranges, compacted_path, "static")
+
+
+def _write_blocks(out: DataFrame, path: str, overwrite: str) -> None:
+    (
+        out.sortWithinPartitions("site_block", "site_id", "datetime")
         .write.mode("overwrite")
+        .option("partitionOverwriteMode", overwrite)
         .partitionBy("site_block")
+        .parquet(path)
     )
-    if blocks is not None:
-        writer = writer.option("partitionOverwriteMode", "dynamic")
-    writer.parquet(path)
 
 
 def read_measurements(spark: SparkSession, path: str) -> DataFrame:
-    """The compacted dataset, with its partition column."""
+    """The dataset, with its partition column."""
     return spark.read.schema(schemas.STORED_MEASUREMENT).parquet(path)
 
 

@@ -156,6 +156,22 @@ def test_ingest_and_lookups(spark, tmp_path, raw_files):
         measurements.extract_window(stored, attributes=["colour"])
 
 
+def test_files_are_sorted_by_site_and_time(spark, tmp_path):
+    path, compacted = str(tmp_path / "store"), str(tmp_path / "compacted")
+    raw = view(spark, FOLDER, "raw_measurement").withColumn("site_id", F.col("site_id") * 100)
+    measurements.write_measurements(raw.repartition(3), path)
+    measurements.compact_measurements(spark, path, compacted)
+    blocks = glob.glob(f"{path}/site_block=*")
+    assert len(blocks) == len(glob.glob(f"{compacted}/site_block=*")) > 1
+    assert len(glob.glob(f"{path}/*/*.parquet")) == 3 * len(blocks)
+    assert len(glob.glob(f"{compacted}/*/*.parquet")) == len(blocks)
+    for file in glob.glob(f"{tmp_path}/*/site_block=*/*.parquet"):
+        keys = pq.ParquetFile(file).read(["site_id", "datetime"]).to_pylist()
+        assert keys == sorted(keys, key=lambda row: (row["site_id"], row["datetime"]))
+    one, other = (measurements.read_measurements(spark, p) for p in (path, compacted))
+    assert one.exceptAll(other).isEmpty() and one.count() == other.count() == raw.count()
+
+
 def test_ingest_of_some_blocks_leaves_the_others(spark, tmp_path, raw_files):
     path = str(tmp_path / "store")
     jobs.ingest(spark, raw_files, path)
@@ -205,6 +221,10 @@ def test_processing_all_sites(spark, store):
             f.name: f.dataType for f in schema
         }, name
 
+    for file in glob.glob(f"{root}/site_facts/*/*/*/*.parquet"):
+        ids = pq.ParquetFile(file).read(["site_id"])["site_id"].to_pylist()
+        assert ids == sorted(ids)
+
     for grain, name in jobs.POWER_TABLES.items():
         expected = rollup.total_power(rollup.facts(raw, grain), grain)
         assert rows(tables.read_table(spark, root, name).select(expected.columns)) == rows(expected)
@@ -244,6 +264,8 @@ def test_batches_add_up_to_all_sites(spark, store, tmp_path):
         tables.read_table(spark, whole, "site_score"))
     with pytest.raises(ValueError):
         jobs.process_measurements(spark, path, whole, 1)
+    with pytest.raises(ValueError):
+        jobs.process_measurements(spark, path, root)
 
 
 def test_materialised_batches(spark, store, tmp_path):
@@ -266,3 +288,18 @@ def test_site_zero_is_served_like_any_other(spark, tmp_path, raw_files):
         (dt.date(2009, 12, 31), sum(range(1, 13)) * 1.0),
         (dt.date(2010, 1, 1), sum(range(13, 25)) * 1.0),
     ]
+
+
+def test_jobs_from_the_command_line(spark, tmp_path, raw_files):
+    import run_job
+
+    store, root = str(tmp_path / "store"), str(tmp_path / "tables")
+    for line in (
+        ["ingest", raw_files, store, "--end", "2010-01-01"],
+        ["compact", store, str(tmp_path / "compacted")],
+        ["process", str(tmp_path / "compacted"), root],
+        ["score", root, "--first-year", "2009"],
+    ):
+        run_job.run(spark, run_job.parse(line))
+    scores = tables.read_table(spark, root, "site_score")
+    assert rows(scores.select("site_id", "site_score")) == [(0, 0), (499, 5), (500, 10), (1203, 1)]
