@@ -10,8 +10,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from sitewind import schemas
-from sitewind.operators import rollup, score, serving
+from sitewind.operators import direction, rollup, score, serving
 from sitewind.plans import jobs
+from sitewind.plans.lookups import SiteTables
 from sitewind.plans.views import view
 from sitewind.sources import dimensions, measurements, tables
 
@@ -278,6 +279,39 @@ def test_materialised_batches(spark, store, tmp_path):
     assert batched.where("run_id = 2").select("site_id").distinct().count() == 4
 
 
+def test_lookups_over_the_result_tables(spark, store):
+    raw, path, root = store
+    jobs.process_measurements(spark, path, root)
+    jobs.score_sites(spark, root, 1997, 2001)
+    info = view(spark, FOLDER, "site_3tier").withColumns(
+        {"lat": F.lit(1.0), "lon": F.lit(2.0), "state": F.lit("Iowa")}
+    )
+    tables.write_table(info, root, "site_info")
+    pages = SiteTables(spark, root)
+
+    assert pages.all_sites().count() == pages.scored_sites().count() == 10
+    for grain in ("daily", "monthly", "yearly"):
+        of_site = F.col("site_id") == 5
+        totals = rollup.total_power(rollup.facts(raw, grain), grain).where(of_site)
+        power = pages.power(grain, 5)
+        assert rows(power) == rows(totals) and power.count() > 0
+        means = rollup.means(rollup.facts(raw, grain), grain).where(of_site)
+        speed = pages.speed(grain, 5)
+        assert rows(speed) == rows(means.select(speed.columns))
+        assert "EqualTo(site_id,5)" in speed._jdf.queryExecution().executedPlan().toString()
+        assert pages.chart(grain, "power", 5).count() == totals.count()
+        assert pages.chart(grain, "speed").count() == rollup.facts(raw, grain).count()
+    sectors = direction.sector_power(direction.direction_facts(raw)).where("site_id = 5")
+    found = pages.sector_power(5)
+    assert rows(found.select(sectors.columns)) == rows(sectors)
+    assert pages.card().first().site_id == 0
+    assert pages.card(7).first().site_id == 7
+    assert pages.map_points("IA").count() == 10
+    assert sum(row.n_sites for row in pages.map_layers("TX").collect()) == 10
+    with pytest.raises(ValueError):
+        pages.chart("daily", "pressure")
+
+
 def test_site_zero_is_served_like_any_other(spark, tmp_path, raw_files):
     path, root = str(tmp_path / "store"), str(tmp_path / "tables")
     jobs.ingest(spark, raw_files, path)
