@@ -6,7 +6,7 @@ import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Calendar days are UTC days, and batch reruns replace only the partitions they write.
+# Times without a zone are UTC, and joins split keys that hold most rows.
 SESSION_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",

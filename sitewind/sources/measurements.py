@@ -6,6 +6,7 @@ that a block filter prunes folders and a site or time filter prunes row groups.
 
 from __future__ import annotations
 
+import io
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import pandas as pd
@@ -22,7 +23,8 @@ FILE_BYTES = 256 * 1024 * 1024
 PERIOD_START = "2007-01-01"
 PERIOD_END = "2015-01-01"
 
-# Reads the content of one raw file: (path, content) -> frames with the measurement columns.
+# Reads the content of one raw file: (path, content) -> frames with the attributes as columns. The
+# time is a column "datetime" or the index; the site may be missing, it is then taken from the path.
 Decoder = Callable[[str, bytes], Iterable[pd.DataFrame]]
 
 
@@ -51,18 +53,35 @@ def read_raw_files(spark: SparkSession, path: str, decoder: Decoder) -> DataFram
     A task holds no more than ``spark.sql.files.maxPartitionBytes`` of content, or one file
     where a single one is larger.
     """
-    columns = schemas.MEASUREMENT.names
 
     def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for name, content in zip(batch["path"], batch["content"]):
                 for frame in decoder(name, content):
-                    yield frame[columns]
+                    yield _as_measurements(name, frame)
 
     files = spark.read.format("binaryFile").load(path).select("path", "content")
     return files.mapInPandas(decode, schemas.MEASUREMENT)
 
 
+def _as_measurements(path: str, frame: pd.DataFrame) -> pd.DataFrame:
+    """A decoded frame with the measurement columns; times without a zone are UTC."""
+    if "datetime" not in frame.columns:
+        frame = frame.rename_axis("datetime").reset_index()
+    times = pd.to_datetime(frame["datetime"], utc=True)
+    site = {} if "site_id" in frame.columns else {"site_id": int(_file_stem(path))}
+    return frame.assign(datetime=times, **site)[schemas.MEASUREMENT.names]
+
+
+def _file_stem(path: str) -> str:
+    return path.rsplit("/", 1)[-1].split(".", 1)[0]
+
+
+def decode_pandas_parquet(path: str, content: bytes) -> Iterator[pd.DataFrame]:
+    """Decoder for Parquet written by pandas with nanosecond times, which Spark refuses."""
+    yield pd.read_parquet(io.BytesIO(content))
+
+
 def extract_window(
     measurements: DataFrame,
     start: str | None = PERIOD_START,

@@ -199,6 +199,33 @@ def test_ingest_with_a_decoder(spark, tmp_path):
     assert rows(stored.groupBy("site_id").agg(F.sum("power"))) == [(3, 25.0), (4, 30.0)]
 
 
+def test_ingest_of_pandas_files_with_a_time_index(spark, tmp_path):
+    folder = tmp_path / "raw"
+    folder.mkdir()
+    for site, zone in [(3, None), (4, "UTC"), (5, "Asia/Tokyo")]:
+        frame = series("2010-01-01", 5, float(site)).set_index("datetime")
+        frame.index = frame.index.tz_localize("UTC").tz_convert(zone).as_unit("ns")
+        frame.rename_axis(None).to_parquet(folder / f"{site}.parquet")
+    path = str(tmp_path / "store")
+    jobs.ingest(spark, str(folder), path, decoder=measurements.decode_pandas_parquet)
+    stored = measurements.read_measurements(spark, path)
+    times = stored.groupBy("site_id").agg(F.min("datetime"), F.max("datetime"))
+    first, last = dt.datetime(2010, 1, 1), dt.datetime(2010, 1, 1, 4)
+    assert rows(times) == [(site, first, last) for site in (3, 4, 5)]
+
+
+def test_ingest_of_narrower_types(spark, tmp_path):
+    folder = tmp_path / "raw"
+    folder.mkdir()
+    frame = series("2010-01-01", 3, 1.0).astype({"power": "float32", "wind_speed": "float32"})
+    frame["power"] = frame["power"] + 0.25
+    frame.to_parquet(folder / "8.parquet", coerce_timestamps="us")
+    path = str(tmp_path / "store")
+    jobs.ingest(spark, str(folder), path)
+    stored = measurements.read_measurements(spark, path)
+    assert sorted(row.power for row in stored.collect()) == [1.25, 2.25, 3.25]
+
+
 @pytest.fixture
 def store(spark, tmp_path):
     """Measurements, site table and batches made from the given tables."""
