@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-# The 50 states, the federal district, five territories and two collective codes.
+# Fixed values, by code: the 50 states, the federal district, five territories, and the codes for
+# all states and the nation.
 STATE_NAMES = {
     "AK": "Alaska",
     "AL": "Alabama",
+    "ALL": "All",
     "AR": "Arkansas",
     "AS": "American Samoa",
     "AZ": "Arizona",
@@ -36,6 +38,7 @@ STATE_NAMES = {
     "MP": "Northern Mariana Islands",
     "MS": "Mississippi",
     "MT": "Montana",
+    "NA": "National",
     "NC": "North Carolina",
     "ND": "North Dakota",
     "NE": "Nebraska",
@@ -62,8 +65,6 @@ STATE_NAMES = {
     "WI": "Wisconsin",
     "WV": "West Virginia",
     "WY": "Wyoming",
-    "ALL": "All",
-    "NA": "National",
 }
 
 

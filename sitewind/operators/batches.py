@@ -89,7 +89,7 @@ def _small(sites: DataFrame) -> DataFrame:
 
     Beyond that the join shuffles, and adaptive execution splits the sites with most rows.
     """
-    return F.broadcast(sites) if sites.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else sites
+    return F.broadcast(sites) if sites.count() <= BROADCAST_ROWS else sites
 
 
 def batch_measurements(measurements: DataFrame, batches: DataFrame, run_id: int) -> DataFrame:

@@ -81,10 +81,10 @@ def facts(measurements: DataFrame, grain: str) -> DataFrame:
         return scaled.groupBy("site_id", *columns).agg(*aggregates)
     # The date is one narrow key instead of three.
     daily = scaled.groupBy("site_id", "date").agg(*aggregates)
-    return split_date(daily)
+    return _split_date(daily)
 
 
-def split_date(daily: DataFrame) -> DataFrame:
+def _split_date(daily: DataFrame) -> DataFrame:
     rest = [name for name in daily.columns if name not in ("site_id", "date")]
     return daily.select(
         "site_id",

@@ -103,14 +103,19 @@ def materialise_batches(
 def process_measurements(
     spark: SparkSession, measurement_path: str, root: str, run_id: int = ALL_SITES
 ) -> None:
-    """Scan the measurements of one batch, or of all sites, once and write every roll-up."""
+    """Scan the measurements of one batch, or of all sites, once and write every roll-up.
+
+    For a batch, the path may also be that of its own input set.
+    """
     _refuse_mixture(spark, root, run_id)
     stored = measurements.read_measurements(spark, measurement_path)
     if run_id != ALL_SITES:
         assigned = read_table(spark, root, BATCHES)
         stored = batches.batch_measurements(stored, assigned, run_id)
-    facts = direction.daily_and_direction_facts(stored)
-    _write(facts, root, FACTS, run_id, ["kind", "year"], ["kind", "year", "site_id"])
+    # Facts are read whole or by year: they are written by the tasks that finish the aggregation,
+    # sorted so that a year is found by row group.
+    facts = direction.daily_and_direction_facts(stored).sortWithinPartitions("kind", "year")
+    write_table(facts, root, f"{FACTS}/run_id={run_id}", partition_by=["kind"])
 
     write_rollups(spark, root, run_id)
     write_directions(spark, root, run_id)
@@ -125,17 +130,14 @@ def _refuse_mixture(spark: SparkSession, root: str, run_id: int) -> None:
             raise ValueError(f"{root} is used for {'batches' if run_id == ALL_SITES else 'all sites'}")
 
 
-def _write(
-    df: DataFrame, root: str, name: str, run_id: int, folders: Sequence[str],
-    order: Sequence[str],
-) -> None:
-    """Replace the rows of one batch, in files sorted for lookups by site.
+def _write(df: DataFrame, root: str, name: str, run_id: int) -> None:
+    """Replace the rows of one batch, in files by year that are sorted for lookups by site.
 
     The batch is part of the path and not a column of the rows, because sorting by a column
     that is constant is left out, and the writer would then sort again in its own way.
     """
-    rows = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    write_table(rows, root, f"{name}/run_id={run_id}", partition_by=folders)
+    rows = df.repartitionByRange("year", "site_id").sortWithinPartitions("year", "site_id")
+    write_table(rows, root, f"{name}/run_id={run_id}", partition_by=["year"])
 
 
 def read_facts(spark: SparkSession, root: str, kind: str, run_id: int | None = None) -> DataFrame:
@@ -151,17 +153,16 @@ def write_rollups(spark: SparkSession, root: str, run_id: int = ALL_SITES) -> No
         if grain != "daily":
             frame = rollup.roll(frame, grain)
         averages = rollup.means(frame, grain, direction=grain != "daily")
-        _write(averages, root, MEAN_TABLES[grain], run_id, ["year"], ["year", "site_id"])
+        _write(averages, root, MEAN_TABLES[grain], run_id)
         powers = rollup.total_power(frame, grain)
-        _write(powers, root, POWER_TABLES[grain], run_id, ["year"], ["year", "site_id"])
+        _write(powers, root, POWER_TABLES[grain], run_id)
 
 
 def write_directions(spark: SparkSession, root: str, run_id: int = ALL_SITES) -> None:
     """Means and power totals per wind direction sector, from the stored direction facts."""
     frame = direction.label_sectors(read_facts(spark, root, "direction", run_id))
-    order = ["year", "site_id"]
-    _write(direction.sector_means(frame), root, SECTOR_MEAN_TABLE, run_id, ["year"], order)
-    _write(direction.sector_power(frame), root, SECTOR_POWER_TABLE, run_id, ["year"], order)
+    _write(direction.sector_means(frame), root, SECTOR_MEAN_TABLE, run_id)
+    _write(direction.sector_power(frame), root, SECTOR_POWER_TABLE, run_id)
 
 
 def score_sites(

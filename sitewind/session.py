@@ -6,11 +6,13 @@ import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Times without a zone are UTC, and joins split keys that hold most rows.
+# Times without a zone are UTC, joins split keys that hold most rows, and checkpoints go when
+# nothing refers to them any more.
 SESSION_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

@@ -249,7 +249,12 @@ def test_processing_all_sites(spark, store):
             f.name: f.dataType for f in schema
         }, name
 
-    for file in glob.glob(f"{root}/site_facts/*/*/*/*.parquet"):
+    for file in glob.glob(f"{root}/site_facts/*/kind=*/*.parquet"):
+        years = pq.ParquetFile(file).read(["year"])["year"].to_pylist()
+        assert years == sorted(years)
+    files = glob.glob(f"{root}/site_total_daily_capacity/run_id=0/year=*/*.parquet")
+    assert len(files) >= 7
+    for file in files:
         ids = pq.ParquetFile(file).read(["site_id"])["site_id"].to_pylist()
         assert ids == sorted(ids)
 
@@ -305,6 +310,13 @@ def test_materialised_batches(spark, store, tmp_path):
     assert batched.count() == raw.count()
     assert batched.where("run_id = 2").select("site_id").distinct().count() == 4
 
+    other = str(tmp_path / "other")
+    tables.write_table(tables.read_table(spark, root, "site_batches"), other, "site_batches")
+    jobs.process_measurements(spark, f"{out}/run_id=2", root, 2)
+    jobs.process_measurements(spark, path, other, 2)
+    for kind in ("daily", "direction"):
+        assert rows(jobs.read_facts(spark, root, kind)) == rows(jobs.read_facts(spark, other, kind))
+
 
 def test_lookups_over_the_result_tables(spark, store):
     raw, path, root = store
