@@ -35,11 +35,11 @@ def site_score(avg_power: DataFrame, bands: int = BANDS) -> DataFrame:
     # The means are read for the bounds and for the scores: what they come from, which may be a
     # scan of all measurements, must not run twice.
     avg_power = pin(avg_power)
-    bounds = avg_power.agg(F.min("avg_power").alias("low"), F.max("avg_power").alias("high"))
-    above = F.col("avg_power") - F.col("low")
-    width = (F.col("high") - F.col("low")) / F.lit(float(bands))
+    bounds = avg_power.agg(
+        F.struct(F.min("avg_power").alias("low"), F.max("avg_power").alias("high"))
+    ).scalar()
+    low, high = bounds.getField("low"), bounds.getField("high")
+    above = F.col("avg_power") - low
+    width = (high - low) / F.lit(float(bands))
     band = F.when(width == 0, above).otherwise(F.try_divide(above, width))
-    # One row on the broadcast side.
-    return avg_power.crossJoin(F.broadcast(bounds)).select(
-        "site_id", "avg_power", F.floor(band).alias("site_score")
-    )
+    return avg_power.select("site_id", "avg_power", F.floor(band).alias("site_score"))

@@ -42,14 +42,14 @@ def scored_sites(site_info: DataFrame, site_score: DataFrame) -> DataFrame:
     return site_info.join(scores, "site_id").select(_MAP_COLUMNS)
 
 
-def default_site(scored: DataFrame) -> DataFrame:
-    """The site shown before one is chosen, as one row ``(site_id)``."""
-    return scored.agg(F.min("site_id").alias("site_id"))
+def default_site(scored: DataFrame) -> Column:
+    """Id of the site shown before one is chosen, as a scalar subquery."""
+    return scored.agg(F.min("site_id")).scalar()
 
 
 def of_default_site(table: DataFrame, scored: DataFrame) -> DataFrame:
-    """Rows of the default site. One row on the broadcast side."""
-    return table.join(F.broadcast(default_site(scored)), "site_id", "left_semi")
+    """Rows of the default site."""
+    return table.where(F.col("site_id") == default_site(scored))
 
 
 def site_card(scored: DataFrame, site_id: int | None = None) -> DataFrame:
@@ -70,18 +70,11 @@ def map_sites(
         state_code = state_code[0] if state_code else None
     if state_code in (None, "", "None"):
         return scored
-    name = lookup.where(F.col("code") == state_code).agg(F.max("name").alias("wanted"))
+    name = lookup.where(F.col("code") == state_code).agg(F.max("name")).scalar()
     complete = _all_set([column for column in _MAP_COLUMNS if column != "site_id"])
-    in_state = F.col("state") == F.col("wanted")
-    # Both broadcast sides are one row.
-    choice = scored.crossJoin(F.broadcast(name)).agg(
-        F.count_if(in_state & complete).alias("n_usable")
-    ).crossJoin(F.broadcast(name))
-    return (
-        scored.crossJoin(F.broadcast(choice))
-        .where((F.col("n_usable") == 0) | in_state)
-        .select(scored.columns)
-    )
+    in_state = F.col("state") == name
+    usable = scored.where(in_state & complete).agg(F.count(F.lit(1))).scalar()
+    return scored.where((usable == 0) | in_state)
 
 
 def _all_set(columns: Sequence[str]) -> Column:

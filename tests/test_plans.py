@@ -36,7 +36,7 @@ def raw(spark):
 def test_no_python_and_no_full_product_in_a_query(spark, name):
     text = plan(queries()[name](spark, FOLDER))
     assert "Python" not in text and "Pandas" not in text
-    assert "CartesianProduct" not in text
+    assert "CartesianProduct" not in text and "NestedLoopJoin" not in text
 
 
 @pytest.mark.parametrize("grain", ["daily", "monthly", "yearly"])
