@@ -63,7 +63,8 @@ def assign_batches(sites: DataFrame, size: int = SITES_PER_BATCH) -> DataFrame:
     ).drop("of_state")
     sequence = running_total(turns, ["turn", "first_id", "state"], F.lit(1), "pos")
     return sequence.select(
-        "site_id", "state", "pos", (F.floor(F.col("pos") / F.lit(size)) + 1).alias("run_id")
+        "site_id", "state", "pos",
+        (F.call_function("div", F.col("pos"), F.lit(size)) + 1).alias("run_id"),
     )
 
 

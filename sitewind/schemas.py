@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
-    DateType,
+    DataType,
     DoubleType,
     IntegerType,
     LongType,
@@ -16,8 +16,8 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
-_LONG, _INT, _DOUBLE, _TEXT, _TIME, _DATE = (
-    LongType(), IntegerType(), DoubleType(), StringType(), TimestampType(), DateType(),
+_LONG, _INT, _DOUBLE, _TEXT, _TIME = (
+    LongType(), IntegerType(), DoubleType(), StringType(), TimestampType(),
 )
 
 
@@ -90,10 +90,27 @@ RESULT_TABLES = {
 }
 
 
+_NUMBER = r"^\s*[+-]?\d+(\.\d*)?\s*$"
+
+
+def _cast(text: Column, kind: DataType) -> Column:
+    """Text as a value of the given type, NULL if it cannot be read as one.
+
+    A number is a time in seconds since 1970, and gives its whole part where an integer is
+    wanted: a file may hold either form.
+    """
+    number = F.when(text.rlike(_NUMBER), text.try_cast("double"))
+    if isinstance(kind, TimestampType):
+        return F.when(number.isNotNull(), number.try_cast(kind)).otherwise(text.try_cast(kind))
+    if isinstance(kind, (IntegerType, LongType)):
+        return F.coalesce(text.try_cast(kind), number.try_cast(kind))
+    return text.try_cast(kind)
+
+
 def typed(df: DataFrame, schema: StructType, headers: dict[str, str] | None = None) -> DataFrame:
     """Project text columns, matched by name, onto ``schema``; unreadable text becomes NULL."""
     headers = headers or {}
     return df.select(*[
-        F.col(f"`{headers.get(field.name, field.name)}`").try_cast(field.dataType).alias(field.name)
+        _cast(F.col(f"`{headers.get(field.name, field.name)}`"), field.dataType).alias(field.name)
         for field in schema
     ])

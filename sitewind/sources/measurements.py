@@ -29,7 +29,7 @@ Decoder = Callable[[str, bytes], Iterable[pd.DataFrame]]
 
 
 def site_block(site_id: Column) -> Column:
-    return F.floor(site_id / F.lit(SITES_PER_BLOCK)).cast("bigint")
+    return F.call_function("div", site_id, F.lit(SITES_PER_BLOCK))
 
 
 def site_blocks(sites: DataFrame) -> DataFrame:

@@ -163,7 +163,7 @@ def test_rows_without_a_time_form_a_group(spark):
 def test_windows_are_in_utc(spark, zone):
     before = spark.conf.get("spark.sql.session.timeZone")
     frame = measurements(spark, [
-        (1, f"{time}", {"power": 1})
+        (1, time, {"power": 1})
         for time in ("2010-12-31 23:59:59", "2011-01-01 00:00:00", "2011-12-31 23:59:59",
                      "2012-01-01 00:00:00")
     ])

@@ -58,6 +58,22 @@ def test_dimension_files(spark, tmp_path):
     }
 
 
+def test_numbers_as_times_and_integers(spark, tmp_path):
+    (tmp_path / "zone.csv").write_text(
+        "site_id,abbreviation,countryCode,countryName,nextAbbreviation,timestamp,dst,dstStart,"
+        "dstEnd,gmtOffset\n"
+        "7.0,CST,US,United States,CDT,1167609600,0,1173600000.0,0,-2.16e4\n"
+        "9007199254740993,CST,US,United States,CDT,99999999999999999999999,0,NaN,,-21600.5\n"
+    )
+    found = dimensions.read_site_timezone(spark, str(tmp_path / "zone.csv"))
+    columns = ["site_id", "timestamp", "dstStart", "dstEnd", "gmtOffset"]
+    assert rows(found.select(columns), "site_id")[0] == (
+        7, dt.datetime(2007, 1, 1), dt.datetime(2007, 3, 11, 8), dt.datetime(1970, 1, 1), None
+    )
+    big = rows(found.select(columns), "site_id")[1]
+    assert (big[0], big[2], big[3], big[4]) == (9007199254740993, None, None, -21600)
+
+
 def test_forecast_file(spark, tmp_path):
     (tmp_path / "f.csv").write_text(
         "site_id,TimeStamp,day_ahead_power,hour_ahead_power,4_hour_ahead_power,"
