@@ -285,7 +285,9 @@ def oracle_sql() -> dict[str, str]:
         "batch_measurements": _with(
             ["raw_measurement", "batches"],
             """select run_id, site_id, count(*) as rows
-               from raw_measurement join batches using (site_id) group by run_id, site_id""",
+               from raw_measurement
+                    join (select distinct run_id, site_id from batches) using (site_id)
+               group by run_id, site_id""",
         ),
         "extract_window": _with(
             ["raw_measurement"],
