@@ -1,7 +1,7 @@
 """The batch jobs: ingest, site dimension, batches, roll-ups, directions and scores.
 
 All tables live under one root folder. Measurements are scanned once: the roll-up job writes the
-daily and the direction facts, and every other table is made from those.
+daily and the direction facts, and every other table is made from those, step by step.
 
 Fact tables are partitioned by the batch they came from (``run_id``), so a batch can be run again
 without touching the others. Batch 0 stands for all sites at once.
@@ -22,6 +22,7 @@ from sitewind.sources.tables import read_table, table_exists, write_table
 ALL_SITES = 0
 
 FACTS = "site_facts"
+COARSER_FACTS = {"monthly": "site_facts_monthly", "yearly": "site_facts_yearly"}
 BATCHES = "site_batches"
 SITE_INFO = "site_info"
 SITE_SCORE = "site_score"
@@ -141,17 +142,25 @@ def _write(df: DataFrame, root: str, name: str, run_id: int) -> None:
 
 
 def read_facts(spark: SparkSession, root: str, kind: str, run_id: int | None = None) -> DataFrame:
-    """Stored facts of kind ``daily`` or ``direction``, of one batch or of all."""
-    rows = read_table(spark, root, FACTS).where(F.col("kind") == kind)
+    """Stored facts, ``daily``, ``monthly``, ``yearly`` or ``direction``, of one batch or of all."""
+    if kind in COARSER_FACTS:
+        rows = read_table(spark, root, COARSER_FACTS[kind])
+    else:
+        rows = read_table(spark, root, FACTS).where(F.col("kind") == kind)
     return rows if run_id is None else rows.where(F.col("run_id") == run_id)
 
 
 def write_rollups(spark: SparkSession, root: str, run_id: int = ALL_SITES) -> None:
-    """Means and power totals by day, month and year, from the stored daily facts."""
+    """Means and power totals by day, month and year, from the stored daily facts.
+
+    The facts of each grain are stored, too, so that none is aggregated twice.
+    """
     frame = read_facts(spark, root, "daily", run_id)
     for grain in GRAINS:
         if grain != "daily":
-            frame = rollup.roll(frame, grain)
+            coarser = rollup.roll(frame, grain)
+            write_table(coarser, root, f"{COARSER_FACTS[grain]}/run_id={run_id}")
+            frame = read_facts(spark, root, grain, run_id)
         averages = rollup.means(frame, grain, direction=grain != "daily")
         _write(averages, root, MEAN_TABLES[grain], run_id)
         powers = rollup.total_power(frame, grain)
@@ -172,7 +181,6 @@ def score_sites(
     last_year: int = score.LAST_YEAR,
 ) -> None:
     """Score all sites, of all batches, relative to each other."""
-    daily = read_facts(spark, root, "daily").where(F.col("year").between(first_year, last_year))
-    yearly = rollup.roll(daily, "yearly")
+    yearly = read_facts(spark, root, "yearly")
     averages = score.avg_annual_power(yearly, first_year, last_year)
     write_table(score.site_score(averages), root, SITE_SCORE)
