@@ -6,11 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sitewind.llm import bpe, simhash
+from sitewind.llm import bpe, sequences, simhash
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [bpe.op8_byte_bpe, simhash.op10_simhash_near_dedup]
+    found = [sequences.op2_token_files, bpe.op8_byte_bpe, simhash.op10_simhash_near_dedup]
     return {query.__name__: query for query in found}
 
 
