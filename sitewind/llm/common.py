@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 # Fixed value: the characters between words.
 SPACE_CLASS = r"[\x20\x09-\x0D]"
-SPACES = " \t\n\x0b\x0c\r"
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,7 +23,7 @@ def text_or_empty(column: str = "text") -> Column:
 
 def word_array(text: Column) -> Column:
     """The words of a text, in order."""
-    return F.filter(F.split(text, f"{SPACE_CLASS}+"), lambda w: w != "")
+    return F.array_remove(F.split(text, f"{SPACE_CLASS}+"), "")
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
