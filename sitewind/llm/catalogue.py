@@ -6,11 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sitewind.llm import bpe, quality, sequences, simhash
+from sitewind.llm import bpe, quality, secrets, sequences, simhash
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [quality.op1_quality_rules, sequences.op2_token_files, bpe.op8_byte_bpe, simhash.op10_simhash_near_dedup]
+    found = [
+        quality.op1_quality_rules,
+        sequences.op2_token_files,
+        bpe.op8_byte_bpe,
+        secrets.op9_secret_scan,
+        simhash.op10_simhash_near_dedup,
+    ]
     return {query.__name__: query for query in found}
 
 

@@ -1,0 +1,84 @@
+import hashlib
+import math
+import random
+import re
+from collections import Counter
+
+import pytest
+
+from sitewind.llm import secrets as S
+
+SCHEMA = "doc_id bigint, text string, secrets string, start string"
+ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A)
+
+
+def brute_base(text):
+    found = []
+    for kind, (name, pattern, group, least) in enumerate(
+        [("assign", ASSIGN, 2, 6), ("access", re.compile("AKIA[A-Z0-9]+"), 0, 20), ("hex", re.compile("[0-9a-f]+"), 0, 24)]
+    ):
+        found += [(m.start(), kind, m.end()) for m in pattern.finditer(text) if len(m[group]) >= least]
+    return sorted(found)
+
+
+def brute_entropy(text, base):
+    found = []
+    for m in re.finditer(r"(?<![A-Za-z0-9+/=_-])[A-Za-z0-9+/=_-]{20,}", text):
+        c = m[0]
+        if any(re.search(p, c) for p in S.ALLOWED.values()):
+            continue
+        bits = next(b for p, b in S.CLASSES.values() if re.search(p, c))
+        spans = []
+        for i in range(len(c) - 19):
+            n = Counter(c[i : i + 20])
+            if -sum(v / 20 * math.log2(v / 20) for v in n.values()) >= bits - 1e-7:
+                if spans and spans[-1][1] >= i:
+                    spans[-1][1] = i + 20
+                else:
+                    spans.append([i, i + 20])
+        found += [(m.start() + a, 3, m.start() + b) for a, b in spans]
+    return [e for e in found if not any(b[0] <= e[0] and e[2] <= b[2] for b in base)]
+
+
+@pytest.fixture(scope="module")
+def texts():
+    draw = random.Random(4)
+    hexes = "0123456789abcdef"
+    b64 = S.ALPHABET
+    make = [
+        lambda: "password: " + "".join(draw.choices(b64, k=draw.randrange(1, 20))),
+        lambda: draw.choice(["API_KEY", "apikey", "Token", "SECRET", "passwd"]) + draw.choice(["=", " = ", "\": '", ":"]) + "".join(draw.choices(hexes, k=draw.randrange(2, 30))),
+        lambda: "AKIA" + "".join(draw.choices("ABC0123", k=draw.randrange(0, 22))),
+        lambda: "".join(draw.choices(hexes, k=draw.randrange(10, 60))),
+        lambda: "".join(draw.choices(b64, k=draw.randrange(10, 90))),
+        lambda: "".join(draw.choices("aB3", k=40)) + "".join(draw.choices(b64, k=30)) + "a1" * 20,
+        lambda: draw.choice(["123e4567-e89b-12d3-a456-426614174000", "straße", "🙂", "some-long-words-joined-by-hyphens-2024", "x" * 30, "word", "\n", "password: token: abcdefgh", "token = token=abcdef1", "ſecret=abcdefgh"]),
+    ]
+    found = [" ".join(draw.choice(make)() for _ in range(draw.randrange(8))) for _ in range(400)]
+    return [*found, "", "AKIA" * 8, "".join(draw.choices(b64, k=5000)), "plain words " * 9000, "é" * 50 + "token=abcdef"]
+
+
+def test_against_plain_python(spark, texts):
+    rows = [(i, t, "x", "y") for i, t in enumerate(texts)] + [(None, None, None, None), (3, texts[3], "", "")]
+    got = S.secrets(spark.createDataFrame(rows, SCHEMA).repartition(4)).collect()
+    assert len(got) == len(rows)
+    some = 0
+    for r in got:
+        base = brute_base(r.text or "")
+        entropy = brute_entropy(r.text or "", base)
+        some += len(entropy)
+        assert [tuple(s) for s in r.secrets] == sorted(base + entropy), r.text
+    assert some > 50
+    assert S.secrets(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_query_and_its_plan(spark):
+    query = S.op9_secret_scan(spark, "/root/testdata/sf0.001")
+    plan = query._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Exchange" not in plan
+    docs = {r.doc_id: r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
+    for r in query.collect():
+        base = brute_base(docs[r.doc_id])
+        written = ",".join(f"{S.KINDS[k]}:{a}:{b}" for a, k, b in base)
+        assert r.base_sha256 == hashlib.sha256(written.encode()).hexdigest()
+        assert (r.n_assign, r.n_access, r.n_hex) == tuple(sum(k == i for _, k, _ in base) for i in range(3))
