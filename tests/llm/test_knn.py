@@ -15,7 +15,7 @@ def brute(rows, k=20, every=20):
     found = []
     for q, a in usable:
         if q % every == 0:
-            scores = sorted((-min(sum(x * y for x, y in zip(a, b)), 2**63 - 1), i) for i, b in usable if i != q)[:k]
+            scores = sorted((-min(max(sum(x * y for x, y in zip(a, b)), -(2**63)), 2**63 - 1), i) for i, b in usable if i != q)[:k]
             found += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scores)]
     return sorted(found)
 
