@@ -144,7 +144,9 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20) -> DataFrame:
         middle = found @ pivots.T
         spread = np.linalg.norm(found, axis=1)[:, None] * radius[None, :]
         slack = 1e-9 * (np.abs(middle) + spread + 1)
-        return found, middle - spread - slack, middle + spread + slack
+        # Scores end where BIGINT ends, and so do their bounds.
+        low, high = (np.clip(b, -(2.0**63), 2.0**63) for b in (middle - spread - slack, middle + spread + slack))
+        return found, low, high
 
     def summary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
