@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sitewind.llm import bpe, knn, mixing, quality, secrets, sequences, simhash
+from sitewind.llm import bpe, knn, lines, mixing, quality, secrets, sequences, simhash
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
         quality.op1_quality_rules,
         sequences.op2_token_files,
+        lines.op4_line_dedup,
         mixing.op5_mix_to_targets,
         knn.op7_voronoi_knn,
         bpe.op8_byte_bpe,

@@ -221,8 +221,9 @@ def judged(docs: DataFrame, keep: list[str]) -> DataFrame:
 
     parts = sketches(measured.where("not base_failed"), groups)
     by_lang = merged(parts, ["_lang"])
-    of_source = _wide(fences(parts, groups), groups, "source")
-    of_lang = _wide(fences(by_lang, ["_lang"]), ["_lang"], "lang")
+    # As tables their size is known, so small ones are broadcast and the documents stay in place.
+    of_source = staged(_wide(fences(parts, groups), groups, "source"), "fences")
+    of_lang = staged(_wide(fences(by_lang, ["_lang"]), ["_lang"], "lang"), "fences")
     of_all = _wide(fences(merged(by_lang, []), []), [], "all")
 
     same_lang = F.col("_lang").eqNullSafe(F.col("_lang_l"))

@@ -99,6 +99,28 @@ def near_duplicates(docs: DataFrame, length: int = 3) -> DataFrame:
     return rows.join(labels, "print").select("doc_id", "print", "component_id")
 
 
+def one_of_each(docs: DataFrame, length: int = 3) -> DataFrame:
+    """``docs`` with one row of each group of near-duplicates: one of its smallest doc_id, the first
+    of them if several rows have it or none has an id. All columns stay."""
+    names = docs.columns
+    rows = docs.select(*[F.col(c).alias(f"_{i}") for i, c in enumerate(names)]).withColumns(
+        {
+            "row": F.monotonically_increasing_id(),
+            "print": fingerprint(F.col(f"_{names.index('text')}"), length),
+        }
+    )
+    held = staged(rows, "documents")
+    prints = held.select(F.col(f"_{names.index('doc_id')}").alias("doc_id"), "row", "print")
+    found = components(links(prints.select("print").distinct())).withColumnRenamed("node", "print")
+    labels = staged(found, "labels")
+    labelled = prints.join(labels, "print", "left").withColumn("component", F.coalesce("component", "print"))
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row"))
+    kept = staged(labelled.groupBy("component").agg(first.alias("first")).select("first.row"), "kept")
+    return held.join(kept, "row", "left_semi").select(
+        *[F.col(f"_{i}").alias(c) for i, c in enumerate(names)]
+    )
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with their fingerprint and the smallest doc_id of their group."""
     found = near_duplicates(documents(spark, sf_dir))
