@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sitewind.llm import bpe, knn, lines, mixing, quality, secrets, sequences, simhash
+from sitewind.llm import bpe, knn, lines, mixing, quality, secrets, sequences, simhash, substrings
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -15,6 +15,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         sequences.op2_token_files,
         lines.op4_line_dedup,
         mixing.op5_mix_to_targets,
+        substrings.op6_suffix_dedup,
         knn.op7_voronoi_knn,
         bpe.op8_byte_bpe,
         secrets.op9_secret_scan,
