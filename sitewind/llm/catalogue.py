@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sitewind.llm import bpe, knn, lines, mixing, quality, secrets, sequences, simhash, substrings
+from sitewind.llm import bpe, ctw, knn, lines, mixing, quality, secrets, sequences, simhash, substrings
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
         quality.op1_quality_rules,
         sequences.op2_token_files,
+        ctw.op3_ctw_score,
         lines.op4_line_dedup,
         mixing.op5_mix_to_targets,
         substrings.op6_suffix_dedup,

@@ -123,6 +123,55 @@ def unpacked(packed: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(each), np.cumsum([len(e) for e in each])[:-1]
 
 
+def counted(width: int, values: str, summary=None):
+    """For ``applyInArrow``: the total count of each key of a bucket, sent to each part that has it, as
+    ``keyed`` packs them. ``summary`` (totals to bytes) is sent to part -1."""
+
+    def answer(table: pa.Table) -> pa.Table:
+        keys, cuts = unpacked(table.column("keys").to_pylist(), width)
+        counts = np.frombuffer(b"".join(table.column("counts").to_pylist()), "<u4")
+        distinct, place = np.unique(keys, return_inverse=True)
+        totals = np.bincount(place, counts, len(distinct)).astype(np.int64)
+        each = zip(np.split(keys, cuts), np.split(totals[place], cuts), strict=True)
+        rows = [
+            (*ids, keyed(k, t, width, values))
+            for ids, (k, t) in zip(zip(*(table.column(c).to_pylist() for c in ("bucket", "part", "kind")), strict=True), each, strict=True)
+        ]
+        if summary:
+            rows.append((table.column("bucket")[0].as_py(), -1, table.column("kind")[0].as_py(), summary(totals)))
+        return pa.table(
+            [pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int32(), pa.binary()))],
+            ["bucket", "part", "kind", "answer"],
+        )
+
+    return answer
+
+
+def keyed(keys: np.ndarray, found: np.ndarray, width: int, values: str) -> bytes:
+    """Keys in order, then the value of each."""
+    order = np.argsort(keys, kind="stable")
+    return _narrow(keys[order], width) + found[order].astype(values).tobytes()
+
+
+def look_up(
+    keys: np.ndarray, answers: list[tuple[int, bytes]], buckets: int, width: int, values: str
+) -> np.ndarray:
+    """The values of these keys (uint64), all of which have been answered."""
+    bucket, rest = split_key(keys, buckets, width)
+    each = width + np.dtype(values).itemsize
+    found = np.zeros(len(keys), values)
+    order = np.argsort(bucket, kind="stable")
+    cuts = np.searchsorted(bucket[order], [[b, b + 1] for b, _ in answers]).reshape(-1, 2)
+    for (_, packed), (a, b) in zip(answers, cuts, strict=True):
+        n = len(packed) // each
+        known, mine = _wide(packed[: n * width], width), order[a:b]
+        if n and len(mine):
+            place = np.minimum(np.searchsorted(known, rest[mine]), n - 1)
+            hit = known[place] == rest[mine]
+            found[mine[hit]] = np.frombuffer(packed[n * width :], values)[place[hit]]
+    return found
+
+
 class Answers:
     """The answers to ``asked`` packets, as a table by part in the shared folder."""
 
