@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType
@@ -27,9 +29,17 @@ def utc_time(df: DataFrame, name: str) -> Column:
     A column that has no zone is taken to be in UTC already."""
     if isinstance(df.schema[name].dataType, TimestampNTZType):
         return F.col(name)
-    zone = df.sparkSession.conf.get("spark.sql.session.timeZone")
-    local = F.col(name) if zone in _UTC_NAMES else F.to_utc_timestamp(F.col(name), zone)
-    return local.cast("timestamp_ntz")
+    if df.sparkSession.conf.get("spark.sql.session.timeZone") in _UTC_NAMES:
+        return F.col(name).cast("timestamp_ntz")
+    # From the instant's microseconds, because a zone may skip an hour or a day that UTC has.
+    micros = F.unix_micros(F.col(name))
+    day = F.lit(86_400_000_000)
+    of_day = F.pmod(micros, day)
+    days = F.call_function("div", micros - of_day, day).cast("int")
+    seconds = (of_day.cast("decimal(20,0)") * F.lit(Decimal("0.000001"))).cast("decimal(18,6)")
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(
+        days=days, secs=seconds
+    )
 
 
 def utc_date(df: DataFrame, name: str) -> Column:

@@ -12,11 +12,15 @@ from decimal import Decimal
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# A total is kept as the sum of the bits above this one and the sum of those below it, both
-# BIGINT. Neither can overflow for any number of rows a cluster can hold, and totals of totals
-# are sums of the same two parts.
+# A total is kept in three parts. Hundredths below _WIDE are summed as the bits above _SPLIT_BITS
+# and those below, both BIGINT: 2**36 rows, all of them that large, fit. Larger values are rare and
+# are summed as decimals of 38 digits; what these can't hold is an error. Totals of totals are sums
+# of the same parts.
 _SPLIT_BITS = 20
 _LOW_MASK = (1 << _SPLIT_BITS) - 1
+_WIDE = 1 << 47
+_WIDE_TYPE = "decimal(38,2)"
+_MOST_HUNDREDTHS = 1e16  # as a value, not in hundredths
 
 
 def _plainly_rounded(x: Column) -> Column:
@@ -35,30 +39,52 @@ def _exactly_rounded(x: Column) -> Column:
 
 
 def hundredths(x: Column) -> Column:
-    """``round(x, 2) * 100`` as BIGINT; NULL for NULL, NaN, infinities and 1e16 or more."""
+    """``round(x, 2) * 100`` as BIGINT; NULL for NULL, NaN and infinities, and for values of 1e16
+    or more, which :func:`beyond` has."""
     return F.when(_plainly_rounded(x), _plain_hundredths(x)).otherwise(
         (_exactly_rounded(x) * F.lit(Decimal(100))).cast("bigint")
     )
 
 
+def _is_beyond(x: Column) -> Column:
+    return (F.abs(x) >= F.lit(_MOST_HUNDREDTHS)) & (F.abs(x) < F.lit(float("inf")))
+
+
+def beyond(x: Column) -> Column:
+    """Finite values of 1e16 or more, which are whole, as decimals; NULL for others. An error for
+    those of 1e36 or more, which no decimal with two places holds."""
+    return F.when(_is_beyond(x), x.cast(_WIDE_TYPE))
+
+
 def rounded(x: Column) -> Column:
-    """``round(x, 2)`` as DOUBLE; NULL where :func:`hundredths` is NULL."""
-    return F.when(_plainly_rounded(x), _plain_hundredths(x) / F.lit(100.0)).otherwise(
-        _exactly_rounded(x).cast("double")
+    """``round(x, 2)`` as DOUBLE; NULL for NULL, NaN and infinities."""
+    return (
+        F.when(_plainly_rounded(x), _plain_hundredths(x) / F.lit(100.0))
+        .when(_is_beyond(x), x)
+        .otherwise(_exactly_rounded(x).cast("double"))
     )
 
 
-def total_parts(x: Column, name: str) -> list[Column]:
-    """Aggregates: the two parts of the exact total of a column of hundredths."""
+def total_parts(x: Column, name: str, more: Column | None = None) -> list[Column]:
+    """Aggregates: the parts of the exact total of a column of hundredths, and of the column that
+    :func:`beyond` gives for the same values."""
+    narrow = F.when(F.abs(x) < F.lit(_WIDE), x)
+    wide = F.when(F.abs(x) >= F.lit(_WIDE), (x.cast("decimal(20,0)") * F.lit(Decimal("0.01"))).cast(_WIDE_TYPE))
     return [
-        F.sum(F.shiftright(x, _SPLIT_BITS)).alias(f"{name}_high"),
-        F.sum(x.bitwiseAND(F.lit(_LOW_MASK))).alias(f"{name}_low"),
+        F.sum(F.shiftright(narrow, _SPLIT_BITS)).alias(f"{name}_high"),
+        F.sum(narrow.bitwiseAND(F.lit(_LOW_MASK))).alias(f"{name}_low"),
+        F.sum(wide if more is None else F.coalesce(more, wide)).alias(f"{name}_wide"),
     ]
 
 
 def sum_of_totals(name: str) -> list[Column]:
-    """Aggregates: the two parts of the sum of totals, NULL if all of them are."""
-    return [F.sum(f"{name}_high").alias(f"{name}_high"), F.sum(f"{name}_low").alias(f"{name}_low")]
+    """Aggregates: the parts of the sum of totals, NULL if all of them are."""
+    return [F.sum(f"{name}_{part}").alias(f"{name}_{part}") for part in ("high", "low", "wide")]
+
+
+def has_total(name: str) -> Column:
+    """Whether anything was summed."""
+    return F.col(f"{name}_high").isNotNull() | F.col(f"{name}_wide").isNotNull()
 
 
 def total(name: str) -> Column:
@@ -67,9 +93,12 @@ def total(name: str) -> Column:
     # Below 2**52 hundredths one division rounds correctly; larger totals go through decimals.
     small = (F.abs(high) < F.lit(1 << 31)) & (low < F.lit(1 << 51))
     whole = high.cast("decimal(20,0)") * F.lit(Decimal(1 << _SPLIT_BITS)) + low.cast("decimal(20,0)")
-    return F.when(small, (high * F.lit(1 << _SPLIT_BITS) + low) / F.lit(100.0)).otherwise(
+    plain = F.when(small, (high * F.lit(1 << _SPLIT_BITS) + low) / F.lit(100.0)).otherwise(
         (whole * F.lit(Decimal("0.01"))).cast("double")
     )
+    wide = F.col(f"{name}_wide")
+    rest = F.coalesce((whole * F.lit(Decimal("0.01"))).cast(_WIDE_TYPE), F.lit(Decimal("0.00")))
+    return F.when(wide.isNull(), plain).otherwise((wide + rest).cast(_WIDE_TYPE).cast("double"))
 
 
 def mean(name: str, count: Column) -> Column:

@@ -30,6 +30,10 @@ def prepare_measurements(measurements: DataFrame) -> DataFrame:
     )
 
 
+def _beyond(name: str) -> str:
+    return f"{name}_beyond"
+
+
 def scaled_measurements(measurements: DataFrame) -> DataFrame:
     """What the aggregates read: measures as hundredths, the UTC date, and the sector."""
     date = utc_date(measurements, "datetime")
@@ -37,6 +41,7 @@ def scaled_measurements(measurements: DataFrame) -> DataFrame:
         "site_id",
         date.alias("date"),
         *[numbers.hundredths(F.col(name)).alias(name) for name in ATTRIBUTES],
+        *[numbers.beyond(F.col(name)).alias(_beyond(name)) for name in MEASURES],
     )
     direction = F.col("wind_direction")
     return scaled.select(
@@ -45,6 +50,7 @@ def scaled_measurements(measurements: DataFrame) -> DataFrame:
         F.year("date").alias("year"),
         F.month("date").alias("month"),
         *MEASURES,
+        *[_beyond(name) for name in MEASURES],
         wind.sector_index(direction).alias("sector"),
         wind.direction_sine(direction).alias("sine"),
         wind.direction_cosine(direction).alias("cosine"),
@@ -57,9 +63,12 @@ def measure_totals() -> list[Column]:
         *[
             part
             for name in MEASURES
-            for part in numbers.total_parts(F.col(name), f"total_{name}")
+            for part in numbers.total_parts(F.col(name), f"total_{name}", F.col(_beyond(name)))
+        ],
+        *[
+            F.count_if(F.col(name).isNotNull() | F.col(_beyond(name)).isNotNull()).alias(f"count_{name}")
+            for name in MEASURES
         ],
-        *[F.count(name).alias(f"count_{name}") for name in MEASURES],
     ]
 
 

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sitewind.functions import numbers
-from sitewind.session import pin
 
 FIRST_YEAR = 2009
 LAST_YEAR = 2013
@@ -20,7 +19,7 @@ def avg_annual_power(
     return (
         yearly_facts.where(F.col("year").between(first_year, last_year))
         .groupBy("site_id")
-        .agg(*numbers.sum_of_totals("total_power"), F.count("total_power_high").alias("n_years"))
+        .agg(*numbers.sum_of_totals("total_power"), F.count_if(numbers.has_total("total_power")).alias("n_years"))
         .select("site_id", numbers.mean("total_power", F.col("n_years")).alias("avg_power"))
     )
 
@@ -32,9 +31,8 @@ def site_score(avg_power: DataFrame, bands: int = BANDS) -> DataFrame:
     maximum. All sites score 0 if all are equal; a site without a mean has no score. Score all
     sites at once: scores of different batches do not compare.
     """
-    # The means are read for the bounds and for the scores: what they come from, which may be a
-    # scan of all measurements, must not run twice.
-    avg_power = pin(avg_power)
+    # The means are read for the bounds and for the scores. Both read the same shuffled rows, so
+    # what they come from, which may be a scan of all measurements, runs once.
     bounds = avg_power.agg(
         F.struct(F.min("avg_power").alias("low"), F.max("avg_power").alias("high"))
     ).scalar()

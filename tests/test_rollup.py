@@ -1,5 +1,6 @@
 """Roll-ups, scores and directions on small frames and on the given tables."""
 
+import datetime
 import math
 
 import pytest
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 from sitewind import schemas
 from sitewind.operators import direction, rollup, score
 from sitewind.plans.views import view
-from sitewind.sources.measurements import extract_window, extract_years
+from sitewind.sources.measurements import extract_window, extract_years, write_measurements
 
 FOLDER = "/root/testdata/sf0.001"
 NAMES = schemas.MEASUREMENT.names
@@ -52,6 +53,28 @@ def test_the_day_is_the_utc_day(spark, zone):
         spark.conf.set("spark.sql.session.timeZone", before)
 
 
+@pytest.mark.parametrize("zone, first, hours", [
+    ("America/New_York", "2012-03-11 00:00:00", 24),  # 2 o'clock is skipped
+    ("America/New_York", "2012-11-04 00:00:00", 24),  # 1 o'clock comes twice
+    ("Pacific/Apia", "2011-12-29 00:00:00", 72),  # the 30th is skipped
+])
+def test_no_hour_or_day_is_lost_where_a_zone_skips_it(spark, tmp_path, zone, first, hours):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    start = datetime.datetime.fromisoformat(first)
+    times = [start + datetime.timedelta(minutes=30 * i) for i in range(2 * hours)]
+    frame = measurements(spark, [(1, str(t), {"power": 1}) for t in times])
+    try:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        daily = rollup.total_power(rollup.facts(frame, "daily"), "daily")
+        days = sorted({(1, t.year, t.month, t.day, 48.0) for t in times})
+        assert rows(daily) == days
+        write_measurements(frame, str(tmp_path / "stored"))
+        stored = spark.read.parquet(str(tmp_path / "stored")).select("datetime")
+        assert sorted(r[0] for r in stored.collect()) == times
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
 def test_groups_of_nulls_are_kept(spark):
     frame = measurements(spark, [
         (1, "2011-01-01 01:00:00", {"power": None, "wind_speed": math.nan}),
