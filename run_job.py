@@ -49,6 +49,10 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
     command.add_argument("root")
     command.add_argument("--run-id", type=int, default=jobs.ALL_SITES)
 
+    command = commands.add_parser("process-batches", help="the same for all batches, in one scan")
+    command.add_argument("measurements")
+    command.add_argument("root")
+
     command = commands.add_parser("score", help="score all sites")
     command.add_argument("root")
     command.add_argument("--first-year", type=int, default=score.FIRST_YEAR)
@@ -73,6 +77,8 @@ def run(spark, options: argparse.Namespace) -> None:
         jobs.materialise_batches(spark, options.measurements, options.root, options.path)
     elif options.job == "process":
         jobs.process_measurements(spark, options.measurements, options.root, options.run_id)
+    elif options.job == "process-batches":
+        jobs.process_batches(spark, options.measurements, options.root)
     elif options.job == "score":
         jobs.score_sites(spark, options.root, options.first_year, options.last_year)
 

@@ -63,9 +63,12 @@ def site_count(sites: DataFrame) -> DataFrame:
 
 
 def first_rows(sites: DataFrame) -> DataFrame:
-    """One row per site: the smallest in column order, where a site has several."""
+    """One row per site: the smallest in column order, where a site has several. A known value
+    comes before NULL."""
     others = [name for name in sites.columns if name != "site_id"]
-    smallest = F.min(F.struct(*others)).alias("row")
+    # NULL is the smallest of all, so whether a value is missing is compared first.
+    order = [part for name in others for part in (F.isnull(name).alias(f"no_{name}"), F.col(name))]
+    smallest = F.struct(*[F.min(F.struct(*order))[name].alias(name) for name in others]).alias("row")
     return sites.groupBy("site_id").agg(smallest).select("site_id", "row.*")
 
 

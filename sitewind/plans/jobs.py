@@ -24,6 +24,7 @@ ALL_SITES = 0
 FACTS = "site_facts"
 COARSER_FACTS = {"monthly": "site_facts_monthly", "yearly": "site_facts_yearly"}
 BATCHES = "site_batches"
+RUNS = "site_runs"
 SITE_INFO = "site_info"
 SITE_SCORE = "site_score"
 MEAN_TABLES = {
@@ -78,7 +79,14 @@ def load_site_info(
 def split_batches(
     spark: SparkSession, root: str, size: int = batches.SITES_PER_BATCH
 ) -> None:
-    """Assign the sites of ``site_info`` to batches, each site to one."""
+    """Assign the sites of ``site_info`` to batches, each site to one.
+
+    Refused while results of batches are stored: those of an older split would count sites twice.
+    Use a new root folder, or remove the results first.
+    """
+    if table_exists(spark, root, FACTS):
+        if not read_table(spark, root, FACTS).where(F.col("run_id") != ALL_SITES).isEmpty():
+            raise ValueError(f"{root} has results of another split")
     listed = sites.first_rows(read_table(spark, root, SITE_INFO).select("site_id", "state"))
     assigned = batches.assign_batches(listed, size)
     write_table(assigned, root, BATCHES)
@@ -106,12 +114,15 @@ def process_measurements(
 ) -> None:
     """Scan the measurements of one batch, or of all sites, once and write every roll-up.
 
-    For a batch, the path may also be that of its own input set.
+    For a batch, the path may also be that of its own input set. To process all batches,
+    :func:`process_batches` scans once for all of them.
     """
     _refuse_mixture(spark, root, run_id)
     stored = measurements.read_measurements(spark, measurement_path)
     if run_id != ALL_SITES:
         assigned = read_table(spark, root, BATCHES)
+        if assigned.where(F.col("run_id") == run_id).isEmpty():
+            raise ValueError(f"there is no batch {run_id}")
         stored = batches.batch_measurements(stored, assigned, run_id)
     # Facts are read whole or by year: they are written by the tasks that finish the aggregation,
     # sorted so that a year is found by row group.
@@ -120,9 +131,41 @@ def process_measurements(
 
     write_rollups(spark, root, run_id)
     write_directions(spark, root, run_id)
+    done = spark.range(1).select(F.lit(True).alias("done"))
+    write_table(done, root, f"{RUNS}/run_id={run_id}")
+
+
+def process_batches(spark: SparkSession, measurement_path: str, root: str) -> None:
+    """Scan the measurements once and write every roll-up of all batches.
+
+    The batch is joined to the facts, not to the measurements: one row per site and day is moved.
+    Sites of no batch are left out. All earlier results of batches are replaced.
+    """
+    _refuse_mixture(spark, root, None)
+    assigned = read_table(spark, root, BATCHES).select("site_id", "run_id")
+    stored = measurements.read_measurements(spark, measurement_path)
 
+    def write(df: DataFrame, name: str, by: Sequence[str]) -> None:
+        keys = ["run_id", *by]
+        rows = df.join(assigned, "site_id").repartitionByRange(*keys, "site_id")
+        write_table(rows.sortWithinPartitions(*keys, "site_id"), root, name, partition_by=keys)
 
-def _refuse_mixture(spark: SparkSession, root: str, run_id: int) -> None:
+    write(direction.daily_and_direction_facts(stored), FACTS, ["kind"])
+    frame = read_facts(spark, root, "daily").drop("run_id")
+    for grain in GRAINS:
+        if grain != "daily":
+            write(rollup.roll(frame, grain), COARSER_FACTS[grain], [])
+            frame = read_facts(spark, root, grain).drop("run_id")
+        write(rollup.means(frame, grain, direction=grain != "daily"), MEAN_TABLES[grain], ["year"])
+        write(rollup.total_power(frame, grain), POWER_TABLES[grain], ["year"])
+    sectors = direction.label_sectors(read_facts(spark, root, "direction").drop("run_id"))
+    write(direction.sector_means(sectors), SECTOR_MEAN_TABLE, ["year"])
+    write(direction.sector_power(sectors), SECTOR_POWER_TABLE, ["year"])
+    done = assigned.select("run_id").distinct().withColumn("done", F.lit(True))
+    write_table(done, root, RUNS, partition_by=["run_id"])
+
+
+def _refuse_mixture(spark: SparkSession, root: str, run_id: int | None) -> None:
     """Batches next to facts of all sites would count their sites twice."""
     if table_exists(spark, root, FACTS):
         of_all = F.col("run_id") == ALL_SITES
@@ -180,7 +223,17 @@ def score_sites(
     first_year: int = score.FIRST_YEAR,
     last_year: int = score.LAST_YEAR,
 ) -> None:
-    """Score all sites, of all batches, relative to each other."""
+    """Score all sites, of all batches, relative to each other.
+
+    Refused while batches are missing: the scores of the others would look like those of all.
+    """
+    if table_exists(spark, root, BATCHES):
+        runs = read_table(spark, root, RUNS).select("run_id")
+        if runs.where(F.col("run_id") == ALL_SITES).isEmpty():
+            missing = read_table(spark, root, BATCHES).join(runs, "run_id", "left_anti")
+            n_sites, n_runs = missing.agg(F.count(F.lit(1)), F.count_distinct("run_id")).first()
+            if n_runs:
+                raise ValueError(f"{n_runs} batches with {n_sites} sites are not processed")
     yearly = read_facts(spark, root, "yearly")
     averages = score.avg_annual_power(yearly, first_year, last_year)
     write_table(score.site_score(averages), root, SITE_SCORE)

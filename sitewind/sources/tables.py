@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.utils import AnalysisException
 
 SAVE_MODES = ("overwrite", "ignore", "append", "error")
 
@@ -39,11 +38,9 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
 
 
 def table_exists(spark: SparkSession, root: str, name: str) -> bool:
-    try:
-        read_table(spark, root, name)
-    except AnalysisException:
-        return False
-    return True
+    """Whether there is a folder of that name; a damaged one is there, too."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(table_path(root, name))
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
 
 
 def write_jdbc(
@@ -58,7 +55,18 @@ def write_jdbc(
 
 
 def read_jdbc(
-    spark: SparkSession, url: str, table: str, properties: dict[str, str] | None = None
+    spark: SparkSession, url: str, table: str, properties: dict[str, str] | None = None,
+    column: str | None = None, bounds: tuple[int, int] | None = None, parts: int = 1,
 ) -> DataFrame:
-    """Read a database table; Spark passes filters and the choice of columns on to it."""
-    return spark.read.jdbc(url, table, properties=properties or {})
+    """Read a database table; Spark passes filters and the choice of columns on to it.
+
+    With a numeric ``column`` and its ``bounds`` the table is read in that many parts, rows outside
+    the bounds in the first and the last; without, one task reads all.
+    """
+    if column is None:
+        return spark.read.jdbc(url, table, properties=properties or {})
+    low, high = bounds
+    return spark.read.jdbc(
+        url, table, column=column, lowerBound=low, upperBound=high, numPartitions=parts,
+        properties=properties or {},
+    )

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sitewind import schemas
-from sitewind.operators import direction, rollup, score, serving
+from sitewind.operators import direction, rollup, score, serving, sites
 from sitewind.plans import jobs
 from sitewind.plans.lookups import SiteTables
 from sitewind.plans.views import view
@@ -317,6 +317,55 @@ def test_batches_add_up_to_all_sites(spark, store, tmp_path):
         jobs.process_measurements(spark, path, root)
 
 
+def test_all_batches_from_one_scan(spark, store, tmp_path):
+    raw, path, root = store
+    jobs.split_batches(spark, root, size=4)
+    jobs.process_batches(spark, path, root)
+    jobs.process_batches(spark, path, root)  # again, in place of the first
+    single = str(tmp_path / "single")
+    tables.write_table(tables.read_table(spark, root, "site_batches"), single, "site_batches")
+    for run_id in (1, 2, 3):
+        jobs.process_measurements(spark, path, single, run_id)
+    for name in [*jobs.POWER_TABLES.values(), *jobs.MEAN_TABLES.values(), jobs.SECTOR_MEAN_TABLE,
+                 jobs.SECTOR_POWER_TABLE, jobs.FACTS, *jobs.COARSER_FACTS.values()]:
+        one, other = (tables.read_table(spark, r, name) for r in (root, single))
+        columns = sorted(one.columns)
+        assert sorted(other.columns) == columns
+        assert rows(one.select(columns)) == rows(other.select(columns)), name
+    jobs.score_sites(spark, root, 1997, 2001)
+    jobs.score_sites(spark, single, 1997, 2001)
+    assert rows(tables.read_table(spark, root, "site_score")) == rows(
+        tables.read_table(spark, single, "site_score"))
+
+
+def test_a_new_split_next_to_old_results_is_refused(spark, store):
+    raw, path, root = store
+    jobs.split_batches(spark, root, size=5)
+    jobs.split_batches(spark, root, size=4)  # nothing stored yet
+    jobs.process_batches(spark, path, root)
+    with pytest.raises(ValueError, match="another split"):
+        jobs.split_batches(spark, root, size=10)
+    totals = tables.read_table(spark, root, "site_total_yearly_capacity")
+    assert totals.count() == totals.select("site_id", "year").distinct().count()
+
+
+def test_scores_of_some_batches_are_refused(spark, store):
+    raw, path, root = store
+    jobs.split_batches(spark, root, size=4)
+    jobs.process_measurements(spark, path, root, 1)
+    with pytest.raises(ValueError, match="2 batches with 6 sites"):
+        jobs.score_sites(spark, root, 1997, 2001)
+    with pytest.raises(ValueError, match="no batch 9"):
+        jobs.process_measurements(spark, path, root, 9)
+
+
+def test_a_known_state_comes_before_null(spark):
+    listed = spark.createDataFrame(
+        [(1, None), (1, "Texas"), (2, None), (3, "B"), (3, "A")], "site_id bigint, state string"
+    )
+    assert rows(sites.first_rows(listed)) == [(1, "Texas"), (2, None), (3, "A")]
+
+
 def test_materialised_batches(spark, store, tmp_path):
     raw, path, root = store
     jobs.split_batches(spark, root, size=4)
