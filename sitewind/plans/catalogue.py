@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sitewind import schemas
 from sitewind.functions import numbers
 from sitewind.operators import batches, direction, rollup, score, serving, sites
 from sitewind.plans.views import view
@@ -19,6 +20,7 @@ SCORE_YEARS = (1997, 2001)
 WINDOW = ("1997-01-01", "1999-01-01")
 BATCH_SIZE = 7
 STATE_CODE = "S4"
+SITE_ID = 7
 
 _QUERIES: dict[str, Query] = {}
 
@@ -79,6 +81,36 @@ def yearly_power(spark, folder):
     return rollup.total_power(rollup.facts(_raw(spark, folder), "yearly"), "yearly")
 
 
+@_query
+def yearly_power_large(spark, folder):
+    """Totals of values of which many are 1e16 and more."""
+    large = view(spark, folder, "large_measurement")
+    return rollup.total_power(rollup.facts(large, "yearly"), "yearly")
+
+
+def _rolled(spark, folder, *grains):
+    """Facts as the jobs make them: by day from the measurements, coarser ones from finer ones."""
+    frame = rollup.facts(_raw(spark, folder), "daily")
+    for grain in grains:
+        frame = rollup.roll(frame, grain)
+    return frame
+
+
+@_query
+def monthly_power_rolled(spark, folder):
+    return rollup.total_power(_rolled(spark, folder, "monthly"), "monthly")
+
+
+@_query
+def yearly_power_rolled(spark, folder):
+    return rollup.total_power(_rolled(spark, folder, "monthly", "yearly"), "yearly")
+
+
+@_query
+def monthly_avg_rolled(spark, folder):
+    return rollup.means(_rolled(spark, folder, "monthly"), "monthly")
+
+
 @_query
 def avg_annual_power(spark, folder):
     years = measurements.extract_years(_raw(spark, folder), *SCORE_YEARS)
@@ -203,6 +235,39 @@ def batch_measurements(spark, folder):
     return batched.groupBy("run_id", "site_id").agg(F.count(F.lit(1)).alias("rows"))
 
 
+@_query
+def batch_filter(spark, folder):
+    """Measurements of the first batch, as a run over one batch reads them."""
+    return batches.batch_measurements(_raw(spark, folder), batch_assign(spark, folder), 1)
+
+
+@_query
+def site_power_series(spark, folder):
+    """Monthly power of one site, chosen by its id."""
+    return serving.site_rows(monthly_power(spark, folder), SITE_ID)
+
+
+@_query
+def power_of_some_sites(spark, folder):
+    """Yearly power of a short list of sites."""
+    return serving.sites_in(yearly_power(spark, folder), [SITE_ID, SITE_ID + 1])
+
+
+@_query
+def map_has_data(spark, folder):
+    return serving.has_data(scored_sites(spark, folder), ["state", "lat", "lon"])
+
+
+@_query
+def site_timezone_typed(spark, folder):
+    return schemas.typed(view(spark, folder, "site_timezone_text"), schemas.SITE_TIMEZONE)
+
+
+@_query
+def site_3tier_typed(spark, folder):
+    return schemas.typed(view(spark, folder, "site_3tier_text"), schemas.SITE_3TIER)
+
+
 @_query
 def extract_window(spark, folder):
     return measurements.extract_window(

@@ -6,8 +6,7 @@ the decimal text of a value, which is what rounding half-up means in the package
 
 from __future__ import annotations
 
-from sitewind.functions.wind import SECTORS
-from sitewind.plans.catalogue import BATCH_SIZE, SCORE_YEARS, STATE_CODE, WINDOW
+from sitewind.plans.catalogue import BATCH_SIZE, SCORE_YEARS, SITE_ID, STATE_CODE, WINDOW
 from sitewind.plans.views import VIEWS, view_sql
 from sitewind.schemas import ATTRIBUTES, MEASURES
 
@@ -34,6 +33,7 @@ _SECTOR_NUMBER = """
         case when wind_direction >= 0 and wind_direction < 360
              then 2 * cast(floor(cast(wind_direction as double) / 45) as bigint)
                   + case when wind_direction % 45 = 0 then 0 else 1 end end"""
+SECTORS = "N NNE NE ENE E ESE SE SSE S SSW SW WSW W WNW NW NNW".split()
 _SECTOR_LABEL = "case sector " + " ".join(
     f"when {number} then '{label}'" for number, label in enumerate(SECTORS)
 ) + " end"
@@ -192,6 +192,39 @@ def oracle_sql() -> dict[str, str]:
         "daily_power": _totals("daily_power", "year, month, day", "daily_power"),
         "monthly_power": _totals("monthly_power", "year, month", "monthly_power"),
         "yearly_power": _totals("yearly_power", "year", "yearly_power"),
+        "monthly_power_rolled": _totals("monthly_power", "year, month", "monthly_power"),
+        "yearly_power_rolled": _totals("yearly_power", "year", "yearly_power"),
+        "monthly_avg_rolled": _averages("prepared", "year, month"),
+        "yearly_power_large": _with(
+            ["large_measurement"],
+            """select site_id, cast(year(datetime) as integer) as year,
+                      -- by its text, as the nearest double
+                      cast(cast(sum(cast(cast(power as varchar) as decimal(38,2))) as varchar)
+                           as double) as yearly_power
+               from large_measurement group by 1, 2""",
+        ),
+        "batch_filter": _with(
+            ["raw_measurement", "batches"],
+            """select * from raw_measurement
+               where site_id in (select site_id from batches where run_id = 1)""",
+        ),
+        "site_power_series": _with(
+            ["monthly_power"],
+            f"""select site_id, year, month, cast(total as double) as monthly_power
+                from monthly_power where site_id = {SITE_ID}""",
+        ),
+        "power_of_some_sites": _with(
+            ["yearly_power"],
+            f"""select site_id, year, cast(total as double) as yearly_power
+                from yearly_power where site_id in ({SITE_ID}, {SITE_ID + 1})""",
+        ),
+        "map_has_data": _with(
+            ["scored"],
+            """select count(*) > 0 as has_data from scored
+               where state is not null and lat is not null and lon is not null""",
+        ),
+        "site_timezone_typed": _with(["site_timezone"], "select * from site_timezone"),
+        "site_3tier_typed": _with(["site_3tier"], "select * from site_3tier"),
         "avg_annual_power": _with(["annual"], "select * from annual"),
         "site_score": _with(["score"], "select * from score"),
         "flagship": _with(

@@ -11,6 +11,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sitewind.schemas import SITE_3TIER, SITE_TIMEZONE
+
 VIEWS = {
     "raw_measurement": """
         select l_suppkey as site_id, l_shipdate as datetime,
@@ -67,6 +69,24 @@ VIEWS = {
         from {orders}""",
 }
 
+# Rows in which a part of the values is 1e16 and more.
+VIEWS["large_measurement"] = """
+        select l_suppkey as site_id, l_shipdate as datetime, 1e0 as density,
+               case when l_orderkey % 5 = 0 then l_extendedprice * 1e13
+                    else l_extendedprice * (1 - l_discount) end as power,
+               9e1 as pressure, 28e1 as temperature, 1e0 as wind_direction, 1e0 as wind_speed
+        from {lineitem}"""
+
+
+def _as_text(name: str, columns: list[str]) -> str:
+    texts = ", ".join(f"cast({column} as string) as {column}" for column in columns)
+    return f"select {texts} from ({VIEWS[name]}) typed"
+
+
+# The site files as they are read, all columns text.
+VIEWS["site_timezone_text"] = _as_text("site_timezone", SITE_TIMEZONE.names)
+VIEWS["site_3tier_text"] = _as_text("site_3tier", SITE_3TIER.names)
+
 
 def _tables(name: str) -> list[str]:
     return sorted(set(re.findall(r"\{(\w+)\}", VIEWS[name])))
