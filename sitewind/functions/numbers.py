@@ -51,9 +51,14 @@ def _is_beyond(x: Column) -> Column:
 
 
 def beyond(x: Column) -> Column:
-    """Finite values of 1e16 or more, which are whole, as decimals; NULL for others. An error for
-    those of 1e36 or more, which no decimal with two places holds."""
-    return F.when(_is_beyond(x), x.cast(_WIDE_TYPE))
+    """Finite values of 1e16 or more, which are whole, as exact decimals; NULL for others. An error
+    for those of 1e36 or more, which no decimal with two places holds."""
+    # In two parts that a BIGINT holds: the text of a large double need not be its exact value.
+    part = float(1 << 60)
+    high = F.floor(x / F.lit(part))
+    low = (x - high.cast("double") * F.lit(part)).cast("bigint")
+    whole = high.cast("decimal(19,0)") * F.lit(Decimal(1 << 60)) + low.cast("decimal(19,0)")
+    return F.when(_is_beyond(x), whole.cast(_WIDE_TYPE))
 
 
 def rounded(x: Column) -> Column:

@@ -199,8 +199,10 @@ def oracle_sql() -> dict[str, str]:
             ["large_measurement"],
             """select site_id, cast(year(datetime) as integer) as year,
                       -- by its text, as the nearest double
-                      cast(cast(sum(cast(cast(power as varchar) as decimal(38,2))) as varchar)
-                           as double) as yearly_power
+                      cast(cast(sum(
+                          case when power >= 1e16 then cast(cast(power as hugeint) as decimal(38,2))
+                               else cast(cast(power as varchar) as decimal(38,2)) end
+                      ) as varchar) as double) as yearly_power
                from large_measurement group by 1, 2""",
         ),
         "batch_filter": _with(

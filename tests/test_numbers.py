@@ -129,7 +129,7 @@ def test_mean_direction_goes_around_north(spark, directions, expected):
 
 def _exact(value):
     if abs(value) >= 1e16:
-        return Fraction(Decimal(repr(value)))
+        return Fraction(value)
     return Fraction(Decimal(repr(value)).quantize(Decimal("0.01"), ROUND_HALF_UP))
 
 
