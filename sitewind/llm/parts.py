@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from sitewind.llm.common import shared_path, staged, tasks
 
 #: Bytes of text after which a part ends; a longer text is a part of its own.
-PART_BYTES = 24 << 20
+PART_BYTES = 8 << 20
 
 
 def in_parts(docs: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
