@@ -26,4 +26,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_mix_to_targets": mixing.oracle()}
+    return {
+        "op1_quality_rules": quality.oracle(),
+        "op5_mix_to_targets": mixing.oracle(),
+        "op7_voronoi_knn": knn.oracle(),
+    }

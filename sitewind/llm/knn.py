@@ -245,3 +245,18 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20) -> DataFrame:
 def op7_voronoi_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 best others of every 20th vector."""
     return nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def oracle() -> str:
+    """The query in SQL, every query against every vector."""
+    return f"""with v as materialized (
+            select vec_id, list_transform(embedding, lambda x: floor({SCALE} * x::double)) as e
+            from embeddings
+            where vec_id is not null and embedding is not null
+                and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+        scores as (
+            select q.vec_id as query_id, v.vec_id, list_inner_product(q.e, v.e)::bigint as score
+            from v q join v on q.vec_id <> v.vec_id where q.vec_id % 20 = 0)
+        select query_id, rank::int as rank, vec_id, score
+        from (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from scores)
+        where rank <= 20"""

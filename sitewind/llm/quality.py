@@ -264,3 +264,75 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "kept", *SIGNALS,
     )
+
+
+def oracle() -> str:
+    """The query in SQL, with windows as text and cells sorted and summed."""
+    spread = " ".join(f"when '{name}' then {least}" for name, (_, least) in SIGNALS.items())
+    cells = " union all ".join(
+        f"""select lang, source, '{name}' as signal,
+            ({name} >> greatest(length(bin({name})) - {CELL_BITS + 1}, 0)::int)
+                << greatest(length(bin({name})) - {CELL_BITS + 1}, 0)::int as cell
+            from s where not base_failed"""
+        for name in SIGNALS
+    )
+
+    def level(name: str, keys: str) -> str:
+        by = f"{keys}, " if keys else ""
+        return f"""{name} as materialized (
+            select {by}signal, max(total) as n, min(case when 4 * seen >= total then cell end) as q1,
+                min(case when 4 * seen >= 3 * total then cell end) as q3
+            from (select *, sum(n) over (partition by {by}signal order by cell) as seen,
+                    sum(n) over (partition by {by}signal) as total
+                  from (select {by}signal, cell, count(*) as n from cells group by all))
+            group by {by}signal)"""
+
+    broken = " or ".join(
+        f"""(f.signal = '{name}' and ({
+            f'greatest({name} - q3, q1 - {name})' if sides == 'both' else f'{name} - q3'
+        }) * n_words > {REACH} * greatest(q3 - q1, spread) * (n_words + {FEW_WORDS}))"""
+        for name, (sides, _) in SIGNALS.items()
+    )
+    rates = """case when n_words > 0 then 100 * word_chars // n_words else 0 end as word_length,
+        case when n_words > 0 then 1000 * n_symbols // n_words else 0 end as symbol_rate,
+        case when n_lines > 0 then 1000 * n_dup_lines // n_lines else 0 end as repeated_line_rate,
+        case when n_words > 0 then 1000 * n_repeat_words // n_words else 0 end as repeated_word_rate"""
+    return f"""with w as materialized (
+            select row_number() over () as row, doc_id, lang, source, t,
+                regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') as words,
+                list_filter(string_split(t, chr(10)), lambda l: regexp_matches(l, '[^\\x20\\x09-\\x0D]')) as lines
+            from (select doc_id, lang, source, coalesce(text, '') as t from documents)),
+        windows as (
+            select row, i, array_to_string(words[i:i + {WINDOW - 1}], ' ') as window_text
+            from (select row, words, unnest(generate_series(1, len(words) - {WINDOW - 1})) as i from w)),
+        repeated as (
+            select row, i from (select *, count(*) over (partition by row, window_text) as n from windows)
+            where n > 1),
+        covered as (
+            select row, count(distinct i + k) as n
+            from (select row, i, unnest(range({WINDOW})) as k from repeated) group by row),
+        m as materialized (
+            select w.row, doc_id, lang, source, len(words)::bigint as n_words,
+                coalesce(list_sum(list_transform(words, lambda x: length(x))), 0)::bigint as word_chars,
+                length(regexp_replace(t, '[^{SYMBOLS}]', '', 'g'))::bigint as n_symbols,
+                len(lines)::bigint as n_lines,
+                (len(lines) - len(list_distinct(lines)))::bigint as n_dup_lines,
+                coalesce(n, 0)::bigint as n_repeat_words
+            from w left join covered on covered.row = w.row),
+        s as materialized (
+            select *, n_words < {MIN_WORDS} or 100 * n_repeat_words > {MAX_REPEATED_PERCENT} * n_words as base_failed,
+                {rates} from m),
+        cells as materialized ({cells}),
+        {level('by_source', 'lang, source')}, {level('by_lang', 'lang')}, {level('by_all', '')},
+        chosen as (
+            select s.row, a.signal, case a.signal {spread} end as spread,
+                case when x.n >= {LEAST_DOCUMENTS} then x.q1 when l.n >= {LEAST_DOCUMENTS} then l.q1 else a.q1 end as q1,
+                case when x.n >= {LEAST_DOCUMENTS} then x.q3 when l.n >= {LEAST_DOCUMENTS} then l.q3 else a.q3 end as q3
+            from s cross join by_all a
+            left join by_source x on x.signal = a.signal and x.lang is not distinct from s.lang
+                and x.source is not distinct from s.source
+            left join by_lang l on l.signal = a.signal and l.lang is not distinct from s.lang),
+        broken as (select distinct s.row from s join chosen f on f.row = s.row where {broken})
+        select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+            not base_failed and s.row not in (select row from broken) as kept, {", ".join(SIGNALS)}
+        from s"""
