@@ -154,7 +154,7 @@ def op5_mix_to_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def oracle(rounds: int = 25, steps: int = 25) -> str:
+def oracle(rounds: int = ROUNDS, steps: int = 25) -> str:
     """The query in SQL, rounds and steps written out."""
     kind = " ".join(f"when regexp_matches(text, '{p}') then '{name}'" for name, p in TOPICS.items())
     parts = [
