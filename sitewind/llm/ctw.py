@@ -46,6 +46,26 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 
 
+_ODD = 0x9E3779B97F
+_KEYS = np.uint64((1 << 40) - 1)
+
+
+def _scattered(keys: np.ndarray, factor: int) -> np.ndarray:
+    keys = keys ^ keys >> np.uint64(20)
+    keys = keys * np.uint64(factor) & _KEYS
+    return keys ^ keys >> np.uint64(20)
+
+
+def key_of(grams: np.ndarray) -> np.ndarray:
+    """A string of five bytes as a number that tells nothing of its last byte, so that buckets of it
+    are even."""
+    return _scattered(grams, _ODD)
+
+
+def gram_of(keys: np.ndarray) -> np.ndarray:
+    return _scattered(keys, pow(_ODD, -1, 1 << 40))
+
+
 def held_out(doc_id: int | None) -> bool:
     """Whether a document isn't learned from; one without an id isn't."""
     return doc_id is None or zlib.crc32(str(doc_id).encode()) % 10 == HELD_OUT
@@ -179,14 +199,14 @@ class _Texts:
         self.inside = np.cumsum(inside[:-1], dtype=np.int8).astype(bool)
 
     def grams(self) -> tuple[np.ndarray, np.ndarray]:
-        """Strings that end in each scored byte, and the text each is of."""
+        """Keys of the strings that end in each scored byte, and the text each is of."""
         scored = self.inside.copy()
         scored[self.begins + self.sizes] = True
         places = np.flatnonzero(scored)
         found = np.zeros(len(places), np.uint64)
         for back in range(DEPTH, -1, -1):
             found = found << np.uint64(8) | self.data[places - back].astype(np.uint64)
-        return found, np.repeat(np.arange(len(self.sizes)), self.sizes + 1)
+        return key_of(found), np.repeat(np.arange(len(self.sizes)), self.sizes + 1)
 
     def words(self) -> tuple[np.ndarray, np.ndarray]:
         """Hashes of all tokens, ends last, and the text each is of."""
@@ -244,7 +264,7 @@ def scored(docs: DataFrame) -> DataFrame:
         distinct, place = np.unique(keys, return_inverse=True)
         counts = np.frombuffer(b"".join(table.column("counts").to_pylist()), "<u4")
         bucket = table.column("bucket")[0].as_py()
-        whole = distinct * np.uint64(buckets) + np.uint64(bucket)
+        whole = gram_of(distinct * np.uint64(buckets) + np.uint64(bucket))
         return pa.table(
             [np.full(len(distinct), bucket), whole.astype(np.int64), np.bincount(place, counts, len(distinct)).astype(np.int64)],
             ["bucket", "gram", "n"],
@@ -265,7 +285,7 @@ def scored(docs: DataFrame) -> DataFrame:
     model = by_ending.applyInArrow(predict, "bucket bigint, gram bigint, log10 double")
 
     def answer(packets: pa.Table, model: pa.Table) -> pa.Table:
-        names = model.column("gram").to_numpy().astype(np.uint64)
+        names = key_of(model.column("gram").to_numpy().astype(np.uint64))
         order = np.argsort(names)
         names, logs = names[order], model.column("log10").to_numpy()[order]
         rows = [[], [], [], []]

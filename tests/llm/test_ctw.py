@@ -101,6 +101,14 @@ def test_log_gamma():
     assert ctw.log_gamma(x) == pytest.approx([math.lgamma(v) for v in x], rel=1e-12, abs=1e-12)
 
 
+def test_keys_of_strings():
+    grams = np.random.default_rng(1).integers(0, 1 << 40, 5000, dtype=np.uint64)
+    grams = np.concatenate([grams, np.arange(256, dtype=np.uint64), np.array([(1 << 40) - 1], np.uint64)])
+    assert (ctw.gram_of(ctw.key_of(grams)) == grams).all()
+    spaces = np.arange(0, 1 << 24, 4096, dtype=np.uint64) << np.uint64(8) | np.uint64(32)
+    assert np.bincount((ctw.key_of(spaces) % np.uint64(256)).astype(int), minlength=256).max() < 50
+
+
 def test_probabilities_add_up():
     """Over all bytes after a context, seen or not."""
     draw = np.random.default_rng(0)
