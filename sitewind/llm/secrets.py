@@ -38,7 +38,8 @@ CLASSES = {
 ALLOWED = {
     "number": "^[0-9+/=_-]+$",
     "words": "^[A-Za-z+/=_-]+$",
-    "words and numbers": "^(?:(?:[A-Z]?[a-z]+|[A-Z]+|[0-9]{1,4})[+/=_-]+)+(?:[A-Z]?[a-z]+|[A-Z]+|[0-9]{1,4})?$",
+    # Possessive, so that the engine doesn't go a level deeper for each of many words.
+    "words and numbers": "^(?:(?:[A-Z]?[a-z]++|[A-Z]++|[0-9]{1,4}+)[+/=_-]++)++(?:[A-Z]?[a-z]++|[A-Z]++|[0-9]{1,4}+)?$",
     "uuid": "^(?i:[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12})$",
     "placeholder": "(?i:example|placeholder|xxxxxx)|(.)\\1{5}",
 }

@@ -55,7 +55,7 @@ def texts():
         lambda: draw.choice(["123e4567-e89b-12d3-a456-426614174000", "straße", "🙂", "some-long-words-joined-by-hyphens-2024", "x" * 30, "word", "\n", "password: token: abcdefgh", "token = token=abcdef1", "ſecret=abcdefgh"]),
     ]
     found = [" ".join(draw.choice(make)() for _ in range(draw.randrange(8))) for _ in range(400)]
-    return [*found, "", "AKIA" * 8, "".join(draw.choices(b64, k=5000)), "plain words " * 9000, "é" * 50 + "token=abcdef"]
+    return [*found, "", "AKIA" * 8, "".join(draw.choices(b64, k=5000)), "plain words " * 9000, "Ab-12/" * 30000, "a1-B2" * 3000, "é" * 50 + "token=abcdef"]
 
 
 def test_against_plain_python(spark, texts):
