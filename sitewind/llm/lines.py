@@ -103,17 +103,17 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
         "windows",
     )
     # Places of a fingerprint are counted before they are joined. The counts are a table of their own,
-    # so a fingerprint that most texts have is split in the join.
+    # so a fingerprint that most texts have is split in the join. Joins shuffle whatever the size.
     places = found.select("print", "row", "at").distinct()
     met = staged(places.groupBy("print").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("print"), "met")
-    candidates = found.join(met, "print", "left_semi")
+    candidates = staged(found.join(met.hint("merge"), "print", "left_semi"), "candidates")
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "row", "first")
     firsts = staged(
         candidates.groupBy("digest").agg(F.min(order).alias("origin"), F.count(F.lit(1)).alias("n"))
         .where("n > 1").select("digest", F.col("origin.row").alias("origin_row"), F.col("origin.first").alias("origin_first")),
         "firsts",
     )
-    later = candidates.join(firsts, "digest").where("row <> origin_row or first <> origin_first")
+    later = candidates.join(firsts.hint("merge"), "digest").where("row <> origin_row or first <> origin_first")
     runs = staged(
         later.groupBy("row").agg(F.collect_set(F.struct("first", "last")).alias("runs")), "runs"
     )
@@ -127,13 +127,11 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
         ]
         return pd.DataFrame({"text": kept, "removed": [[{"first": a, "last": b} for a, b in m] for m in merged]})
 
-    text = F.col(of["text"])
-    joined = held.join(runs, "row", "left")
-    changed = joined.where("runs is not null").withColumn("_new", shorten(text, F.col("runs")))
-    same = joined.where("runs is null").withColumn(
-        "_new", F.struct(text.alias("text"), F.expr("cast(array() as array<struct<first:int,last:int>>)").alias("removed"))
+    # Always shuffled: the texts are moved once, by even row numbers, however many have runs.
+    found_runs = held.join(runs.hint("merge"), "row", "left").withColumn(
+        "_new", shorten(F.col(of["text"]), F.col("runs"))
     )
-    return changed.unionByName(same).select(
+    return found_runs.select(
         *[F.col("_new.text").alias(c) if c == "text" else F.col(of[c]).alias(c) for c in names],
         F.col("_new.removed").alias("removed"),
     )
