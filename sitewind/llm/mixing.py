@@ -31,9 +31,10 @@ MARGINS = ("source", "lang", "topic")
 #: raises small sources and lowers large ones, unless others are given.
 FRACTION = 0.75
 #: Rounds end when no marginal is off by more than this part of its target, or after ROUNDS, as
-#: marginals that exclude each other are never met.
+#: marginals that exclude each other are never met. STEPS does the same for the calibration.
 TOLERANCE = 1e-10
-ROUNDS = 60
+ROUNDS = 20
+STEPS = 25
 SEED = 17
 
 
@@ -85,7 +86,8 @@ def raked(cells: DataFrame, targets: Mapping[str, Mapping[str, float]] | None =
                 wanted[margin].alias("t"), F.expr("s.value <=> t.value")
             ).select(F.col("s.value").alias("value"), F.coalesce(F.try_divide("target", "sum"), F.lit(0.0)).alias("factor"))
             off = F.greatest(off, F.coalesce(F.col("off"), F.lit(0.0)) if "off" in now.columns else F.lit(0.0))
-            now = now.join(factors, F.col(margin).eqNullSafe(F.col("value"))).select(
+            # Many small broadcasts would fill the driver.
+            now = now.join(factors.hint("merge"), F.col(margin).eqNullSafe(F.col("value"))).select(
                 *MARGINS, "tokens",
                 (F.col("weight") * F.col("factor")).alias("weight"),
                 F.greatest(off, F.abs(F.col("factor") - 1)).alias("off"),
@@ -103,7 +105,7 @@ def calibrated(raked: DataFrame, fraction: float = FRACTION) -> DataFrame:
     all, but that no cell can give more than it has."""
     ratio = F.col("weight") / F.col("tokens")
     scale = None
-    for _ in range(ROUNDS):
+    for _ in range(STEPS):
         full = F.lit(False) if scale is None else ratio * scale >= 1
         row = raked.agg(
             F.sum("tokens").alias("all"),
@@ -154,7 +156,7 @@ def op5_mix_to_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def oracle(rounds: int = ROUNDS, steps: int = 25) -> str:
+def oracle(rounds: int = ROUNDS, steps: int = STEPS) -> str:
     """The query in SQL, rounds and steps written out."""
     kind = " ".join(f"when regexp_matches(text, '{p}') then '{name}'" for name, p in TOPICS.items())
     parts = [

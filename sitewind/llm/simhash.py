@@ -116,7 +116,8 @@ def one_of_each(docs: DataFrame, length: int = 3) -> DataFrame:
     labelled = prints.join(labels, "print", "left").withColumn("component", F.coalesce("component", "print"))
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row"))
     kept = staged(labelled.groupBy("component").agg(first.alias("first")).select("first.row"), "kept")
-    return held.join(kept, "row", "left_semi").select(
+    # Always shuffled: the texts are moved once, by even row numbers, however many groups there are.
+    return held.join(kept.hint("merge"), "row", "left_semi").select(
         *[F.col(f"_{i}").alias(c) for i, c in enumerate(names)]
     )
 
