@@ -1,10 +1,13 @@
 """Removing runs of lines that occur earlier, found by winnowing.
 
 The lines of a text that have a word are hashed, whatever white space is around them. A window is the
-shortest run from a line on that has ``MIN_WORDS`` words; its least hash (the last of equal ones) is
-a fingerprint. Equal runs of that many words have a window in common and so a fingerprint: none is
-missed. Where fingerprints meet, their windows are compared; windows that occur earlier overlap to
-runs as far as they go both ways, and the lines of those runs are removed.
+shortest run from a line on, or up to a line, that has ``MIN_WORDS`` words; its least hash (the last
+of equal ones) is a fingerprint. Equal runs of that many words have a window in common and so a
+fingerprint: none is missed. Where fingerprints meet, their windows are compared; windows that occur
+earlier overlap to runs as far as they go both ways, and the lines of those runs are removed.
+
+Both kinds are needed for that: a line of a repeated run is in the window from it on, in the one up
+to it, or in that from the run's first line on, and that window lies in the run.
 """
 
 from __future__ import annotations
@@ -31,17 +34,28 @@ def windows(text: str) -> list[tuple[int, bytes, int, int, int]]:
     lines = [(at, line.encode("utf-8", "surrogatepass")) for at, line in lines if line]
     words = [len(line.split()) for _, line in lines]
     hashes = [xxhash.xxh64_intdigest(line) - (1 << 63) for _, line in lines]
-    found, end, held = [], 0, 0
+    places, end, held = {}, 0, 0
     for start in range(len(lines)):
         while held < MIN_WORDS and end < len(lines):
             held += words[end]
             end += 1
         if held < MIN_WORDS:
             break
+        places[start, end] = None
+        held -= words[start]
+    start = held = 0
+    for end in range(1, len(lines) + 1):
+        held += words[end - 1]
+        while held - words[start] >= MIN_WORDS:
+            held -= words[start]
+            start += 1
+        if held >= MIN_WORDS:
+            places[start, end] = None
+    found = []
+    for start, end in places:
         low = min(range(start, end), key=lambda i: (hashes[i], -i))
         digest = xxhash.xxh3_128_digest(b"\n".join(line for _, line in lines[start:end]))
         found.append((hashes[low], lines[low][0], digest, lines[start][0], lines[end - 1][0]))
-        held -= words[start]
     return found
 
 
