@@ -11,7 +11,7 @@ lost executor had begun is in no row of it.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cache, lru_cache
 
 import numpy as np
@@ -40,9 +40,12 @@ def _byte_characters() -> dict[int, str]:
 
 
 @cache
-def _memory(tokenizer_file: str) -> Remembered:
-    """The merges are the library's; the cut into matches is that of ``pieces``."""
-    model = Tokenizer.from_str(tokenizer_file).model
+def _memory(tokenizer_file: str) -> Callable[[list[str]], list[bytes]]:
+    """Ids of texts, as the library's ``encode(text, add_special_tokens=False)`` has them. The merges
+    are the library's; the cut into matches is that of ``pieces``. Texts that hold one of the file's
+    added tokens go to the library whole, as it looks for those before any cut."""
+    library = Tokenizer.from_str(tokenizer_file)
+    model, added = library.model, [t.content for t in library.get_added_tokens_decoder().values()]
     characters = _byte_characters()
 
     def encode(words: list[bytes]) -> list[bytes]:
@@ -51,7 +54,18 @@ def _memory(tokenizer_file: str) -> Remembered:
             for w in words
         ]
 
-    return Remembered(encode, b"")
+    memory = Remembered(encode, b"")
+
+    def codes(texts: list[str]) -> list[bytes]:
+        whole = {
+            at: np.array(library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+            for at, text in enumerate(texts)
+            if any(token in text for token in added)
+        }
+        cut = iter(memory.codes([text for at, text in enumerate(texts) if at not in whole]))
+        return [whole[at] if at in whole else b"".join(next(cut)) for at in range(len(texts))]
+
+    return codes
 
 
 def id_type(tokenizer_file: str) -> pa.DataType:
@@ -121,15 +135,15 @@ def write_sequences(
     last = np.array([end], "<u4")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory, task, writer = _memory(shared.value), TaskContext.get(), None
+        encode, task, writer = _memory(shared.value), TaskContext.get(), None
         name = f"part-{task.partitionId():06d}-{task.taskAttemptId()}.arrow"
         for rows in batches:
             for at in range(0, rows.num_rows, 1000):
                 some = rows.slice(at, 1000)
                 begins, sizes = [], []
                 writer = writer or _Writer(f"{folder}/{name}", ids, length, batch)
-                for codes in memory.codes(some.column("_text").to_pylist()):
-                    tokens = np.concatenate([np.frombuffer(b"".join(codes), "<u4"), last])
+                for code in encode(some.column("_text").to_pylist()):
+                    tokens = np.concatenate([np.frombuffer(code, "<u4"), last])
                     begins.append(writer.add(tokens))
                     sizes.append(len(tokens))
                 n = some.num_rows
