@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sitewind.llm import bpe, ctw, knn, lines, mixing, quality, secrets, sequences, simhash, substrings
+from sitewind.llm import bpe, ctw, divergence, knn, lines, mixing, quality, secrets, sequences, simhash, substrings
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,6 +21,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         bpe.op8_byte_bpe,
         secrets.op9_secret_scan,
         simhash.op10_simhash_near_dedup,
+        divergence.op12_source_divergence,
     ]
     return {query.__name__: query for query in found}
 
@@ -30,4 +31,5 @@ def oracle_sql() -> dict[str, str]:
         "op1_quality_rules": quality.oracle(),
         "op5_mix_to_targets": mixing.oracle(),
         "op7_voronoi_knn": knn.oracle(),
+        "op12_source_divergence": divergence.oracle(),
     }
