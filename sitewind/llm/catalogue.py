@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sitewind.llm import bpe, ctw, divergence, knn, lines, mixing, quality, secrets, sequences, simhash, substrings
+from sitewind.llm import alignment, bpe, ctw, divergence, knn, lines, mixing, quality, secrets, sequences, simhash, substrings
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -22,6 +22,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         secrets.op9_secret_scan,
         simhash.op10_simhash_near_dedup,
         divergence.op12_source_divergence,
+        alignment.op13_token_alignment,
     ]
     return {query.__name__: query for query in found}
 

@@ -31,7 +31,7 @@ LENGTH = 2048
 BATCH = 128
 
 
-def _byte_characters() -> dict[int, str]:
+def byte_characters() -> dict[int, str]:
     """The characters that byte-level vocabularies write for bytes: printable ones stand for
     themselves, the others for those from 256 on."""
     printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -46,7 +46,7 @@ def _memory(tokenizer_file: str) -> Callable[[list[str]], list[bytes]]:
     added tokens go to the library whole, as it looks for those before any cut."""
     library = Tokenizer.from_str(tokenizer_file)
     model, added = library.model, [t.content for t in library.get_added_tokens_decoder().values()]
-    characters = _byte_characters()
+    characters = byte_characters()
 
     def encode(words: list[bytes]) -> list[bytes]:
         return [
