@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sitewind.llm import alignment, bpe, ctw, divergence, knn, lines, mixing, quality, secrets, sequences, simhash, substrings
+from sitewind.llm import alignment, bpe, ctw, divergence, knn, lines, mixing, quality, secrets, sequences, shingles, simhash, substrings
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,6 +21,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         bpe.op8_byte_bpe,
         secrets.op9_secret_scan,
         simhash.op10_simhash_near_dedup,
+        shingles.op11_ngram_jaccard,
         divergence.op12_source_divergence,
         alignment.op13_token_alignment,
     ]
