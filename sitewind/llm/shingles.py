@@ -63,11 +63,11 @@ def asked_length(n, percent: int = PERCENT):
 
 def names(texts: pa.Array, length: int = LENGTH) -> list[np.ndarray]:
     """The distinct n-grams of each text by name, sorted; A-Z count as a-z. Fewer words make one."""
-    lower = pc.ascii_lower(texts.fill_null("").cast(pa.large_string()))
-    lists = pc.ascii_split_whitespace(lower)
+    lists = pc.ascii_split_whitespace(texts.fill_null(""))
     words = pc.list_flatten(lists).dictionary_encode()
     codes = words.indices.to_numpy(zero_copy_only=False)
-    spelled = [w.encode("utf-8", "surrogatepass") for w in words.dictionary.to_pylist()]
+    # Distinct words are few: their letters are lowered here, and not those of the texts.
+    spelled = [w.lower() for w in words.dictionary.cast(pa.binary()).to_pylist()]
     hashes = np.fromiter(map(xxhash.xxh64_intdigest, spelled), np.uint64, len(spelled))[codes]
     real = np.fromiter(map(bool, spelled), bool, len(spelled))[codes]
     ends = np.asarray(lists.offsets, np.int64)
