@@ -1,8 +1,9 @@
 """Two-place rounding and sums that do not depend on the order of the rows.
 
-A measure is rounded half-up on its decimal text, as ``round(x, 2)`` does, and then handled as
-a BIGINT count of hundredths. Integer sums are exact and cheap, where decimal sums allocate an
-object per row.
+A measure is rounded half-up on its decimal text, as ``round(x, 2)`` does. Its total is kept in
+whole numbers: a rounded value is taken apart into hundredths and two larger units by divisions
+and subtractions that are exact in doubles, and each part is summed as BIGINT. Integer sums are
+exact and cheap, where decimal sums allocate an object per row.
 """
 
 from __future__ import annotations
@@ -12,14 +13,16 @@ from decimal import Decimal
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# A total is kept in three parts. Hundredths below _WIDE are summed as the bits above _SPLIT_BITS
-# and those below, both BIGINT: 2**36 rows, all of them that large, fit. Larger values are rare and
-# are summed as decimals of 38 digits; what these can't hold is an error. Totals of totals are sums
-# of the same parts.
-_SPLIT_BITS = 20
-_LOW_MASK = (1 << _SPLIT_BITS) - 1
-_WIDE = 1 << 47
-_WIDE_TYPE = "decimal(38,2)"
+# A value is  hundredths / 100 + middle * 2**24 + top * 2**58,  where hundredths are at most 2**23 * 100,
+# and the middle at most 2**34, on either side of zero. So 2**29 rows of any values can be summed, and
+# 2**32 of values below 2**23. The top holds values to 1e36; a value or a total that does not fit
+# is an error.
+_MIDDLE = float(1 << 24)
+_TOP = float(1 << 58)
+_PARTS = ("hundredths", "middle", "top")
+
+# Doubles of this size and more are further apart than hundredths.
+_SPARSE = float(1 << 46)
 _MOST_HUNDREDTHS = 1e16  # as a value, not in hundredths
 
 
@@ -30,80 +33,80 @@ def _plainly_rounded(x: Column) -> Column:
     return (F.abs(x) < F.lit(1e9)) & (F.abs(scaled - F.floor(scaled) - F.lit(0.5)) > F.lit(1e-3))
 
 
-def _plain_hundredths(x: Column) -> Column:
-    return F.floor(x * F.lit(100.0) + F.lit(0.5))
+def rounded(x: Column) -> Column:
+    """``round(x, 2)`` as DOUBLE; NULL for NULL, NaN and infinities. Values of 1e16 or more are whole
+    and stay as they are."""
+    return F.when(
+        _plainly_rounded(x), F.floor(x * F.lit(100.0) + F.lit(0.5)) / F.lit(100.0)
+    ).when(F.abs(x) < F.lit(float("inf")), F.round(x, 2))
 
 
-def _exactly_rounded(x: Column) -> Column:
-    return F.round(x, 2).try_cast("decimal(18,2)")
+def _top(r: Column) -> Column:
+    # A cast cuts off what follows the point, and is an error for what a BIGINT does not hold.
+    return (r / F.lit(_TOP)).cast("bigint")
 
 
-def hundredths(x: Column) -> Column:
-    """``round(x, 2) * 100`` as BIGINT; NULL for NULL, NaN and infinities, and for values of 1e16
-    or more, which :func:`beyond` has."""
-    return F.when(_plainly_rounded(x), _plain_hundredths(x)).otherwise(
-        (_exactly_rounded(x) * F.lit(Decimal(100))).cast("bigint")
-    )
+def _below_top(r: Column) -> Column:
+    return r - _top(r).cast("double") * F.lit(_TOP)
 
 
-def _is_beyond(x: Column) -> Column:
-    return (F.abs(x) >= F.lit(_MOST_HUNDREDTHS)) & (F.abs(x) < F.lit(float("inf")))
+def _middle(r: Column) -> Column:
+    # Nearest, not cut off: of small values, negative ones too, nothing is left over.
+    return F.floor(F.rint(_below_top(r) / F.lit(_MIDDLE)))
 
 
-def beyond(x: Column) -> Column:
-    """Finite values of 1e16 or more, which are whole, as exact decimals; NULL for others. An error
-    for those of 1e36 or more, which no decimal with two places holds."""
-    # In two parts that a BIGINT holds: the text of a large double need not be its exact value.
-    part = float(1 << 60)
-    high = F.floor(x / F.lit(part))
-    low = (x - high.cast("double") * F.lit(part)).cast("bigint")
-    whole = high.cast("decimal(19,0)") * F.lit(Decimal(1 << 60)) + low.cast("decimal(19,0)")
-    return F.when(_is_beyond(x), whole.cast(_WIDE_TYPE))
+def _hundredths(r: Column) -> Column:
+    low = _below_top(r) - _middle(r).cast("double") * F.lit(_MIDDLE)
+    # Where several places stand for one double, its text has the shortest of them.
+    tenths = F.rint(low * F.lit(10.0))
+    short = (F.abs(r) >= F.lit(_SPARSE)) & (r - low + tenths / F.lit(10.0) == r)
+    return F.when(short, tenths * F.lit(10.0)).otherwise(F.rint(low * F.lit(100.0))).cast("bigint")
 
 
-def rounded(x: Column) -> Column:
-    """``round(x, 2)`` as DOUBLE; NULL for NULL, NaN and infinities."""
-    return (
-        F.when(_plainly_rounded(x), _plain_hundredths(x) / F.lit(100.0))
-        .when(_is_beyond(x), x)
-        .otherwise(_exactly_rounded(x).cast("double"))
-    )
+def hundredths(x: Column) -> Column:
+    """``round(x, 2) * 100`` as BIGINT; NULL for NULL, NaN and infinities, and for values of 1e16
+    or more."""
+    r = rounded(F.when(F.abs(x) < F.lit(_MOST_HUNDREDTHS), x))
+    return _middle(r) * F.lit(100 << 24) + _hundredths(r)
+
 
+def small_hundredths(r: Column) -> Column:
+    """The same of a rounded value, and NULL from 2**24 on: for angles."""
+    return F.when(F.abs(r) < F.lit(_MIDDLE), F.rint(r * F.lit(100.0)).cast("bigint"))
 
-def total_parts(x: Column, name: str, more: Column | None = None) -> list[Column]:
-    """Aggregates: the parts of the exact total of a column of hundredths, and of the column that
-    :func:`beyond` gives for the same values."""
-    narrow = F.when(F.abs(x) < F.lit(_WIDE), x)
-    wide = F.when(F.abs(x) >= F.lit(_WIDE), (x.cast("decimal(20,0)") * F.lit(Decimal("0.01"))).cast(_WIDE_TYPE))
-    return [
-        F.sum(F.shiftright(narrow, _SPLIT_BITS)).alias(f"{name}_high"),
-        F.sum(narrow.bitwiseAND(F.lit(_LOW_MASK))).alias(f"{name}_low"),
-        F.sum(wide if more is None else F.coalesce(more, wide)).alias(f"{name}_wide"),
-    ]
+
+def total_parts(r: Column, name: str) -> list[Column]:
+    """Aggregates: the parts of the exact total of a column of rounded values.
+
+    The parts are taken from a value inside the sums, not in columns of their own: what a sum reads is
+    compiled apart from it, and the method that runs over the rows stays small.
+    """
+    found = zip(_PARTS, (_hundredths(r), _middle(r), _top(r)), strict=True)
+    return [F.sum(part).alias(f"{name}_{of}") for of, part in found]
 
 
 def sum_of_totals(name: str) -> list[Column]:
     """Aggregates: the parts of the sum of totals, NULL if all of them are."""
-    return [F.sum(f"{name}_{part}").alias(f"{name}_{part}") for part in ("high", "low", "wide")]
+    return [F.sum(f"{name}_{of}").alias(f"{name}_{of}") for of in _PARTS]
 
 
 def has_total(name: str) -> Column:
     """Whether anything was summed."""
-    return F.col(f"{name}_high").isNotNull() | F.col(f"{name}_wide").isNotNull()
+    return F.col(f"{name}_hundredths").isNotNull()
 
 
 def total(name: str) -> Column:
     """A total as DOUBLE: the value nearest to the exact decimal."""
-    high, low = F.col(f"{name}_high"), F.col(f"{name}_low")
-    # Below 2**52 hundredths one division rounds correctly; larger totals go through decimals.
-    small = (F.abs(high) < F.lit(1 << 31)) & (low < F.lit(1 << 51))
-    whole = high.cast("decimal(20,0)") * F.lit(Decimal(1 << _SPLIT_BITS)) + low.cast("decimal(20,0)")
-    plain = F.when(small, (high * F.lit(1 << _SPLIT_BITS) + low) / F.lit(100.0)).otherwise(
-        (whole * F.lit(Decimal("0.01"))).cast("double")
+    low, middle, top = (F.col(f"{name}_{of}") for of in _PARTS)
+    # Below 2**53 hundredths one division rounds correctly; larger totals go through decimals.
+    small = (top == 0) & (F.abs(middle) < F.lit(1 << 21)) & (F.abs(low) < F.lit(1 << 52))
+    units = top.cast("decimal(20,0)") * F.lit(Decimal(1 << 58)) + middle.cast("decimal(20,0)") * F.lit(
+        Decimal(1 << 24)
+    )
+    exact = units.cast("decimal(38,2)") + low.cast("decimal(20,0)") * F.lit(Decimal("0.01"))
+    return F.when(small, (middle * F.lit(100 << 24) + low) / F.lit(100.0)).otherwise(
+        exact.cast("decimal(38,2)").cast("double")
     )
-    wide = F.col(f"{name}_wide")
-    rest = F.coalesce((whole * F.lit(Decimal("0.01"))).cast(_WIDE_TYPE), F.lit(Decimal("0.00")))
-    return F.when(wide.isNull(), plain).otherwise((wide + rest).cast(_WIDE_TYPE).cast("double"))
 
 
 def mean(name: str, count: Column) -> Column:

@@ -30,27 +30,27 @@ def prepare_measurements(measurements: DataFrame) -> DataFrame:
     )
 
 
-def _beyond(name: str) -> str:
-    return f"{name}_beyond"
-
-
 def scaled_measurements(measurements: DataFrame) -> DataFrame:
-    """What the aggregates read: measures as hundredths, the UTC date, and the sector."""
+    """What the aggregates read: rounded measures, the UTC date, and the sector."""
     date = utc_date(measurements, "datetime")
-    scaled = measurements.select(
+    rounded = measurements.select(
         "site_id",
         date.alias("date"),
-        *[numbers.hundredths(F.col(name)).alias(name) for name in ATTRIBUTES],
-        *[numbers.beyond(F.col(name)).alias(_beyond(name)) for name in MEASURES],
+        *[numbers.rounded(F.col(name)).alias(name) for name in ATTRIBUTES],
+    )
+    scaled = rounded.select(
+        "site_id",
+        "date",
+        *MEASURES,
+        numbers.small_hundredths(F.col("wind_direction")).alias("direction"),
     )
-    direction = F.col("wind_direction")
+    direction = F.col("direction")
     return scaled.select(
         "site_id",
         "date",
         F.year("date").alias("year"),
         F.month("date").alias("month"),
         *MEASURES,
-        *[_beyond(name) for name in MEASURES],
         wind.sector_index(direction).alias("sector"),
         wind.direction_sine(direction).alias("sine"),
         wind.direction_cosine(direction).alias("cosine"),
@@ -60,15 +60,8 @@ def scaled_measurements(measurements: DataFrame) -> DataFrame:
 def measure_totals() -> list[Column]:
     """Aggregates over :func:`scaled_measurements`: total and count of each measure."""
     return [
-        *[
-            part
-            for name in MEASURES
-            for part in numbers.total_parts(F.col(name), f"total_{name}", F.col(_beyond(name)))
-        ],
-        *[
-            F.count_if(F.col(name).isNotNull() | F.col(_beyond(name)).isNotNull()).alias(f"count_{name}")
-            for name in MEASURES
-        ],
+        *[part for name in MEASURES for part in numbers.total_parts(F.col(name), f"total_{name}")],
+        *[F.count(name).alias(f"count_{name}") for name in MEASURES],
     ]
 
 

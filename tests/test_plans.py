@@ -131,3 +131,21 @@ def test_ordering_sites_never_gathers_them_in_one_task(spark):
     # The only unpartitioned window is over one total per range.
     for window in re.findall(r"Window \[([^\]]*)\]", text):
         assert "_total" in window or "_range" in window
+
+
+@pytest.mark.parametrize("name", [
+    "wind_dir_avg", "daily_avg", "monthly_avg", "yearly_power", "daily_and_direction_totals",
+    "yearly_power_large", "monthly_avg_rolled",
+])
+def test_no_generated_method_is_too_long_to_be_compiled(spark, name):
+    """The JVM compiles no method of 8,000 bytes and more."""
+    debug = getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        executed = queries()[name](spark, FOLDER)._jdf.queryExecution().executedPlan()
+        stages = getattr(debug, "MODULE$").codegenStringSeq(executed)
+        sizes = [stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sizes and 0 < max(sizes) < 8000
+    assert "decimal" not in plan(queries()[name](spark, FOLDER)).split("Exchange")[-1].lower()
