@@ -7,14 +7,10 @@ from pyspark.sql import functions as F
 
 from sitewind.operators.ordinal import running_total
 from sitewind.operators.sites import first_rows
-from sitewind.session import pin
-from sitewind.sources.measurements import site_block
+from sitewind.sources.measurements import in_blocks_of, site_block
 
 SITES_PER_BATCH = 50
 
-# A site list of up to this many rows (three BIGINTs each) is sent whole to every executor.
-BROADCAST_ROWS = 1_000_000
-
 # Copies of one site row are spread over tasks in pieces of this many.
 _COPIES_PER_PIECE = 65_536
 
@@ -85,35 +81,27 @@ def batch_state_counts(batches: DataFrame, sites: DataFrame) -> DataFrame:
     return counts.select("run_id", "state", "n_sites", states.alias("n_states"))
 
 
-def _small(sites: DataFrame) -> DataFrame:
-    """Marked for broadcast, if a count shows that it has no more than ``BROADCAST_ROWS`` rows.
-
-    Beyond that the join shuffles, and adaptive execution splits the sites with most rows.
-    """
-    return F.broadcast(sites) if sites.count() <= BROADCAST_ROWS else sites
-
-
 def batch_measurements(measurements: DataFrame, batches: DataFrame, run_id: int) -> DataFrame:
     """Measurements of the sites of one batch.
 
-    Where the measurements come in blocks of sites, only the folders of the batch's blocks are
-    read: they are found at run time.
+    Where the measurements come in blocks of sites, only the folders of the batch's blocks are read:
+    they are found at run time. Of a stored list Spark knows the size, and sends a small one to the
+    tasks that read the measurements.
     """
     sites = batches.where(F.col("run_id") == run_id).select("site_id")
-    keys = ["site_id"]
-    if "site_block" in measurements.columns:
-        sites = sites.withColumn("site_block", site_block(F.col("site_id")))
-        keys = ["site_block", "site_id"]
-    return measurements.join(_small(sites), keys, "left_semi")
+    return in_sites(measurements, sites)
 
 
 def with_run_id(measurements: DataFrame, batches: DataFrame) -> DataFrame:
     """Measurements with the batch their site belongs to, those of unlisted sites left out."""
-    sites = pin(batches.select("site_id", "run_id").distinct())
-    return measurements.join(_small(sites), "site_id")
+    return measurements.join(batches.select("site_id", "run_id").distinct(), "site_id")
 
 
 def in_sites(measurements: DataFrame, sites: DataFrame) -> DataFrame:
-    """Measurements of the sites listed in a frame."""
-    wanted = pin(sites.select("site_id").distinct())
-    return measurements.join(_small(wanted), "site_id", "left_semi")
+    """Measurements of the sites listed in a frame, from the folders of their blocks alone."""
+    pruned, keys = in_blocks_of(measurements, sites), ["site_id"]
+    wanted = sites.select("site_id")
+    if "site_block" in measurements.columns:
+        wanted = wanted.withColumn("site_block", site_block(F.col("site_id")))
+        keys = ["site_block", "site_id"]
+    return pruned.join(wanted, keys, "left_semi").select(*measurements.columns)

@@ -8,7 +8,30 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sitewind.session import pin
+# Values of the first column of the order that share a bucket, and rows beyond which a bucket is cut
+# into pieces by its next columns.
+WIDTH = 4096
+PIECE_ROWS = 1 << 18
+
+
+def _same(names: Sequence[str], other: str) -> Column:
+    return reduce(
+        lambda a, b: a & b, [F.col(name).eqNullSafe(F.col(f"{other}{name}")) for name in names]
+    )
+
+
+def _with(df: DataFrame, other: DataFrame, names: Sequence[str], prefix: str) -> DataFrame:
+    """``df`` with the other columns of ``other``, by equal names; NULL is a value like any other."""
+    renamed = other.select(
+        *[F.col(name).alias(f"{prefix}{name}") if name in names else name for name in other.columns]
+    )
+    return df.join(renamed, _same(names, prefix)).drop(*[f"{prefix}{name}" for name in names])
+
+
+def _before(totals: DataFrame, within: Sequence[str], order: str, name: str) -> DataFrame:
+    """``totals`` with the sum of column ``total`` before each row."""
+    earlier = Window.partitionBy(*within).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    return totals.withColumn(name, F.coalesce(F.sum("_total").over(earlier), F.lit(0)))
 
 
 def running_total(
@@ -21,37 +44,44 @@ def running_total(
     """Add the total ``weight`` of the rows before each row, as BIGINT column ``name``.
 
     ``order`` must tell all rows apart. ``within`` restarts the total for each value of those
-    columns, which have to lead ``order``; NULL is a value like any other.
+    columns, which have to lead ``order``; NULL is a value like any other. The column after them is
+    a BIGINT, and so is the next, if there is one.
 
-    The rows are split into ranges of the order and pinned, because the ranges are sampled and
-    must not move afterwards. Then only one number per range and group is carried from range to
-    range, so a group of any size is worked on by as many tasks as it fills ranges.
+    Which bucket a row is in follows from its own values, so nothing is sampled, and rows that are
+    read again are in the same place. A bucket has ``WIDTH`` values of the first column; where they
+    have many rows, a piece of it has one value and ``WIDTH`` values of the second. Only totals are
+    carried on, from piece to piece and from bucket to bucket: one row per bucket is what the last
+    step sorts, and a group of any size is worked on by as many tasks as it has pieces.
     """
     if list(order[: len(within)]) != list(within):
         raise ValueError("the columns of 'within' must lead 'order'")
-    keys = [F.col(column) for column in order]
-    ranged = pin(
-        df.withColumn("_weight", weight.cast("bigint"))
-        .repartitionByRange(*keys)
-        .withColumn("_range", F.spark_partition_id())
-    )
+    first, *rest = order[len(within):]
+    bucket = [*within, "_bucket"]
+    rows = df.withColumns({
+        "_weight": weight.cast("bigint"),
+        "_bucket": F.call_function("div", F.col(first), F.lit(WIDTH)),
+    })
+    # Division cuts off towards zero: on both sides of it would be one bucket.
+    rows = rows.withColumn("_bucket", F.when(F.col(first) < 0, F.col("_bucket") - 1).otherwise(F.col("_bucket")))
+    piece = F.lit(None).cast("struct<a:bigint,b:bigint>")
+    if rest:
+        sizes = rows.groupBy(*bucket).agg(F.count(F.lit(1)).alias("_n"))
+        rows = _with(rows, sizes, bucket, "_of_")
+        second = F.floor(F.col(rest[0]) / F.lit(WIDTH)) if dict(df.dtypes)[rest[0]] == "bigint" else F.lit(0).cast("bigint")
+        cut = F.struct(F.col(first).cast("bigint").alias("a"), second.alias("b"))
+        piece = F.when(F.col("_n") > PIECE_ROWS, cut).otherwise(piece)
+    rows = rows.withColumn("_piece", piece)
 
-    group = ["_range", *within]
-    totals = ranged.groupBy(*group).agg(F.sum("_weight").alias("_total"))
-    # At most one row per range and group.
-    earlier = Window.partitionBy(*within).orderBy("_range").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    offsets = totals.select(
-        *[F.col(column).alias(f"_of_{column}") for column in group],
-        F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_offset"),
-    )
+    totals = rows.groupBy(*bucket, "_piece").agg(F.sum("_weight").alias("_total"))
+    in_bucket = _before(totals, bucket, "_piece", "_ahead").drop("_total")
+    sums = totals.groupBy(*bucket).agg(F.sum("_total").alias("_total"))
+    of_bucket = _before(sums, within, "_bucket", "_offset").drop("_total")
+    offsets = _with(in_bucket, of_bucket, bucket, "_of_")
 
-    before = Window.partitionBy(*group).orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
-    inside = ranged.withColumn("_before", F.coalesce(F.sum("_weight").over(before), F.lit(0)))
-    same = reduce(
-        lambda a, b: a & b, [F.col(column).eqNullSafe(F.col(f"_of_{column}")) for column in group]
+    inside = Window.partitionBy(*bucket, "_piece").orderBy(first, *rest).rowsBetween(
+        Window.unboundedPreceding, -1
     )
-    return inside.join(offsets, same).select(
-        *df.columns, (F.col("_offset") + F.col("_before")).alias(name)
+    placed = rows.withColumn("_inside", F.coalesce(F.sum("_weight").over(inside), F.lit(0)))
+    return _with(placed, offsets, [*bucket, "_piece"], "_at_").select(
+        *df.columns, (F.col("_offset") + F.col("_ahead") + F.col("_inside")).alias(name)
     )

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sitewind.functions.calendar import grain_columns, start_date
+from sitewind.sources.measurements import of_site
 
 # Metric -> value column of the table it is read from.
 METRICS = {"power": "{grain}_power", "speed": "avg_wind_speed"}
@@ -28,7 +29,7 @@ def value_column(metric: str, grain: str) -> str:
 
 def site_rows(table: DataFrame, site_id: int) -> DataFrame:
     """Rows of one site."""
-    return table.where(F.col("site_id") == F.lit(int(site_id)))
+    return of_site(table, F.lit(int(site_id)).cast("bigint"))
 
 
 def sites_in(table: DataFrame, site_ids: Sequence[int]) -> DataFrame:
@@ -49,7 +50,7 @@ def default_site(scored: DataFrame) -> Column:
 
 def of_default_site(table: DataFrame, scored: DataFrame) -> DataFrame:
     """Rows of the default site."""
-    return table.where(F.col("site_id") == default_site(scored))
+    return of_site(table, default_site(scored))
 
 
 def site_card(scored: DataFrame, site_id: int | None = None) -> DataFrame:

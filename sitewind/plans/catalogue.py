@@ -12,6 +12,7 @@ from sitewind.functions import numbers
 from sitewind.operators import batches, direction, rollup, score, serving, sites
 from sitewind.plans.views import view
 from sitewind.sources import dimensions, measurements
+from sitewind.sources.tables import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -228,17 +229,22 @@ def batch_state_counts(spark, folder):
     return batches.batch_state_counts(batch_assign(spark, folder), _sites(spark, folder))
 
 
+def _stored_batches(spark, folder):
+    """The batches as the jobs read them, from a table."""
+    return stored(batch_assign(spark, folder), "batches")
+
+
 @_query
 def batch_measurements(spark, folder):
     """Size of the input set of every batch, by site."""
-    batched = batches.with_run_id(_raw(spark, folder), batch_assign(spark, folder))
+    batched = batches.with_run_id(_raw(spark, folder), _stored_batches(spark, folder))
     return batched.groupBy("run_id", "site_id").agg(F.count(F.lit(1)).alias("rows"))
 
 
 @_query
 def batch_filter(spark, folder):
     """Measurements of the first batch, as a run over one batch reads them."""
-    return batches.batch_measurements(_raw(spark, folder), batch_assign(spark, folder), 1)
+    return batches.batch_measurements(_raw(spark, folder), _stored_batches(spark, folder), 1)
 
 
 @_query
@@ -285,7 +291,7 @@ def site_measurements(spark, folder):
 def sites_subset(spark, folder):
     """Series of the sites of the highest score."""
     best = site_score(spark, folder).where(F.col("site_score") == score.BANDS)
-    return batches.in_sites(_raw(spark, folder), best)
+    return batches.in_sites(_raw(spark, folder), stored(best, "best-sites"))
 
 
 @_query

@@ -1,18 +1,14 @@
-"""Session settings the package relies on, and where it may checkpoint."""
+"""Session settings the package relies on."""
 
 from __future__ import annotations
 
-import tempfile
+from pyspark.sql import SparkSession
 
-from pyspark.sql import DataFrame, SparkSession
-
-# Times without a zone are UTC, joins split keys that hold most rows, and checkpoints go when
-# nothing refers to them any more.
+# Times without a zone are UTC, and joins split keys that hold most rows.
 SESSION_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -22,17 +18,3 @@ def create_session(app_name: str = "sitewind", conf: dict[str, str] | None = Non
     for key, value in {**SESSION_CONF, **(conf or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
-
-
-def pin(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the checkpoint folder, so that later reads see the same rows in the
-    same partitions even if executors are lost."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if not folder:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="sitewind-checkpoint-")
-        context.setCheckpointDir(folder)
-    return df.checkpoint()

@@ -32,6 +32,27 @@ def site_block(site_id: Column) -> Column:
     return F.call_function("div", site_id, F.lit(SITES_PER_BLOCK))
 
 
+def in_blocks_of(measurements: DataFrame, sites: DataFrame) -> DataFrame:
+    """The rows in the blocks of some sites; all rows where there are no blocks.
+
+    The blocks are one array, of a number for each 500 site ids that occur, which Spark has before it
+    lists the files to read.
+    """
+    if "site_block" not in measurements.columns:
+        return measurements
+    blocks = sites.agg(F.collect_set(site_block(F.col("site_id")))).scalar()
+    return measurements.where(F.array_contains(blocks, F.col("site_block")))
+
+
+def of_site(table: DataFrame, site_id: Column) -> DataFrame:
+    """Rows of one site, given as a number or as the result of a subquery. The block filter prunes
+    folders, where there are any, the id filter row groups."""
+    rows = table.where(F.col("site_id") == site_id)
+    if "site_block" in table.columns:
+        rows = rows.where(F.col("site_block") == site_block(site_id))
+    return rows
+
+
 def site_blocks(sites: DataFrame) -> DataFrame:
     """Number of sites in every block."""
     return sites.groupBy(site_block(F.col("site_id")).alias("site_block")).agg(
@@ -162,8 +183,5 @@ def read_measurements(spark: SparkSession, path: str) -> DataFrame:
 
 
 def site_measurements(measurements: DataFrame, site_id: int) -> DataFrame:
-    """Series of one site. The block filter prunes folders, the id filter row groups."""
-    rows = measurements.where(F.col("site_id") == F.lit(int(site_id)))
-    if "site_block" in measurements.columns:
-        rows = rows.where(F.col("site_block") == F.lit(int(site_id) // SITES_PER_BLOCK))
-    return rows
+    """Series of one site."""
+    return of_site(measurements, F.lit(int(site_id)).cast("bigint"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,6 +38,25 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(root, name))
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new folder that all executors share, gone when the session ends: in the folder named by
+    ``spark.checkpoint.dir``, or in the warehouse where that is not set."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    hadoop, conf = spark._jvm.org.apache.hadoop.fs.Path, spark._jsc.hadoopConfiguration()
+    path = hadoop(f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}")
+    files = path.getFileSystem(conf)
+    files.deleteOnExit(path)
+    return files.makeQualified(path).toUri().toString()
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table in a scratch folder: computed once, safe from lost executors, and of a size
+    that Spark knows when it plans a join."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def table_exists(spark: SparkSession, root: str, name: str) -> bool:
     """Whether there is a folder of that name; a damaged one is there, too."""
     path = spark._jvm.org.apache.hadoop.fs.Path(table_path(root, name))

@@ -119,7 +119,9 @@ def test_a_batch_reads_only_the_folders_of_its_blocks(spark, raw, tmp_path):
     stored = measurements.read_measurements(spark, path)
     df = batches.batch_measurements(stored, spark.read.parquet(table), 1)
     text = plan(df)
-    assert "dynamicpruning" in text
+    # The list's size is known, so the measurements stay where they are.
+    assert count(r"(?<![a-zA-Z])Exchange (hash|range)", text) == 0
+    assert re.search(r"PartitionFilters: \[[^\]]*array_contains\(", text)
     assert {row.site_id for row in df.select("site_id").distinct().collect()} == {400, 800}
 
 
@@ -128,9 +130,48 @@ def test_ordering_sites_never_gathers_them_in_one_task(spark):
         F.col("id").alias("site_id"), F.lit("A").alias("state")
     )
     text = plan(batches.assign_batches(sites, 7))
-    # The only unpartitioned window is over one total per range.
-    for window in re.findall(r"Window \[([^\]]*)\]", text):
-        assert "_total" in window or "_range" in window
+    # The only unpartitioned window is over one total per bucket.
+    windows = [line for line in text.splitlines() if re.search(r"\bWindow \[", line)]
+    assert windows and all("_bucket" in line for line in windows)
+    assert "Range" not in re.sub(r"\bRange \(", "", text) and "sample" not in text.lower()
+
+
+def test_a_list_of_sites_and_the_default_site_read_their_blocks_only(spark, raw, tmp_path):
+    path, table = str(tmp_path / "store"), str(tmp_path / "sites")
+    measurements.write_measurements(raw.withColumn("site_id", F.col("site_id") * 400), path)
+    spark.createDataFrame([(400,), (3600,)], "site_id bigint").write.parquet(table)
+    stored, sites = measurements.read_measurements(spark, path), spark.read.parquet(table)
+    for df, ids in ((batches.in_sites(stored, sites), {400, 3600}), (serving.of_default_site(stored, sites), {400})):
+        text = plan(df)
+        assert re.search(r"PartitionFilters: \[.*site_block", text)
+        assert count(r"(?<![a-zA-Z])Exchange (hash|range)", text.split("Subquery")[0]) == 0
+        df.write.format("noop").mode("overwrite").save()
+        blocks = {row.site_block for row in df.select("site_block").distinct().collect()}
+        assert {row.site_id for row in df.select("site_id").distinct().collect()} == ids
+        assert blocks == {i // 500 for i in ids}
+        assert read_files(df) < len(stored.inputFiles())
+
+
+def read_files(df):
+    """Files that the scan of the measurements read."""
+    df.collect()
+    found = []
+
+    def walk(node):
+        metrics = node.metrics()
+        if metrics.contains("numFiles") and "wind_speed" in node.toString():
+            found.append(metrics.apply("numFiles").value())
+        children = node.children() if "AdaptiveSparkPlan" not in node.nodeName() else None
+        if children is None:
+            walk(node.executedPlan())
+        elif "QueryStage" in node.nodeName():
+            walk(node.plan())
+        else:
+            for i in range(children.size()):
+                walk(children.apply(i))
+
+    walk(df._jdf.queryExecution().executedPlan())
+    return max(found)
 
 
 @pytest.mark.parametrize("name", [

@@ -6,8 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from sitewind.functions.states import STATE_NAMES, state_lookup
-from sitewind.operators import batches, sites
+from sitewind.operators import batches, ordinal, sites
 from sitewind.operators.ordinal import running_total
+from sitewind.sources.tables import stored
 
 SITES = "site_id bigint, state string"
 
@@ -76,6 +77,17 @@ def test_a_batch_needs_a_size(spark):
         batches.assign_batches(sites_frame(spark, []), 0)
 
 
+@pytest.mark.parametrize(("width", "rows"), [(3, 5), (7, 1000), (4096, 2)])
+def test_buckets_and_pieces_of_any_size(spark, monkeypatch, width, rows):
+    monkeypatch.setattr(ordinal, "WIDTH", width)
+    monkeypatch.setattr(ordinal, "PIECE_ROWS", rows)
+    choose = random.Random(width)
+    states = ["A"] * 20 + [f"S{n}" for n in range(60)] + [None]
+    pairs = [(site, choose.choice(states)) for site in range(-50, 400)]
+    pairs += [(1000 + n, f"T{n}") for n in range(100)]
+    assert assigned(spark, pairs, 9) == round_robin(pairs)
+
+
 def test_running_total_restarts_per_group_and_for_null(spark):
     frame = spark.createDataFrame(
         [("x", 1, 5), ("x", 2, 7), ("x", 3, 1), (None, 1, 2), (None, 2, 3)],
@@ -122,19 +134,24 @@ def test_members_of_a_state_are_listed_in_order(spark):
     )
 
 
-def test_large_site_lists_are_not_broadcast(spark, monkeypatch):
+def test_the_size_of_a_stored_list_decides_how_it_is_joined(spark):
     plan = spark.createDataFrame([(1, 1), (2, 1), (2, 2)], "site_id bigint, run_id bigint")
-    data = spark.createDataFrame([(1, 10.0), (2, 20.0)], "site_id bigint, power double")
-    hinted = batches.with_run_id(data, plan)
-    assert "ResolvedHint (strategy=broadcast)" in plan_text(hinted)
-    monkeypatch.setattr(batches, "BROADCAST_ROWS", 2)
-    plain = batches.with_run_id(data, plan)
-    assert "ResolvedHint" not in plan_text(plain)
-    assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, hinted.collect()))
-
-
-def plan_text(df):
-    return df._jdf.queryExecution().analyzed().toString()
+    listed = stored(plan, "batches")
+    data = stored(spark.range(1000).select((F.col("id") % 5).alias("site_id"), F.col("id").alias("power")), "data")
+    found = []
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        for limit, kind in ((before, "BroadcastHashJoin"), ("10", "SortMergeJoin")):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+            joined = [batches.with_run_id(data, listed), batches.batch_measurements(data, listed, 1)]
+            for df in joined:
+                text = df._jdf.queryExecution().executedPlan().toString()
+                assert kind in text and "ResolvedHint" not in text
+            found.append([sorted(map(tuple, df.collect())) for df in joined])
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert found[0] == found[1]
+    assert [len(rows) for rows in found[0]] == [600, 400]
 
 
 def test_state_extremes(spark):
