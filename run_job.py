@@ -24,9 +24,11 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
     command = commands.add_parser("ingest", help="raw site files to the measurement dataset")
     command.add_argument("raw")
     command.add_argument("measurements")
-    command.add_argument("--start", default=measurements.PERIOD_START)
-    command.add_argument("--end", default=measurements.PERIOD_END)
+    bound = {"type": lambda text: None if text == "open" else text, "help": "a UTC time, or open"}
+    command.add_argument("--start", default=measurements.PERIOD_START, **bound)
+    command.add_argument("--end", default=measurements.PERIOD_END, **bound)
     command.add_argument("--blocks", type=int, nargs="+")
+    command.add_argument("--count", action="store_true", help="print the rows read and kept")
 
     command = commands.add_parser("compact", help="rewrite small files of the dataset")
     command.add_argument("measurements")
@@ -62,8 +64,10 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
 
 def run(spark, options: argparse.Namespace) -> None:
     if options.job == "ingest":
-        jobs.ingest(spark, options.raw, options.measurements, start=options.start,
-                    end=options.end, blocks=options.blocks)
+        counts = jobs.ingest(spark, options.raw, options.measurements, start=options.start,
+                             end=options.end, blocks=options.blocks, count=options.count)
+        if counts:
+            print(f"{counts['read']} rows read, {counts['kept']} kept")
     elif options.job == "compact":
         measurements.compact_measurements(spark, options.measurements, options.compacted)
     elif options.job == "site-info":

@@ -9,10 +9,13 @@ from pyspark.sql import functions as F
 
 from sitewind import schemas
 from sitewind.functions import numbers
+from sitewind.functions.states import state_lookup
 from sitewind.operators import batches, direction, rollup, score, serving, sites
+from sitewind.plans import jobs
 from sitewind.plans.views import view
-from sitewind.sources import dimensions, measurements
-from sitewind.sources.tables import stored
+from sitewind.sources import dimensions, measurements, tables
+from sitewind.sources.results import read_result, replace_run, write_result
+from sitewind.sources.tables import scratch_path, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +25,7 @@ WINDOW = ("1997-01-01", "1999-01-01")
 BATCH_SIZE = 7
 STATE_CODE = "S4"
 SITE_ID = 7
+US_STATE_CODE = "TX"
 
 _QUERIES: dict[str, Query] = {}
 
@@ -274,6 +278,65 @@ def site_3tier_typed(spark, folder):
     return schemas.typed(view(spark, folder, "site_3tier_text"), schemas.SITE_3TIER)
 
 
+@_query
+def site_geo_typed(spark, folder):
+    return schemas.typed(view(spark, folder, "site_geo_text"), schemas.SITE_GEO)
+
+
+@_query
+def stored_measurements(spark, folder):
+    """The measurements as written to a dataset by blocks of sites, one block twice, and read back."""
+    path = scratch_path(spark, "measurements")
+    raw = _raw(spark, folder)
+    measurements.write_measurements(raw, path)
+    measurements.write_measurements(raw, path, blocks=[0])
+    return measurements.read_measurements(spark, path)
+
+
+@_query
+def stored_site_series(spark, folder):
+    """Two years of one site, from the dataset."""
+    of_site = measurements.site_measurements(stored_measurements(spark, folder), SITE_ID)
+    return measurements.extract_window(of_site, *WINDOW, attributes=["power"])
+
+
+@_query
+def saved_twice(spark, folder):
+    """A table written in each save mode: replaced, left as it is, added to."""
+    root, sites_of = scratch_path(spark, "tables"), _sites(spark, folder).select("site_id", "state")
+
+    def save(step, mode, some=None):
+        rows = sites_of if some is None else sites_of.where(some)
+        tables.write_table(rows.withColumn("step", F.lit(step)), root, "saved", mode)
+
+    save(1, "error")
+    save(2, "overwrite")
+    save(3, "ignore")
+    save(4, "append", F.col("state").isNull())
+    return tables.read_table(spark, root, "saved")
+
+
+@_query
+def replaced_results(spark, folder):
+    """Yearly power of all sites as stored batch by batch, the first of them twice."""
+    root, name = scratch_path(spark, "results"), jobs.POWER_TABLES["yearly"]
+    totals = stored(batches.with_run_id(yearly_power(spark, folder), _stored_batches(spark, folder)), "totals")
+    write_result(totals.where(F.col("run_id") != 1), root, name)
+    for scale in (2.0, 1.0):
+        first = totals.where(F.col("run_id") == 1).drop("run_id")
+        replace_run(first.withColumn("yearly_power", F.col("yearly_power") * scale), root, name, 1)
+    return read_result(spark, root, name)
+
+
+@_query
+def map_sites_by_name(spark, folder):
+    """Map of a state by its postal code."""
+    named = view(spark, folder, "site_us_state")
+    scored = scored_sites(spark, folder).drop("state").join(named, "site_id").withColumnRenamed("us_state", "state")
+    shown = serving.map_sites(scored, state_lookup(spark), US_STATE_CODE)
+    return shown.select("site_id", "site_score", "lat", "lon")
+
+
 @_query
 def extract_window(spark, folder):
     return measurements.extract_window(

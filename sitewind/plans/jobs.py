@@ -4,19 +4,21 @@ All tables live under one root folder. Measurements are scanned once: the roll-u
 daily and the direction facts, and every other table is made from those, step by step.
 
 Fact tables are partitioned by the batch they came from (``run_id``), so a batch can be run again
-without touching the others. Batch 0 stands for all sites at once.
+without touching the others. Batch 0 stands for all sites at once. Result tables are partitioned by
+block of sites and by year, for lookups; there the batch is a column.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from sitewind.functions.calendar import GRAINS
 from sitewind.operators import batches, direction, rollup, score, sites
 from sitewind.sources import dimensions, measurements
+from sitewind.sources.results import replace_run, write_result
 from sitewind.sources.tables import read_table, table_exists, write_table
 
 ALL_SITES = 0
@@ -49,18 +51,27 @@ def ingest(
     start: str | None = measurements.PERIOD_START,
     end: str | None = measurements.PERIOD_END,
     blocks: Sequence[int] | None = None,
-) -> None:
+    count: bool = False,
+) -> dict[str, int] | None:
     """Turn raw files of single sites into the dataset at ``path``.
 
-    Without a decoder the raw files are Parquet. ``blocks`` replaces only those blocks, from
-    whatever raw files their sites have.
+    Without a decoder the raw files are Parquet. ``blocks`` replaces only those blocks, from the raw
+    files named after their sites and those named otherwise. ``start`` and ``end`` bound the times
+    that are kept, None leaves a side open. With ``count``, the rows read and those kept are
+    returned, counted as they are written: times then no longer filter what the files give.
     """
     if decoder is None:
-        raw = measurements.read_raw_parquet(spark, raw_path)
+        raw = measurements.read_raw_parquet(spark, raw_path, blocks)
     else:
-        raw = measurements.read_raw_files(spark, raw_path, decoder)
+        raw = measurements.read_raw_files(spark, raw_path, decoder, blocks)
+    seen, kept = Observation("read"), Observation("kept")
+    if count:
+        raw = raw.observe(seen, F.count(F.lit(1)).alias("n"))
     window = measurements.extract_window(raw, start, end)
+    if count:
+        window = window.observe(kept, F.count(F.lit(1)).alias("n"))
     measurements.write_measurements(window, path, blocks)
+    return {"read": seen.get["n"], "kept": kept.get["n"]} if count else None
 
 
 def load_site_info(
@@ -150,17 +161,20 @@ def process_batches(spark: SparkSession, measurement_path: str, root: str) -> No
         rows = df.join(assigned, "site_id").repartitionByRange(*keys, "site_id")
         write_table(rows.sortWithinPartitions(*keys, "site_id"), root, name, partition_by=keys)
 
+    def publish(df: DataFrame, name: str) -> None:
+        write_result(df.join(assigned, "site_id"), root, name)
+
     write(direction.daily_and_direction_facts(stored), FACTS, ["kind"])
     frame = read_facts(spark, root, "daily").drop("run_id")
     for grain in GRAINS:
         if grain != "daily":
             write(rollup.roll(frame, grain), COARSER_FACTS[grain], [])
             frame = read_facts(spark, root, grain).drop("run_id")
-        write(rollup.means(frame, grain, direction=grain != "daily"), MEAN_TABLES[grain], ["year"])
-        write(rollup.total_power(frame, grain), POWER_TABLES[grain], ["year"])
+        publish(rollup.means(frame, grain, direction=grain != "daily"), MEAN_TABLES[grain])
+        publish(rollup.total_power(frame, grain), POWER_TABLES[grain])
     sectors = direction.label_sectors(read_facts(spark, root, "direction").drop("run_id"))
-    write(direction.sector_means(sectors), SECTOR_MEAN_TABLE, ["year"])
-    write(direction.sector_power(sectors), SECTOR_POWER_TABLE, ["year"])
+    publish(direction.sector_means(sectors), SECTOR_MEAN_TABLE)
+    publish(direction.sector_power(sectors), SECTOR_POWER_TABLE)
     done = assigned.select("run_id").distinct().withColumn("done", F.lit(True))
     write_table(done, root, RUNS, partition_by=["run_id"])
 
@@ -175,13 +189,11 @@ def _refuse_mixture(spark: SparkSession, root: str, run_id: int | None) -> None:
 
 
 def _write(df: DataFrame, root: str, name: str, run_id: int) -> None:
-    """Replace the rows of one batch, in files by year that are sorted for lookups by site.
-
-    The batch is part of the path and not a column of the rows, because sorting by a column
-    that is constant is left out, and the writer would then sort again in its own way.
-    """
-    rows = df.repartitionByRange("year", "site_id").sortWithinPartitions("year", "site_id")
-    write_table(rows, root, f"{name}/run_id={run_id}", partition_by=["year"])
+    """Replace the rows of one batch, or all of them."""
+    if run_id == ALL_SITES:
+        write_result(df.withColumn("run_id", F.lit(ALL_SITES)), root, name)
+    else:
+        replace_run(df, root, name, run_id)
 
 
 def read_facts(spark: SparkSession, root: str, kind: str, run_id: int | None = None) -> DataFrame:

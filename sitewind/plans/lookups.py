@@ -1,6 +1,7 @@
 """Reading the result tables: what a page about the sites asks for.
 
-Every method returns a DataFrame. A site filter reaches the files, which are sorted by site.
+Every method returns a DataFrame. A site filter opens the folders of its block, and reaches the
+files, which are sorted by site.
 """
 
 from __future__ import annotations
@@ -9,10 +10,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sitewind import schemas
 from sitewind.functions.calendar import grain_columns
 from sitewind.functions.states import state_lookup
 from sitewind.operators import serving
 from sitewind.plans import jobs
+from sitewind.sources.results import read_result
 from sitewind.sources.tables import read_table
 
 _TABLES = {"power": jobs.POWER_TABLES, "speed": jobs.MEAN_TABLES}
@@ -26,13 +29,16 @@ class SiteTables:
         self._root = root
 
     def _table(self, name: str) -> DataFrame:
-        return read_table(self._spark, self._root, name).drop("run_id")
+        return read_result(self._spark, self._root, name).drop("run_id")
+
+    def _plain(self, name: str) -> DataFrame:
+        return read_table(self._spark, self._root, name, schemas.RESULT_TABLES[name])
 
     def all_sites(self) -> DataFrame:
-        return self._table(jobs.SITE_INFO)
+        return self._plain(jobs.SITE_INFO)
 
     def scored_sites(self) -> DataFrame:
-        return serving.scored_sites(self.all_sites(), self._table(jobs.SITE_SCORE))
+        return serving.scored_sites(self.all_sites(), self._plain(jobs.SITE_SCORE))
 
     def speed(self, grain: str, site_id: int) -> DataFrame:
         """Mean wind speed of a site by day, month or year."""
@@ -48,7 +54,7 @@ class SiteTables:
 
     def sector_power(self, site_id: int) -> DataFrame:
         """Total power of a site by month and wind direction sector."""
-        return serving.site_rows(self._table(jobs.SECTOR_POWER_TABLE), site_id)
+        return serving.site_rows(self._table(jobs.SECTOR_POWER_TABLE), site_id).drop("site_block")
 
     def card(self, site_id: int | None = None) -> DataFrame:
         return serving.site_card(self.scored_sites(), site_id)

@@ -8,7 +8,10 @@ from __future__ import annotations
 
 from sitewind.plans.catalogue import BATCH_SIZE, SCORE_YEARS, SITE_ID, STATE_CODE, WINDOW
 from sitewind.plans.views import VIEWS, view_sql
-from sitewind.schemas import ATTRIBUTES, MEASURES
+
+# The measures, and the direction among them, as the tables name them.
+MEASURES = ["density", "power", "pressure", "temperature", "wind_speed"]
+ATTRIBUTES = ["density", "power", "pressure", "temperature", "wind_direction", "wind_speed"]
 
 _FIRST, _LAST = SCORE_YEARS
 
@@ -88,6 +91,9 @@ _PIECES = {
     "scored": """
         select info.site_id, site_score, state, fraction_of_usable_area, lat, lon
         from info, score where info.site_id = score.site_id""",
+    "named": """
+        select scored.* exclude (state), us_state as state
+        from scored join site_us_state using (site_id)""",
     "sectors": f"select *, {_SECTOR_NUMBER} as sector from prepared",
     "labelled": f"""
         select {_SECTOR_LABEL} as label, * from sectors where sector is not null""",
@@ -129,6 +135,7 @@ _USES = {
     "score": ["bounds"],
     "info": ["site_timezone", "site_3tier", "site_geo"],
     "scored": ["info", "score"],
+    "named": ["scored", "site_us_state"],
     "sectors": ["prepared"],
     "labelled": ["sectors"],
     "sector_power": ["labelled"],
@@ -227,6 +234,37 @@ def oracle_sql() -> dict[str, str]:
         ),
         "site_timezone_typed": _with(["site_timezone"], "select * from site_timezone"),
         "site_3tier_typed": _with(["site_3tier"], "select * from site_3tier"),
+        "site_geo_typed": _with(["site_geo"], "select * from site_geo"),
+        "stored_measurements": _with(
+            ["raw_measurement"], "select *, site_id // 500 as site_block from raw_measurement"
+        ),
+        "stored_site_series": _with(
+            ["raw_measurement"],
+            f"""select site_id, datetime, power from raw_measurement
+                where site_id = {SITE_ID}
+                  and datetime >= timestamp '{WINDOW[0]}' and datetime < timestamp '{WINDOW[1]}'""",
+        ),
+        "saved_twice": _with(
+            ["site_3tier"],
+            """select site_id, state, 2 as step from site_3tier
+               union all select site_id, state, 4 as step from site_3tier where state is null""",
+        ),
+        "replaced_results": _with(
+            ["yearly_power", "batches"],
+            """select site_id, year, cast(total as double) as yearly_power, run_id,
+                      site_id // 500 as site_block
+               from yearly_power join (select distinct site_id, run_id from batches) using (site_id)""",
+        ),
+        "map_sites_by_name": _with(
+            ["named"],
+            """select site_id, site_score, lat, lon from named
+               where state = 'Texas'
+                  or not exists (
+                       select 1 from named
+                       where state = 'Texas' and site_score is not null
+                         and fraction_of_usable_area is not null
+                         and lat is not null and lon is not null)""",
+        ),
         "avg_annual_power": _with(["annual"], "select * from annual"),
         "site_score": _with(["score"], "select * from score"),
         "flagship": _with(

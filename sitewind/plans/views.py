@@ -11,7 +11,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sitewind.schemas import SITE_3TIER, SITE_TIMEZONE
+from sitewind.schemas import SITE_3TIER, SITE_GEO, SITE_TIMEZONE
 
 VIEWS = {
     "raw_measurement": """
@@ -78,6 +78,14 @@ VIEWS["large_measurement"] = """
         from {lineitem}"""
 
 
+# Sites with the names of real states.
+VIEWS["site_us_state"] = """
+        select s_suppkey as site_id,
+               case s_nationkey % 4 when 0 then 'Iowa' when 1 then 'Texas' when 2 then 'All'
+                    else null end as us_state
+        from {supplier}"""
+
+
 def _as_text(name: str, columns: list[str]) -> str:
     texts = ", ".join(f"cast({column} as string) as {column}" for column in columns)
     return f"select {texts} from ({VIEWS[name]}) typed"
@@ -86,6 +94,7 @@ def _as_text(name: str, columns: list[str]) -> str:
 # The site files as they are read, all columns text.
 VIEWS["site_timezone_text"] = _as_text("site_timezone", SITE_TIMEZONE.names)
 VIEWS["site_3tier_text"] = _as_text("site_3tier", SITE_3TIER.names)
+VIEWS["site_geo_text"] = _as_text("site_geo", SITE_GEO.names)
 
 
 def _tables(name: str) -> list[str]:

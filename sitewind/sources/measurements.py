@@ -60,16 +60,35 @@ def site_blocks(sites: DataFrame) -> DataFrame:
     )
 
 
-def read_raw_parquet(spark: SparkSession, path: str) -> DataFrame:
-    """Raw files named ``<site_id>.parquet``; the id is taken from the name where a file does
-    not carry it."""
-    raw = spark.read.schema(schemas.MEASUREMENT).parquet(path)
-    named = F.substring_index(F.col("_metadata.file_name"), ".", 1).try_cast("bigint")
-    return raw.withColumn("site_id", F.coalesce(F.col("site_id"), named))
+def _named_site() -> Column:
+    """The site that a raw file is named after, NULL if it is not named by a number."""
+    return F.substring_index(F.col("_metadata.file_name"), ".", 1).try_cast("bigint")
 
 
-def read_raw_files(spark: SparkSession, path: str, decoder: Decoder) -> DataFrame:
+def _files_of(files: DataFrame, blocks: Sequence[int] | None) -> DataFrame:
+    """Files named after sites of some blocks, and files that have other names. The names are known
+    from the listing, so of the files left out not a byte is read."""
+    if blocks is None:
+        return files
+    wanted = site_block(_named_site()).isin([int(block) for block in blocks])
+    return files.where(_named_site().isNull() | wanted)
+
+
+def read_raw_parquet(
+    spark: SparkSession, path: str, blocks: Sequence[int] | None = None
+) -> DataFrame:
+    """Raw files named ``<site_id>.parquet``; the id is taken from the name where a file does not
+    carry it. With ``blocks``, files named after sites of other blocks are not opened: a file
+    named by a number holds that site alone."""
+    raw = _files_of(spark.read.schema(schemas.MEASUREMENT).parquet(path), blocks)
+    return raw.withColumn("site_id", F.coalesce(F.col("site_id"), _named_site()))
+
+
+def read_raw_files(
+    spark: SparkSession, path: str, decoder: Decoder, blocks: Sequence[int] | None = None
+) -> DataFrame:
     """Raw files of a format Spark cannot read, one row of bytes per file, decoded in the tasks.
+    With ``blocks``, files named after sites of other blocks are neither read nor decoded.
 
     A task holds no more than ``spark.sql.files.maxPartitionBytes`` of content, or one file
     where a single one is larger.
@@ -81,8 +100,8 @@ def read_raw_files(spark: SparkSession, path: str, decoder: Decoder) -> DataFram
                 for frame in decoder(name, content):
                     yield _as_measurements(name, frame)
 
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
-    return files.mapInPandas(decode, schemas.MEASUREMENT)
+    files = _files_of(spark.read.format("binaryFile").load(path), blocks)
+    return files.select("path", "content").mapInPandas(decode, schemas.MEASUREMENT)
 
 
 def _as_measurements(path: str, frame: pd.DataFrame) -> pd.DataFrame:

@@ -6,6 +6,10 @@ import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
+
+# Connections of a writer to a database, unless told otherwise.
+CONNECTIONS = 8
 
 SAVE_MODES = ("overwrite", "ignore", "append", "error")
 
@@ -34,8 +38,12 @@ def write_table(
     writer.parquet(table_path(root, name))
 
 
-def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    return spark.read.parquet(table_path(root, name))
+def read_table(
+    spark: SparkSession, root: str, name: str, schema: StructType | None = None
+) -> DataFrame:
+    """A table; with a known ``schema``, no file is opened to find it."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(table_path(root, name))
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -63,15 +71,33 @@ def table_exists(spark: SparkSession, root: str, name: str) -> bool:
     return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
 
 
+def drop_folders(spark: SparkSession, paths: Sequence[str]) -> None:
+    for name in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def write_jdbc(
     df: DataFrame, url: str, table: str, mode: str = "overwrite",
-    properties: dict[str, str] | None = None,
+    properties: dict[str, str] | None = None, connections: int = CONNECTIONS, batch_rows: int = 10_000,
+    keep_table: bool = True,
 ) -> None:
     """Write to a database table. Its driver must be on the class path; credentials belong in
-    ``properties`` and come from the caller."""
+    ``properties`` and come from the caller.
+
+    At most ``connections`` tasks write at once, as each opens a connection; rows go in statements
+    of ``batch_rows``. The rows are stored first: what they are computed from runs on all tasks, and
+    a task that is tried again sends the same rows. With ``keep_table`` an overwrite empties the
+    table in place of dropping it, so its indexes and grants stay.
+    """
     if mode not in SAVE_MODES:
         raise ValueError(f"unknown save mode {mode!r}; use one of {SAVE_MODES}")
-    df.write.jdbc(url, table, mode=mode, properties=properties or {})
+    if connections < 1:
+        raise ValueError("a writer needs a connection")
+    writer = stored(df, "jdbc-rows").coalesce(connections).write.options(
+        numPartitions=connections, batchsize=batch_rows, truncate=str(keep_table).lower()
+    )
+    writer.jdbc(url, table, mode=mode, properties=properties or {})
 
 
 def read_jdbc(

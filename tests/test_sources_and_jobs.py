@@ -3,6 +3,8 @@
 import datetime as dt
 import glob
 import io
+import os
+import re
 
 import pandas as pd
 import pyarrow.parquet as pq
@@ -14,7 +16,7 @@ from sitewind.operators import direction, rollup, score, serving, sites
 from sitewind.plans import jobs
 from sitewind.plans.lookups import SiteTables
 from sitewind.plans.views import view
-from sitewind.sources import dimensions, measurements, tables
+from sitewind.sources import dimensions, measurements, results, tables
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -115,16 +117,24 @@ def test_save_modes(spark, tmp_path):
 def test_jdbc_sink_passes_its_arguments_on(spark, monkeypatch):
     from pyspark.sql import DataFrameWriter
 
-    calls = []
+    calls, options = [], {}
     monkeypatch.setattr(
         DataFrameWriter, "jdbc",
         lambda self, url, table, mode=None, properties=None: calls.append(
-            (url, table, mode, properties)),
+            (url, table, mode, properties, self._df.rdd.getNumPartitions(), self._df.count())),
     )
-    tables.write_jdbc(spark.range(1), "jdbc:x://h/db", "site_score", "ignore", {"user": "u"})
-    assert calls == [("jdbc:x://h/db", "site_score", "ignore", {"user": "u"})]
-    with pytest.raises(ValueError):
-        tables.write_jdbc(spark.range(1), "jdbc:x://h/db", "t", "merge")
+    set_options = DataFrameWriter.options
+    monkeypatch.setattr(
+        DataFrameWriter, "options", lambda self, **o: options.update(o) or set_options(self, **o)
+    )
+    df = spark.range(100).repartition(20)
+    tables.write_jdbc(df, "jdbc:x://h/db", "site_score", "ignore", {"user": "u"}, connections=3)
+    assert calls[0][:4] == ("jdbc:x://h/db", "site_score", "ignore", {"user": "u"})
+    assert calls[0][4] <= 3 and calls[0][5] == 100
+    assert options == {"numPartitions": 3, "batchsize": 10_000, "truncate": "true"}
+    for wrong in ({"mode": "merge"}, {"connections": 0}):
+        with pytest.raises(ValueError):
+            tables.write_jdbc(spark.range(1), "jdbc:x://h/db", "t", **wrong)
 
 
 def series(start, hours, power):
@@ -197,6 +207,32 @@ def test_ingest_of_some_blocks_leaves_the_others(spark, tmp_path, raw_files):
     assert rows(stored.groupBy("site_id").count()) == [(0, 24), (499, 24), (500, 12), (1203, 24)]
 
 
+def test_ingest_of_some_blocks_opens_their_files_only(spark, tmp_path, raw_files):
+    path = str(tmp_path / "store")
+
+    def decode(name, content):
+        if not name.endswith("/500.parquet"):
+            raise ValueError(f"{name} is not wanted")
+        yield pd.read_parquet(io.BytesIO(content))
+
+    jobs.ingest(spark, raw_files, path, decoder=decode, blocks=[1])
+    stored = measurements.read_measurements(spark, path)
+    assert rows(stored.groupBy("site_id").count()) == [(500, 24)]
+    assert scanned(measurements.read_raw_parquet(spark, raw_files, [1]), "numFiles") == 1
+    assert scanned(measurements.read_raw_parquet(spark, raw_files, [0, 2]), "numFiles") == 3
+    assert scanned(measurements.read_raw_parquet(spark, raw_files), "numFiles") == 4
+    os.rename(f"{raw_files}/0.parquet", f"{raw_files}/other.parquet")
+    assert scanned(measurements.read_raw_parquet(spark, raw_files, [1]), "numFiles") == 2
+
+
+def test_rows_outside_the_period_are_counted(spark, tmp_path, raw_files):
+    path = str(tmp_path / "store")
+    assert jobs.ingest(spark, raw_files, path, count=True) == {"read": 104, "kept": 96}
+    assert jobs.ingest(spark, raw_files, path, start=None, end=None, blocks=[1], count=True) == {
+        "read": 26, "kept": 26}
+    assert jobs.ingest(spark, raw_files, path) is None
+
+
 def test_ingest_with_a_decoder(spark, tmp_path):
     folder = tmp_path / "text"
     folder.mkdir()
@@ -260,7 +296,7 @@ def test_processing_all_sites(spark, store):
     for name, schema in schemas.RESULT_TABLES.items():
         if name == "site_info":
             continue
-        found = tables.read_table(spark, root, name).drop("run_id")
+        found = tables.read_table(spark, root, name).drop("run_id", "site_block")
         assert {f.name: f.dataType for f in found.schema} == {
             f.name: f.dataType for f in schema
         }, name
@@ -268,7 +304,7 @@ def test_processing_all_sites(spark, store):
     for file in glob.glob(f"{root}/site_facts/*/kind=*/*.parquet"):
         years = pq.ParquetFile(file).read(["year"])["year"].to_pylist()
         assert years == sorted(years)
-    files = glob.glob(f"{root}/site_total_daily_capacity/run_id=0/year=*/*.parquet")
+    files = glob.glob(f"{root}/site_total_daily_capacity/site_block=0/year=*/*.parquet")
     assert len(files) >= 7
     for file in files:
         ids = pq.ParquetFile(file).read(["site_id"])["site_id"].to_pylist()
@@ -311,6 +347,10 @@ def test_batches_add_up_to_all_sites(spark, store, tmp_path):
     jobs.score_sites(spark, whole, 1997, 2001)
     assert rows(tables.read_table(spark, root, "site_score")) == rows(
         tables.read_table(spark, whole, "site_score"))
+    folders = {os.path.dirname(f) for f in glob.glob(f"{root}/site_total_yearly_capacity/**/*.parquet", recursive=True)}
+    assert folders == {
+        f"{root}/site_total_yearly_capacity/site_block=0/year={y}" for y in range(1995, 2002)
+    } & folders and len(folders) >= 6
     with pytest.raises(ValueError):
         jobs.process_measurements(spark, path, whole, 1)
     with pytest.raises(ValueError):
@@ -402,7 +442,8 @@ def test_lookups_over_the_result_tables(spark, store):
         means = rollup.means(rollup.facts(raw, grain), grain).where(of_site)
         speed = pages.speed(grain, 5)
         assert rows(speed) == rows(means.select(speed.columns))
-        assert "EqualTo(site_id,5)" in speed._jdf.queryExecution().executedPlan().toString()
+        text = speed._jdf.queryExecution().executedPlan().toString()
+        assert "EqualTo(site_id,5)" in text and re.search(r"PartitionFilters: \[[^]]*site_block", text)
         assert pages.chart(grain, "power", 5).count() == totals.count()
         assert pages.chart(grain, "speed").count() == rollup.facts(raw, grain).count()
     sectors = direction.sector_power(direction.direction_facts(raw)).where("site_id = 5")
@@ -416,6 +457,66 @@ def test_lookups_over_the_result_tables(spark, store):
         pages.chart("daily", "pressure")
 
 
+def test_a_batch_replaces_its_own_rows(spark, tmp_path):
+    root, name = str(tmp_path / "tables"), "site_total_yearly_capacity"
+    columns = "site_id bigint, year int, yearly_power double"
+
+    def replace(run_id, some):
+        results.replace_run(spark.createDataFrame(some, columns), root, name, run_id)
+
+    def found():
+        table = results.read_result(spark, root, name)
+        return rows(table.select("run_id", "site_id", "year", "yearly_power"))
+
+    replace(1, [(1, 2009, 1.0), (1, 2010, 2.0), (700, 2009, 3.0)])
+    replace(2, [(2, 2009, 4.0), (1500, 2011, 5.0)])
+    replace(3, [])
+    others = [(2, 2, 2009, 4.0), (2, 1500, 2011, 5.0)]
+    assert found() == sorted([(1, 1, 2009, 1.0), (1, 1, 2010, 2.0), (1, 700, 2009, 3.0), *others])
+    # A year and a block of the batch are gone, and so are their folders.
+    replace(1, [(1, 2009, 9.0)])
+    assert found() == sorted([(1, 1, 2009, 9.0), *others])
+    assert sorted(glob.glob(f"{root}/{name}/*/year=*")) == [
+        f"{root}/{name}/site_block={b}/year={y}" for b, y in ((0, 2009), (3, 2011))
+    ]
+    one = serving.site_rows(results.read_result(spark, root, name), 1500)
+    assert scanned(one, "numFiles") == 1 and one.count() == 1
+
+
+def test_a_lookup_lists_one_block(spark, tmp_path):
+    root, name = str(tmp_path / "tables"), "site_total_yearly_capacity"
+    many = spark.range(40).select(
+        (F.col("id") * 250).alias("site_id"), F.lit(2009).alias("year"), F.lit(1.0).alias("yearly_power"),
+        (F.col("id") + 1).alias("run_id"),
+    )
+    results.write_result(many, root, name)
+    assert len(glob.glob(f"{root}/{name}/site_block=*")) == 20
+    tables.write_table(view(spark, FOLDER, "site_3tier"), root, "site_info")
+    power = SiteTables(spark, root).power("yearly", 750)
+    assert rows(power) == [(750, 2009, 1.0)]
+    assert scanned(power, "numFiles") == 1
+
+
+def scanned(df, metric):
+    """A metric of the only scan of a plan that has run."""
+    df.collect()
+    found = []
+
+    def walk(node):
+        if node.metrics().contains(metric):
+            found.append(node.metrics().apply(metric).value())
+        if "AdaptiveSparkPlan" in node.nodeName():
+            walk(node.executedPlan())
+        elif "QueryStage" in node.nodeName():
+            walk(node.plan())
+        else:
+            for i in range(node.children().size()):
+                walk(node.children().apply(i))
+
+    walk(df._jdf.queryExecution().executedPlan())
+    return found[0]
+
+
 def test_site_zero_is_served_like_any_other(spark, tmp_path, raw_files):
     path, root = str(tmp_path / "store"), str(tmp_path / "tables")
     jobs.ingest(spark, raw_files, path)
@@ -433,7 +534,7 @@ def test_jobs_from_the_command_line(spark, tmp_path, raw_files):
 
     store, root = str(tmp_path / "store"), str(tmp_path / "tables")
     for line in (
-        ["ingest", raw_files, store, "--end", "2010-01-01"],
+        ["ingest", raw_files, store, "--end", "2010-01-01", "--start", "open", "--count"],
         ["compact", store, str(tmp_path / "compacted")],
         ["process", str(tmp_path / "compacted"), root],
         ["score", root, "--first-year", "2009"],
