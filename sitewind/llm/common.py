@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Fixed value: the characters between words.
+from sitewind.sources.tables import scratch_path
+
+# The characters between words, and those of words.
 SPACE_CLASS = r"[\x20\x09-\x0D]"
+WORD_CLASS = r"[^\x20\x09-\x0D]"
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,21 +38,19 @@ def tasks(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def free_name(name: str, taken: Iterable[str]) -> str:
+    """``name``, or one made of it that is not taken."""
+    taken = {t.lower() for t in taken}
+    while name.lower() in taken:
+        name = f"q_{name}"
+    return name
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A new folder under ``spark.checkpoint.dir``, gone when the session ends. A temporary
-    folder is set up only where that setting is missing."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = "file://" + tempfile.mkdtemp(prefix="sitewind-llm-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    if "://" not in path:
-        path = spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(
-            spark._jsc.hadoopConfiguration()
-        ).makeQualified(spark._jvm.org.apache.hadoop.fs.Path(path)).toString()
-        path = path.replace("file:/", "file:///", 1) if path.startswith("file:/") and not path.startswith("file:///") else path
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
+    """A new folder that all executors share, gone when the session ends, as a URI."""
+    path = scratch_path(spark, name)
+    if path.startswith("file:/") and not path.startswith("file://"):
+        path = "file://" + path.removeprefix("file:")
     return path
 
 

@@ -3,8 +3,9 @@
 The lines of a text that have a word are hashed, whatever white space is around them. A window is the
 shortest run from a line on, or up to a line, that has ``MIN_WORDS`` words; its least hash (the last
 of equal ones) is a fingerprint. Equal runs of that many words have a window in common and so a
-fingerprint: none is missed. Where fingerprints meet, their windows are compared; windows that occur
-earlier overlap to runs as far as they go both ways, and the lines of those runs are removed.
+fingerprint: none is missed. Where fingerprints meet, the digests of their windows are compared, which
+stands for joining and extending places: a window lies on every line of a repeated run, so those
+that occur earlier overlap to runs as far as they go both ways, and the lines of those runs go.
 
 Both kinds are needed for that: a line of a repeated run is in the window from it on, in the one up
 to it, or in that from the run's first line on, and that window lies in the run.
@@ -21,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitewind.llm.common import documents, staged
+from sitewind.llm.common import documents, free_name, staged
 
 MIN_WORDS = 50
 _WHITE = " \t\n\x0b\x0c\r"
@@ -95,15 +96,15 @@ def _merged(runs: list | None) -> list[tuple[int, int]]:
     return found
 
 
-def dedup_lines(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``text`` without repeated runs, and ``removed``, the runs by first and last line
-    of the old text (ARRAY<STRUCT<first, last>>; a column of that name is replaced).
+def dedup_lines(docs: DataFrame, removed: str = "removed") -> DataFrame:
+    """``docs`` with ``text`` without repeated runs, and in column ``removed`` the runs by first and
+    last line of the old text (ARRAY<STRUCT<first, last>>; a column of that name is replaced).
 
     Earlier is a smaller doc_id, null ids last; of rows that repeat an id one is the earlier, and
     within a text the line further up. So of equal rows one stays whole. Null and empty texts stay
     as they are. Lines inside a removed run that have no word go with it.
     """
-    names = [c for c in docs.columns if c != "removed"]
+    names = [c for c in docs.columns if c != removed]
     rows = docs.select(*[F.col(c).alias(f"_{i}") for i, c in enumerate(names)])
     of = {c: f"_{i}" for i, c in enumerate(names)}
     held = staged(rows.withColumn("row", F.monotonically_increasing_id()), "documents")
@@ -147,10 +148,15 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     )
     return found_runs.select(
         *[F.col("_new.text").alias(c) if c == "text" else F.col(of[c]).alias(c) for c in names],
-        F.col("_new.removed").alias("removed"),
+        F.col("_new.removed").alias(removed),
     )
 
 
+def without_repeats(docs: DataFrame) -> DataFrame:
+    """``docs`` with the texts that are left, and the columns it has, whatever their names."""
+    return dedup_lines(docs, free_name("removed", docs.columns)).select(*docs.columns)
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with the number of runs and lines removed, and what is left of the text."""
     lines = F.aggregate("removed", F.lit(0).cast("bigint"), lambda s, r: s + r["last"] - r["first"] + 1)

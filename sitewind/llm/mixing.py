@@ -2,8 +2,8 @@
 
 Tokens are counted per cell (source, language, topic); each round scales the cells to the target of
 each source, then of each language, then of each topic, until all marginals hold. What a cell's
-weight is to its tokens gives, scaled to the wanted number of tokens, the probability with which
-its documents stay.
+weight is to its tokens gives, scaled so that no cell gives more than it has, the probability with
+which its documents stay.
 
 Only the cells are fitted, one row each, whatever the documents are; all is DataFrame work.
 """
@@ -12,10 +12,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sitewind.llm.common import documents, staged, text_or_empty, word_array
+from sitewind.llm.common import documents, staged, word_array
 
 #: Topics by what a text holds anywhere, the first that fits; the others are PROSE.
 TOPICS = {
@@ -27,14 +27,19 @@ TOPICS = {
 PROSE = "prose"
 
 MARGINS = ("source", "lang", "topic")
-#: Tokens that stay, of all. Targets are in proportion to the square roots of a value's tokens, which
-#: raises small sources and lowers large ones, unless others are given.
+#: Targets are in proportion to this power of a value's tokens unless others are given, which raises
+#: small sources and lowers large ones. Tokens that stay are at most FRACTION of all, and fewer where
+#: the cells can't give the targets that many: then some cell is kept whole.
+TEMPER = 0.9
 FRACTION = 0.75
-#: Rounds end when no marginal is off by more than this part of its target, or after ROUNDS, as
-#: marginals that exclude each other are never met. STEPS does the same for the calibration.
+#: Rounds end when no marginal is off by more than this part of its target. ROUNDS of them are one
+#: job; if the residual hasn't fallen by STALLED over these, the marginals exclude each other, which is
+#: an error.
 TOLERANCE = 1e-10
-ROUNDS = 20
-STEPS = 25
+ROUNDS = 5
+STALLED = 0.9999
+#: Cells that one task can sum and sort; beyond, tasks share them by the values of each margin.
+CELLS_OF_A_TASK = 500_000
 SEED = 17
 
 
@@ -61,63 +66,100 @@ def cells(rows: DataFrame) -> DataFrame:
     return rows.groupBy(*MARGINS).agg(F.sum("n_tokens").alias("tokens")).where("tokens > 0")
 
 
-def _targets(cells: DataFrame, margin: str, given: Mapping[str, float] | None) -> DataFrame:
-    """(value, target): shares of the values that occur, adding up to 1."""
-    sums = cells.groupBy(F.col(margin).alias("value")).agg(F.sum("tokens").alias("sum"))
-    if given is None:
-        weight = F.sqrt("sum")
-    else:
-        weights = [F.lit(x) for pair in given.items() for x in (pair[0], float(pair[1]))]
-        weight = F.coalesce(F.create_map(*weights)[F.col("value")], F.lit(0.0)) if given else F.lit(0.0)
-    weighted = sums.select("value", weight.alias("weight"))
-    total = weighted.agg(F.sum("weight").alias("w")).scalar()
-    return weighted.select("value", F.try_divide(F.col("weight"), total).alias("target"))
+def _with_targets(cells: DataFrame, targets: Mapping[str, Mapping[str, float]]) -> DataFrame:
+    """``cells`` with the target of each margin's value, shares of the values that occur."""
+    for margin in MARGINS:
+        given = targets.get(margin)
+        values = cells.groupBy(margin).agg(F.sum("tokens").cast("double").alias("sum"))
+        if given is None:
+            weight, mine = F.pow("sum", F.lit(TEMPER)), F.pow(
+                F.sum(F.col("tokens").cast("double")).over(Window.partitionBy(margin)), F.lit(TEMPER)
+            )
+        else:
+            pairs = [F.lit(x) for pair in given.items() for x in (pair[0], float(pair[1]))]
+            weight = F.coalesce(F.create_map(*pairs)[F.col(margin)], F.lit(0.0)) if pairs else F.lit(0.0)
+            mine = weight
+        total = values.agg(F.sum(weight).alias("w")).scalar()
+        cells = cells.withColumn(f"target_{margin}", F.try_divide(mine, total))
+    return cells
+
+
+def _round(cells: DataFrame) -> DataFrame:
+    """Cells scaled to the targets of each margin in turn; ``off`` is how far its marginals were."""
+    names = [c for c in cells.columns if c not in ("weight", "off")]
+    off = F.lit(0.0)
+    for margin in MARGINS:
+        target = F.col(f"target_{margin}")
+        # A margin's values are few, and of each the task that sums them has its cells, not documents.
+        summed = cells.withColumn("_sum", F.sum("weight").over(Window.partitionBy(margin)))
+        factor = F.try_divide(target, F.col("_sum"))
+        cells = summed.select(
+            *names,
+            F.when(target > 0, F.col("weight") * F.coalesce(factor, F.lit(0.0))).otherwise(F.lit(0.0)).alias("weight"),
+            F.when(target > 0, F.greatest(off, F.coalesce(F.abs(factor - 1), F.lit(1.0)))).otherwise(off).alias("off"),
+        )
+        off = F.col("off")
+    return cells
 
 
 def raked(cells: DataFrame, targets: Mapping[str, Mapping[str, float]] | None = None) -> DataFrame:
-    """``cells`` with ``weight``, shares that add up to 1 and whose marginals are the targets."""
-    wanted = {m: staged(_targets(cells, m, (targets or {}).get(m)), "targets") for m in MARGINS}
-    now = staged(cells.withColumn("weight", F.col("tokens").cast("double")), "raked")
-    for _ in range(ROUNDS):
-        off = F.lit(0.0)
-        for margin in MARGINS:
-            sums = now.groupBy(F.col(margin).alias("value")).agg(F.sum("weight").alias("sum"))
-            factors = sums.alias("s").join(
-                wanted[margin].alias("t"), F.expr("s.value <=> t.value")
-            ).select(F.col("s.value").alias("value"), F.coalesce(F.try_divide("target", "sum"), F.lit(0.0)).alias("factor"))
-            off = F.greatest(off, F.coalesce(F.col("off"), F.lit(0.0)) if "off" in now.columns else F.lit(0.0))
-            # Many small broadcasts would fill the driver.
-            now = now.join(factors.hint("merge"), F.col(margin).eqNullSafe(F.col("value"))).select(
-                *MARGINS, "tokens",
-                (F.col("weight") * F.col("factor")).alias("weight"),
-                F.greatest(off, F.abs(F.col("factor") - 1)).alias("off"),
-            )
+    """``cells`` with ``weight``, shares that add up to 1 and whose marginals are the targets.
+
+    A ValueError says how far the marginals stay off where no weights have them.
+    """
+    now = staged(
+        _with_targets(cells, targets or {}).withColumn("weight", F.col("tokens").cast("double")), "raked"
+    )
+    # Cells that fit in one task are not shuffled for each of the sums.
+    few = now.count() <= CELLS_OF_A_TASK
+    before = None
+    while True:
+        now = now.coalesce(1) if few else now
+        for _ in range(ROUNDS):
+            now = _round(now)
         now = staged(now, "raked")
-        worst = now.agg(F.max("off")).first()[0]
-        now = now.drop("off")
-        if worst is None or worst <= TOLERANCE:
-            break
-    return now
+        off = now.agg(F.max("off")).first()[0]
+        if off is None or off <= TOLERANCE:
+            return now.drop("off")
+        if before is not None and off > before * STALLED:
+            raise ValueError(f"the targets exclude each other: a marginal stays off by {off:.3g} of its target")
+        before = off
 
 
 def calibrated(raked: DataFrame, fraction: float = FRACTION) -> DataFrame:
-    """``raked`` with ``probability``: tokens stay in the raked proportions and are ``fraction`` of
-    all, but that no cell can give more than it has."""
+    """``raked`` with ``probability``: tokens stay in the raked proportions, ``fraction`` of all or as
+    many as there can be without a cell giving more than it has."""
+    least = raked.agg(
+        F.least(
+            F.lit(float(fraction)) * F.sum("tokens").cast("double"),
+            F.min(F.when(F.col("weight") > 0, F.col("tokens") / F.col("weight"))),
+        ).alias("scale")
+    ).scalar()
     ratio = F.col("weight") / F.col("tokens")
-    scale = None
-    for _ in range(STEPS):
-        full = F.lit(False) if scale is None else ratio * scale >= 1
-        row = raked.agg(
-            F.sum("tokens").alias("all"),
-            F.sum(F.when(full, F.col("tokens")).otherwise(0)).alias("full"),
-            F.sum(F.when(full, 0.0).otherwise(F.col("weight"))).alias("open"),
-        ).first()
-        if not row["open"] or fraction * row["all"] <= row["full"]:
-            break
-        before, scale = scale, (fraction * row["all"] - row["full"]) / row["open"]
-        if before is not None and abs(scale - before) <= TOLERANCE * scale:
-            break
-    return raked.withColumn("probability", F.least(F.lit(1.0), ratio * F.lit(scale or 0.0)))
+    return raked.withColumn("probability", F.least(F.lit(1.0), ratio * least))
+
+
+def _decided(
+    docs: DataFrame, targets: Mapping[str, Mapping[str, float]] | None, fraction: float
+) -> DataFrame:
+    """The columns of ``docs`` by number, with topic, n_tokens, probability and kept."""
+    names = docs.columns
+    at = {c: F.col(f"_{i}") for i, c in enumerate(names)}
+    text = F.coalesce(at["text"], F.lit(""))
+    rows = docs.select(*[F.col(c).alias(f"_{i}") for i, c in enumerate(names)]).select(
+        "*", topic(text).alias("topic"), n_tokens(text).alias("n_tokens"),
+        *[at[m].cast("string").alias(m) for m in MARGINS if m != "topic"],
+    )
+    found = calibrated(raked(staged(cells(rows), "cells"), targets), fraction)
+    found = staged(
+        found.select(*[F.col(m).alias(f"mix_{m}") for m in MARGINS], F.col("probability").alias("chance")),
+        "probabilities",
+    )
+    same = [F.col(m).eqNullSafe(F.col(f"mix_{m}")) for m in MARGINS]
+    probability = F.coalesce("chance", F.lit(1.0))
+    return rows.join(found, same[0] & same[1] & same[2], "left").withColumns(
+        {"probability": probability, "kept": draw(at["doc_id"]) < probability}
+    )
 
 
 def mixed(
@@ -129,23 +171,17 @@ def mixed(
     the doc_id alone, so rows that repeat one share its fate if their cell is the same. ``targets``
     may give weights by value for any of source, lang and topic; values it doesn't name get none.
     """
-    text = text_or_empty()
-    rows = docs.withColumns({"topic": topic(text), "n_tokens": n_tokens(text)})
-    rows = rows.drop("probability", "kept")
-    found = calibrated(
-        raked(staged(cells(rows.select(*[F.col(m).cast("string").alias(m) for m in MARGINS], "n_tokens")), "cells"), targets),
-        fraction,
-    )
-    found = staged(
-        found.select(*[F.col(m).alias(f"_mix_{m}") for m in MARGINS], "probability"), "probabilities"
-    )
-    same = [rows[m].cast("string").eqNullSafe(found[f"_mix_{m}"]) for m in MARGINS]
-    probability = F.coalesce("probability", F.lit(1.0))
-    return (
-        rows.join(found, same[0] & same[1] & same[2], "left")
-        .withColumns({"probability": probability, "kept": draw(F.col("doc_id")) < probability})
-        .drop(*[f"_mix_{m}" for m in MARGINS])
-    )
+    more = ["topic", "n_tokens", "probability", "kept"]
+    own = [F.col(f"_{i}").alias(c) for i, c in enumerate(docs.columns) if c not in more]
+    return _decided(docs, targets, fraction).select(*own, *more)
+
+
+def sampled(
+    docs: DataFrame, targets: Mapping[str, Mapping[str, float]] | None = None, fraction: float = FRACTION
+) -> DataFrame:
+    """The rows of ``docs`` that stay, with the columns they have, whatever their names."""
+    own = [F.col(f"_{i}").alias(c) for i, c in enumerate(docs.columns)]
+    return _decided(docs, targets, fraction).where("kept").select(*own)
 
 
 def op5_mix_to_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -156,36 +192,36 @@ def op5_mix_to_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def oracle(rounds: int = ROUNDS, steps: int = STEPS) -> str:
-    """The query in SQL, rounds and steps written out."""
+def oracle() -> str:
+    """The query in SQL, which repeats its rounds until the marginals hold."""
     kind = " ".join(f"when regexp_matches(text, '{p}') then '{name}'" for name, p in TOPICS.items())
-    parts = [
-        f"""docs as materialized (select doc_id, source, lang, case {kind} else '{PROSE}' end as topic,
-            len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+'))::bigint as n_tokens
-            from (select doc_id, source, lang, coalesce(text, '') as text from documents))""",
-        """cells as materialized (select source, lang, topic, sum(n_tokens) as tokens, sum(n_tokens)::double as w
-            from docs group by all having sum(n_tokens) > 0)""",
-    ]
+    targets = ", ".join(
+        f"pow(sum(tokens) over (partition by {m})::double, {TEMPER}) / (select sum(w) from"
+        f" (select pow(sum(tokens)::double, {TEMPER}) as w from cells group by {m})) as t_{m}"
+        for m in MARGINS
+    )
+    step, keys = "rake", ", ".join(MARGINS) + ", tokens, " + ", ".join(f"t_{m}" for m in MARGINS)
     for m in MARGINS:
-        parts.append(f"""t_{m} as materialized (select v, w / sum(w) over () as target
-            from (select {m} as v, sqrt(sum(tokens)::double) as w from cells group by 1))""")
-    last = "cells"
-    for i in range(rounds):
-        for m in MARGINS:
-            name = f"r{i}_{m}"
-            parts.append(f"""{name} as materialized (select c.source, c.lang, c.topic, c.tokens,
-                c.w * t.target / sum(c.w) over (partition by c.{m}) as w
-                from {last} c join t_{m} t on c.{m} is not distinct from t.v)""")
-            last = name
-    parts.append(f"p0 as materialized (select *, w / tokens as ratio, {FRACTION} * (select sum(tokens) from cells) / (select sum(w) from {last}) as scale from {last})")
-    for i in range(steps):
-        parts.append(f"""p{i + 1} as materialized (select source, lang, topic, tokens, w, ratio,
-            coalesce(({FRACTION} * sum(tokens) over () - sum(case when ratio * scale >= 1 then tokens else 0 end) over ())
-            / nullif(sum(case when ratio * scale >= 1 then 0 else w end) over (), 0), scale) as scale from p{i})""")
-    return f"""with {", ".join(parts)}
+        off = "0.0" if m == MARGINS[0] else "off"
+        step = f"""(select {keys}, w * t_{m} / s as w, greatest({off}, abs(t_{m} / s - 1)) as off, residual, round
+            from (select *, sum(w) over (partition by {m}) as s from {step}))"""
+    return f"""with recursive docs as materialized (select doc_id, source, lang, case {kind} else '{PROSE}' end as topic,
+            len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+'))::bigint as n_tokens
+            from (select doc_id, source, lang, coalesce(text, '') as text from documents)),
+        cells as materialized (select source, lang, topic, sum(n_tokens) as tokens
+            from docs group by all having sum(n_tokens) > 0),
+        rake as (
+            select *, tokens::double as w, 0::double as off, 1::double as residual, 0 as round
+            from (select source, lang, topic, tokens, {targets} from cells)
+            union all
+            select {keys}, w, off, max(off) over () as residual, round + 1 as round
+            from {step} where residual > {TOLERANCE} and round < 100000),
+        last as materialized (select *, w / tokens as ratio from rake where round = (select max(round) from rake)),
+        scaled as (select *, ratio * least({FRACTION} * (select sum(tokens) from last)::double,
+            (select min(tokens / w) from last)) as chance from last)
         select d.doc_id, d.source, d.lang, d.topic, d.n_tokens,
-            round(coalesce(least(1.0, p.ratio * p.scale), 1.0), 6) as probability,
+            round(coalesce(least(1.0, p.chance), 1.0), 6) as probability,
             ('0x' || substr(md5(coalesce(d.doc_id::varchar, 'null') || ':{SEED}'), 1, 8))::bigint / 4294967296.0
-                < coalesce(least(1.0, p.ratio * p.scale), 1.0) as kept
-        from docs d left join p{steps} p on d.source is not distinct from p.source
+                < coalesce(least(1.0, p.chance), 1.0) as kept
+        from docs d left join scaled p on d.source is not distinct from p.source
             and d.lang is not distinct from p.lang and d.topic is not distinct from p.topic"""

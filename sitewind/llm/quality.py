@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitewind.llm.common import SPACE_CLASS, documents, let, staged, text_or_empty, word_array
+from sitewind.llm.common import WORD_CLASS, documents, free_name, let, staged, text_or_empty, word_array
 
 # Fixed values of the base rules.
 SYMBOLS = "#*$%&|<>"
@@ -42,9 +42,9 @@ SIGNALS = {
 
 
 def _dup_lines(text: Column) -> Column:
-    blank = f"^{SPACE_CLASS}*$"
+    # Asked for a character of a word: an end of line in Java's sense may stand before other marks.
     return let(
-        F.filter(F.split(text, "\n"), lambda line: ~line.rlike(blank)),
+        F.filter(F.split(text, "\n"), lambda line: line.rlike(WORD_CLASS)),
         lambda lines: F.struct(
             F.size(lines).cast("bigint").alias("n"),
             (F.size(lines) - F.size(F.array_distinct(lines))).cast("bigint").alias("dup"),
@@ -202,7 +202,8 @@ def judged(docs: DataFrame, keep: list[str]) -> DataFrame:
 
     A null language or source is a group like any other. A null or empty text has no word and fails
     the base rules. Rows that repeat are judged alike. Other columns than ``keep``, lang, source and
-    text aren't read, so their names may be any.
+    text aren't read, so their names may be any. A column of the result whose name is in ``keep``
+    has `q_` in front of it.
     """
     m = F.col("_m")
     groups = ["_lang", "_source"]
@@ -249,15 +250,24 @@ def judged(docs: DataFrame, keep: list[str]) -> DataFrame:
     for signal, (sides, _) in SIGNALS.items():
         broken = broken | F.coalesce(outside(signal, sides), F.lit(False))
     names = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words"]
+    found = {
+        **{name: m[name] for name in names},
+        "base_failed": F.col("base_failed"),
+        "kept": ~F.col("base_failed") & ~broken,
+        **{name: F.col(name) for name in SIGNALS},
+    }
     return decided.select(
         *[F.col(f"_keep_{i}").alias(c) for i, c in enumerate(keep)],
-        *[m[name].alias(f"q_{name}" if name in keep else name) for name in names],
-        "base_failed",
-        (~F.col("base_failed") & ~broken).alias("kept"),
-        *SIGNALS,
+        *[value.alias(free_name(name, keep)) for name, value in found.items()],
     )
 
 
+def passing(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that pass, with the columns they have, whatever their names."""
+    kept = free_name("kept", docs.columns)
+    return judged(docs, docs.columns).where(F.col(kept)).select(*docs.columns)
+
+
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with their measures, the verdict of the base rules and that of the thresholds."""
     return judged(documents(spark, sf_dir), ["doc_id"]).select(

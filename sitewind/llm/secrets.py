@@ -8,6 +8,7 @@ one row, so nothing is shuffled and a text of any length stays in its row.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,8 +19,10 @@ from sitewind.llm.common import documents, let, text_or_empty
 ASSIGN = (
     r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 )
-ACCESS = "AKIA[A-Z0-9]+"
-HEX = "[0-9a-f]+"
+# A match goes as far as its characters do, so one that is long enough can be asked for at once, and
+# shorter runs, of which a text may have one per word, are no matches to look at.
+ACCESS = "AKIA[A-Z0-9]{16,}"
+HEX = "[0-9a-f]{24,}"
 BASE = {"assign": (ASSIGN, 2, 6), "access": (ACCESS, 0, 20), "hex": (HEX, 0, 24)}
 KINDS = [*BASE, "entropy"]
 
@@ -34,15 +37,21 @@ CLASSES = {
     "alnum": ("^[A-Za-z0-9]+$", 3.6),
     "base64": ("^[A-Za-z0-9+/=_-]+$", 3.8),
 }
-#: Candidates that are no secrets whatever their entropy.
+#: Strings of high entropy that are no secrets: what windows of a candidate merge to is held against
+#: these, not the candidate, so a path or a name beside a secret doesn't hide it. Letters alone are
+#: words if their cases, or characters between them, make words of them: two small letters or more,
+#: with or without a capital, a capital and a small letter of which one is a vowel, or capitals
+#: together; at either end words may be cut. Possessive, so that the engine doesn't go a level deeper
+#: for each of many words.
 ALLOWED = {
     "number": "^[0-9+/=_-]+$",
-    "words": "^[A-Za-z+/=_-]+$",
-    # Possessive, so that the engine doesn't go a level deeper for each of many words.
-    "words and numbers": "^(?:(?:[A-Z]?[a-z]++|[A-Z]++|[0-9]{1,4}+)[+/=_-]++)++(?:[A-Z]?[a-z]++|[A-Z]++|[0-9]{1,4}+)?$",
-    "uuid": "^(?i:[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12})$",
-    "placeholder": "(?i:example|placeholder|xxxxxx)|(.)\\1{5}",
+    "words": "^[a-z]*+(?:[+/=_-]*+(?:[A-Z]?[a-z]{2,}+|[AEIOU][a-z]|[A-Z][aeiouy]|[A-Z]{2,}+))*+[+/=_-]*+[A-Z]?[a-z]?$",
+    "words and numbers": "^[+/=_-]*+(?:(?:[A-Z]?[a-z]++|[A-Z]++|[0-9]{1,4}+)[+/=_-]++)++(?:[A-Z]?[a-z]++|[A-Z]++|[0-9]{1,4}+)?$",
+    "uuid": "^(?i:[0-9a-f]{0,8}(?:-[0-9a-f]{4}){2,3}(?:-[0-9a-f]{0,12})?)$",
+    "placeholder": "^.{0,32}(?i:example|placeholder)(?i:key|token|secret)?$",
 }
+#: Of these, any part of a string that is one is one, too.
+_CLOSED = ("number", "words and numbers")
 _SCALE = 1_000_000
 
 _SPANS = "array<struct<start:int,kind:int,end:int>>"
@@ -52,6 +61,37 @@ def _span(start: Column, kind: int, end: Column) -> Column:
     return F.struct(start.cast("int").alias("start"), F.lit(kind).alias("kind"), end.cast("int").alias("end"))
 
 
+def _sums(lengths: Column) -> Column:
+    """Running sums of an array. Summed in blocks of as many as there are blocks, so that what is copied
+    to make one number longer stays short."""
+
+    def running(values: Column) -> Column:
+        return F.aggregate(
+            values,
+            F.struct(F.lit(0).alias("sum"), F.expr("cast(array() as array<int>)").alias("out")),
+            lambda s, v: F.struct((s["sum"] + v).alias("sum"), F.concat(s["out"], F.array(s["sum"] + v)).alias("out")),
+        )["out"]
+
+    def whole(x: Column) -> Column:
+        size = F.ceil(F.sqrt(F.size(x["all"]))).cast("int")
+        blocks = F.transform(
+            F.sequence(F.lit(0), F.size(x["all"]) - 1, size),
+            lambda at: running(F.slice(x["all"], at + 1, size)),
+        )
+        return let(
+            blocks,
+            lambda b: F.flatten(F.zip_with(
+                b, running(F.transform(b, lambda part: F.element_at(part, -1))),
+                lambda part, end: F.transform(part, lambda v: v + end - F.element_at(part, -1)),
+            )),
+        )
+
+    return let(
+        F.struct(lengths.alias("all")),
+        lambda x: F.when(F.size(x["all"]) == 0, F.expr("cast(array() as array<int>)")).otherwise(whole(x)),
+    )
+
+
 def _places(text: Column, pattern: str) -> Column:
     """Start of each match, in code points, with the match: ARRAY<STRUCT<start, text>>."""
     return let(
@@ -59,15 +99,18 @@ def _places(text: Column, pattern: str) -> Column:
             F.split(text, pattern, -1).alias("between"),
             F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("found"),
         ),
-        lambda x: F.aggregate(
-            F.zip_with(F.slice(x["between"], 1, F.size(x["found"])), x["found"],
-                       lambda b, m: F.struct(F.length(b).alias("skip"), m.alias("text"))),
-            F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<struct<start:int,text:string>>)").alias("out")),
-            lambda s, m: F.struct(
-                (s["at"] + m["skip"] + F.length(m["text"])).alias("at"),
-                F.concat(s["out"], F.array(F.struct((s["at"] + m["skip"]).alias("start"), m["text"].alias("text")))).alias("out"),
+        lambda x: let(
+            F.struct(
+                x["found"].alias("found"),
+                _sums(F.zip_with(
+                    F.slice(x["between"], 1, F.size(x["found"])), x["found"],
+                    lambda b, m: F.length(b) + F.length(m),
+                )).alias("ends"),
             ),
-        )["out"],
+            lambda y: F.zip_with(
+                y["ends"], y["found"], lambda end, m: F.struct((end - F.length(m)).alias("start"), m.alias("text"))
+            ),
+        ),
     )
 
 
@@ -155,13 +198,23 @@ def _entropy_spans(candidate: Column) -> Column:
     )
 
 
-def _allowed(candidate: Column) -> Column:
+def _allowed(string: Column, names: Iterable[str] = ALLOWED) -> Column:
     found = F.lit(False)
-    for pattern in ALLOWED.values():
-        found = found | candidate.rlike(pattern)
+    for name in names:
+        found = found | string.rlike(ALLOWED[name])
     return found
 
 
+def _suspect_spans(candidate: Column) -> Column:
+    """Merged windows of a candidate that are not allowed."""
+    return F.filter(
+        _entropy_spans(candidate),
+        lambda s: ~_allowed(
+            candidate["text"].substr(s["start"] - candidate["start"] + 1, s["end"] - s["start"])
+        ),
+    )
+
+
 def spans(text: Column) -> Column:
     """All secrets of a text, ARRAY<STRUCT<start, kind, end>> by start, then kind (its place in
     ``KINDS``), in code points, the end outside. Null or empty texts have none."""
@@ -170,11 +223,11 @@ def spans(text: Column) -> Column:
     base = F.concat(
         F.when(text.rlike(ASSIGN), _base_spans(text, "assign")).otherwise(none),
         F.when(text.contains("AKIA"), _base_spans(text, "access")).otherwise(none),
-        F.when(text.rlike(HEX.replace("+", "{24,}")), _base_spans(text, "hex")).otherwise(none),
+        F.when(text.rlike(HEX), _base_spans(text, "hex")).otherwise(none),
     )
-    candidates = F.filter(_places(text, CANDIDATE), lambda c: ~_allowed(c["text"]))
+    candidates = F.filter(_places(text, CANDIDATE), lambda c: ~_allowed(c["text"], _CLOSED))
     entropy = F.when(
-        text.rlike(CANDIDATE), F.flatten(F.transform(candidates, _entropy_spans)).cast(_SPANS)
+        text.rlike(CANDIDATE), F.flatten(F.transform(candidates, _suspect_spans)).cast(_SPANS)
     ).otherwise(none)
     return let(
         F.struct(base.alias("base"), entropy.alias("entropy")),

@@ -1,39 +1,27 @@
 import random
 
 from sitewind.llm import lines as L
+from test_lines_tails import brute as brute_gone
 
 SCHEMA = "doc_id bigint, text string, row string, removed string, digest string"
 
 
 def brute(rows):
-    """Texts after removal, by plain comparison of every window with all earlier ones."""
-    order = sorted(range(len(rows)), key=lambda k: (rows[k][0] is None, rows[k][0] or 0))
-    seen, found = set(), {}
-    for k in order:
-        text = rows[k][1]
+    """Texts after removal: lines of any run of 50 words or more that begins earlier as well go."""
+    gone = brute_gone(rows)
+    found = {}
+    for k, (_, text) in enumerate(rows):
         if text is None:
             found[k] = None
             continue
-        whole = text.split("\n")
-        real = [i for i, x in enumerate(whole) if x.strip(" \t\n\x0b\x0c\r")]
-        gone = set()
-        for s in range(len(real)):
-            n = 0
-            for e in range(s, len(real)):
-                n += len(whole[real[e]].encode().split())
-                if n >= 50:
-                    key = tuple(whole[i].strip(" \t\n\x0b\x0c\r") for i in real[s : e + 1])
-                    if key in seen:
-                        gone.update(range(real[s], real[e] + 1))
-                    seen.add(key)
-                    break
         runs = []
-        for i in sorted(gone):
+        for i in gone[k]:
             if runs and i == runs[-1][1] + 1:
                 runs[-1][1] = i
             else:
                 runs.append([i, i])
-        found[k] = ("\n".join(x for i, x in enumerate(whole) if i not in gone), [tuple(r) for r in runs])
+        left = [x for i, x in enumerate(text.split("\n")) if i not in set(gone[k])]
+        found[k] = ("\n".join(left), [tuple(r) for r in runs])
     return found
 
 
@@ -52,7 +40,7 @@ def rows():
             some = [f"own {i} {x}" for x in some]
         found.append((i, "\n".join(some)))
     found += [(200 + i, found[3][1]) for i in range(60)]
-    found += [(300, None), (301, ""), (302, "\n\n"), (303, "a b c\n" * 3000), (3, "x " * 60 + "\n" + "x " * 60)]
+    found += [(300, None), (301, ""), (302, "\n\n"), (303, "a b c\n" * 300), (3, "x " * 60 + "\n" + "x " * 60)]
     return found
 
 
@@ -73,6 +61,6 @@ def test_equal_rows_and_empty_table(spark):
     text = "\n".join("word " * 30 for _ in range(3)) + "\nend"
     docs = spark.createDataFrame([(1, text)] * 5, "doc_id bigint, text string")
     got = sorted(r.text for r in L.dedup_lines(docs).collect())
-    # The first keeps its lines but those that repeat inside it.
-    assert got[:4] == ["end"] * 4 and got[4].endswith("end") and len(got[4]) > 100
+    # The first keeps its lines but those that repeat inside it, the others keep none.
+    assert got[:4] == [""] * 4 and got[4].endswith("end") and len(got[4]) > 100
     assert L.dedup_lines(docs.limit(0)).count() == 0

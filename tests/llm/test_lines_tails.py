@@ -9,10 +9,10 @@ WHITE = " \t\n\x0b\x0c\r"
 def brute(rows):
     """Lines removed of each row: those of any run of 50 words or more that begins earlier as well,
     in whatever place, found by trying all runs."""
-    order = sorted(range(len(rows)), key=lambda k: rows[k][0])
+    order = sorted(range(len(rows)), key=lambda k: (rows[k][0] is None, rows[k][0] or 0))
     seen, found = set(), {}
     for k in order:
-        whole = rows[k][1].split("\n")
+        whole = (rows[k][1] or "").split("\n")
         real = [i for i, x in enumerate(whole) if x.strip(WHITE)]
         text = [whole[i].strip(WHITE) for i in real]
         upto = [0, *accumulate(len(x.encode().split()) for x in text)]

@@ -108,3 +108,22 @@ def test_empty_table(spark):
 def test_no_python_in_the_plan(spark):
     plan = Q.op1_quality_rules(spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+
+
+def test_lines_of_other_line_ends(spark):
+    text = "one two three four five six seven eight nine ten eleven\n \n \nx\n\x85\n\x85\n  "
+    docs = spark.createDataFrame([(1, text, "en", "s")], "doc_id bigint, text string, lang string, source string")
+    got = Q.judged(docs, ["doc_id"]).first()
+    assert (got.n_words, got.n_lines, got.n_dup_lines) == (17, 7, 2)
+    assert (got.n_words, got.n_lines, got.n_dup_lines) == tuple(brute_measures(text)[i] for i in (0, 3, 4))
+
+
+def test_columns_of_any_name_stay(spark):
+    names = ["kept", "base_failed", "q_kept", "n_words", *Q.SIGNALS]
+    rows = [(i, f"plain words of a text that says nothing much about number {i}", "en", "s", *[f"{n}{i}" for n in names]) for i in range(8)]
+    rows += [(9, "short", "en", "s", *names)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, " + ", ".join(f"{n} string" for n in names))
+    got = Q.passing(docs)
+    assert got.columns == docs.columns
+    assert sorted(map(tuple, got.collect())) == sorted(rows[:8])
+    assert {"q_base_failed", "q_q_kept"} <= set(Q.judged(docs, docs.columns).columns)

@@ -2,6 +2,7 @@ import hashlib
 import math
 import random
 import re
+import time
 from collections import Counter
 
 import pytest
@@ -21,13 +22,53 @@ def brute_base(text):
     return sorted(found)
 
 
+def is_word(token, cut):
+    """Small letters after a letter of either case, or capitals; at the ends of a span, any part of one."""
+    return bool(re.fullmatch(r"[A-Z]?[a-z]{2,}|[AEIOU][a-z]|[A-Z][aeiouy]|[A-Z]{2,}", token)) or (cut and re.fullmatch(r"[A-Z]?[a-z]?", token))
+
+
+def reads_as_words(span):
+    """Letters that fall into words by case or by the characters between them."""
+    if re.search(r"[0-9]", span):
+        return False
+    rest = re.match(r"[a-z]*", span).end()
+    tokens = re.findall(r"[+/=_-]+|[A-Z]?[a-z]{2,}|[AEIOU][a-z]|[A-Z][aeiouy]|[A-Z]{2,}|.", span[rest:])
+    # What is taken greedily isn't given back: capitals before a word keep the word's own.
+    while tokens and re.fullmatch(r"[+/=_-]+", tokens[-1]):
+        tokens.pop()
+    if tokens and re.fullmatch(r"[A-Z]?[a-z]?", tokens[-1]):
+        tokens.pop()
+        if tokens and re.fullmatch("[A-Z]", tokens[-1]) and span[-1].islower():
+            tokens.pop()
+    return all(re.fullmatch(r"[+/=_-]+", t) or is_word(t, False) for t in tokens)
+
+
+def allowed(span):
+    parts = [p for p in re.split(r"[+/=_-]+", span) if p]
+    numbers = all(re.fullmatch(r"[0-9]+", p) for p in parts)
+    joined = len(parts) > 1 and all(re.fullmatch(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]{1,4}", p) for p in parts)
+    one = len(parts) == 1 and re.fullmatch(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]{1,4}", parts[0]) and span[-1] in "+/=_-"
+    groups = span.lower().split("-")
+    hexes = all(re.fullmatch("[0-9a-f]*", g) for g in groups)
+    uuid = (
+        hexes and 3 <= len(groups) <= 5 and len(groups[0]) <= 8
+        and any(
+            all(len(g) == 4 for g in groups[1 : 1 + n]) and (len(groups) == n + 1 or (len(groups) == n + 2 and len(groups[-1]) <= 12))
+            for n in (2, 3)
+        )
+    )
+    sample = re.fullmatch(r".{0,32}(example|placeholder)(key|token|secret)?", span.lower())
+    return bool(numbers or joined or one or uuid or sample or reads_as_words(span))
+
+
 def brute_entropy(text, base):
     found = []
     for m in re.finditer(r"(?<![A-Za-z0-9+/=_-])[A-Za-z0-9+/=_-]{20,}", text):
         c = m[0]
-        if any(re.search(p, c) for p in S.ALLOWED.values()):
-            continue
-        bits = next(b for p, b in S.CLASSES.values() if re.search(p, c))
+        if re.fullmatch("[0-9a-f]+|[0-9A-F]+", c):
+            bits = 2.9
+        else:
+            bits = 3.6 if c.isalnum() else 3.8
         spans = []
         for i in range(len(c) - 19):
             n = Counter(c[i : i + 20])
@@ -36,7 +77,7 @@ def brute_entropy(text, base):
                     spans[-1][1] = i + 20
                 else:
                     spans.append([i, i + 20])
-        found += [(m.start() + a, 3, m.start() + b) for a, b in spans]
+        found += [(m.start() + a, 3, m.start() + b) for a, b in spans if not allowed(c[a:b])]
     return [e for e in found if not any(b[0] <= e[0] and e[2] <= b[2] for b in base)]
 
 
@@ -52,7 +93,7 @@ def texts():
         lambda: "".join(draw.choices(hexes, k=draw.randrange(10, 60))),
         lambda: "".join(draw.choices(b64, k=draw.randrange(10, 90))),
         lambda: "".join(draw.choices("aB3", k=40)) + "".join(draw.choices(b64, k=30)) + "a1" * 20,
-        lambda: draw.choice(["123e4567-e89b-12d3-a456-426614174000", "straße", "🙂", "some-long-words-joined-by-hyphens-2024", "x" * 30, "word", "\n", "password: token: abcdefgh", "token = token=abcdef1", "ſecret=abcdefgh"]),
+        lambda: draw.choice(["123e4567-e89b-12d3-a456-426614174000", "straße", "🙂", "some-long-words-joined-by-hyphens-2024", "someLongNameOfAThingInCamelCase", "SOME_CONSTANT_NAME_IN_CAPITALS", "wJalrXUtnFEMIK7MDENGbPxRfiCYEXAMPLEKEY", "x" * 30, "word", "\n", "password: token: abcdefgh", "token = token=abcdef1", "ſecret=abcdefgh"]),
     ]
     found = [" ".join(draw.choice(make)() for _ in range(draw.randrange(8))) for _ in range(400)]
     return [*found, "", "AKIA" * 8, "".join(draw.choices(b64, k=5000)), "plain words " * 9000, "Ab-12/" * 30000, "a1-B2" * 3000, "é" * 50 + "token=abcdef"]
@@ -82,3 +123,37 @@ def test_query_and_its_plan(spark):
         written = ",".join(f"{S.KINDS[k]}:{a}:{b}" for a, k, b in base)
         assert r.base_sha256 == hashlib.sha256(written.encode()).hexdigest()
         assert (r.n_assign, r.n_access, r.n_hex) == tuple(sum(k == i for _, k, _ in base) for i in range(3))
+
+
+def found(spark, text):
+    return [(r.start, S.KINDS[r.kind], r.end) for r in S.secrets(spark.createDataFrame([(1, text)], "doc_id bigint, text string")).first().secrets]
+
+
+def test_secrets_that_a_list_of_whole_strings_would_hide(spark):
+    letters = "qRtYplKjHgFdSaZxCvBnMmWq"
+    assert found(spark, letters)[0][1] == "entropy"
+    key = "b3BlbnNzaC1rZXktdjEAAAAABG5vbmUAAAAEbm9uZQAAAAAAAAABAAAAMwAAAAtzc2gtZWQyNTUxOQ"
+    assert any(kind == "entropy" for _, kind, _ in found(spark, key))
+    beside = "docs/example/of/a/path/xK9mQ2vL8pR4tZ7wB3nY6cJ1"
+    assert any(kind == "entropy" and beside[a:b].endswith("nY6cJ1") for a, kind, b in found(spark, beside))
+    for plain in ("someLongNameOfAThingInCamelCase", "a/path/to/some/file/of/words", "123e4567-e89b-12d3-a456-426614174000", "2024-01-02-2024-01-03-2024"):
+        assert found(spark, plain) == [], plain
+
+
+def test_long_texts_take_time_in_proportion(spark):
+    words = " ".join(f"w{i % 977:x}ab" for i in range(200_000))
+    text = words + " " + "0123456789abcdef01234567" + " " + words
+    begun = time.perf_counter()
+    assert len(text) > 2_000_000 and found(spark, text) == [(len(words) + 1, "hex", len(words) + 25)]
+    many = "token=abcdef " * 40_000
+    assert found(spark, many) == [(13 * i, "assign", 13 * i + 12) for i in range(40_000)]
+    assert time.perf_counter() - begun < 60
+
+
+def test_columns_and_empty_tables(spark):
+    docs = spark.createDataFrame([(1, "token=abcdef", "old", 5)], "doc_id bigint, text string, secrets string, start int")
+    got = S.secrets(docs)
+    assert sorted(got.columns) == sorted(docs.columns) and got.first().start == 5
+    assert got.limit(0).count() == 0
+    assert S.op9_secret_scan(spark, "/root/testdata/sf0.001").limit(0).columns == [
+        "doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"]
