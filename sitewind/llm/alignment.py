@@ -12,7 +12,6 @@ asks for is its distinct pairs, and these are what is sent back to it.
 from __future__ import annotations
 
 import hashlib
-import os
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
@@ -26,10 +25,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from sentencepiece import SentencePieceProcessor
-from tokenizers import Tokenizer
 
 from sitewind.llm.common import documents, staged
-from sitewind.llm.sequences import byte_characters, tokenizer_file
+from sitewind.llm.sequences import byte_level, tokenizer_file
 from sitewind.llm.wordcodes import Memory, Vocabulary, gathered
 
 #: Bytes of text that are coded at once, words that are merged at once, and bytes of text of a part.
@@ -47,20 +45,6 @@ _RESULT = (
 )
 
 
-def byte_level(tokenizer: str) -> Vocabulary:
-    """The vocabulary of a tokenizer file, whose special tokens are plain text."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    library = Tokenizer.from_str(tokenizer)
-    library.encode_special_tokens = True
-    byte = {c: b for b, c in byte_characters().items()}
-    spelled = [b""] * library.get_vocab_size()
-    for token, at in library.get_vocab().items():
-        spelled[at] = bytes(byte[c] for c in token)
-    return Vocabulary(
-        lambda texts: [e.ids for e in library.encode_batch_fast(texts, add_special_tokens=False)], spelled
-    )
-
-
 def pieces(model: bytes) -> Vocabulary:
     """The vocabulary of a piece model, which puts a space before each text by itself."""
     library = SentencePieceProcessor(model_proto=model)
@@ -137,7 +121,7 @@ class _Aligner:
     """Both vocabularies in a worker."""
 
     def __init__(self, tokenizer: str, model: bytes) -> None:
-        self.sides = (byte_level(tokenizer), pieces(model))
+        self.sides = (byte_level(tokenizer)[1], pieces(model))
         self.memory = Memory(list(self.sides))
         self.sizes = [len(v.sizes) for v in self.sides]
         self.words = pa.concat_arrays([_spell(n, end) for n, end in zip(self.sizes, "|;", strict=True)])

@@ -11,12 +11,14 @@ lost executor had begun is in no row of it.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import os
+from collections.abc import Iterator
 from functools import cache, lru_cache
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -24,7 +26,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from sitewind.llm.common import documents, shared_path, staged, tasks
-from sitewind.llm.pieces import Remembered
+from sitewind.llm.wordcodes import REMEMBERED, Coded, Memory, Vocabulary, gathered
 
 #: Tokens of a sequence, sequences of a batch.
 LENGTH = 2048
@@ -39,33 +41,67 @@ def byte_characters() -> dict[int, str]:
     return {**{b: chr(b) for b in printable}, **{b: chr(256 + i) for i, b in enumerate(others)}}
 
 
+def byte_level(tokenizer: str) -> tuple[Tokenizer, Vocabulary]:
+    """The library of a tokenizer file, for which special tokens are plain text, and its vocabulary."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    library = Tokenizer.from_str(tokenizer)
+    library.encode_special_tokens = True
+    byte = {c: b for b, c in byte_characters().items()}
+    spelled = [b""] * library.get_vocab_size()
+    for token, at in library.get_vocab().items():
+        spelled[at] = bytes(byte[c] for c in token)
+
+    def encode(texts: list[str]) -> list:
+        return [e.ids for e in library.encode_batch_fast(texts, add_special_tokens=False)]
+
+    return library, Vocabulary(encode, spelled)
+
+
+class _Encoder:
+    """Ids of texts, as the library's ``encode(text, add_special_tokens=False)`` has them. Texts that hold
+    one of the file's added tokens go to the library whole, as it looks for those before any cut."""
+
+    def __init__(self, tokenizer: str) -> None:
+        self.library = Tokenizer.from_str(tokenizer)
+        self.added = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        _, vocabulary = byte_level(tokenizer)
+        self.encode = vocabulary.encode
+        self.memory = Memory([vocabulary])
+        self.first: dict[str, np.ndarray] = {}
+
+    def _first_parts(self, parts: list[str]) -> list[np.ndarray]:
+        """Ids of parts that begin a text: no space is in front of them."""
+        if len(self.first) > REMEMBERED:
+            self.first = {}
+        new = [p for p in dict.fromkeys(parts) if p not in self.first]
+        self.first |= zip(new, [np.array(ids, np.int32) for ids in self.encode(new)] if new else [], strict=True)
+        return [self.first[p] for p in parts]
+
+    def texts(self, texts: pa.Array) -> list[np.ndarray]:
+        if not len(texts):
+            return []
+        places, ends = self.memory.places(texts)
+        begins = np.concatenate([[0], ends[:-1]])
+        first = self._first_parts([self.memory.parts[p] for p in places[begins].tolist()])
+        coded = self.memory.coded[0]
+        sizes = np.array([len(f) for f in first], np.int64)
+        both = Coded(
+            np.concatenate([coded.ids, *first]),
+            np.concatenate([coded.ends, len(coded.ids) + np.cumsum(sizes)]), coded.exact,
+        )
+        places = places.copy()
+        places[begins] = len(coded.ends) + np.arange(len(begins))
+        ids, stops = gathered(both, places)
+        found = np.split(ids, stops[ends[:-1] - 1]) if len(ends) > 1 else [ids]
+        for token in self.added:
+            for at in np.flatnonzero(pc.match_substring(texts, token).to_numpy(zero_copy_only=False)).tolist():
+                found[at] = np.array(self.library.encode(texts[at].as_py(), add_special_tokens=False).ids, np.int32)
+        return found
+
+
 @cache
-def _memory(tokenizer_file: str) -> Callable[[list[str]], list[bytes]]:
-    """Ids of texts, as the library's ``encode(text, add_special_tokens=False)`` has them. The merges
-    are the library's; the cut into matches is that of ``pieces``. Texts that hold one of the file's
-    added tokens go to the library whole, as it looks for those before any cut."""
-    library = Tokenizer.from_str(tokenizer_file)
-    model, added = library.model, [t.content for t in library.get_added_tokens_decoder().values()]
-    characters = byte_characters()
-
-    def encode(words: list[bytes]) -> list[bytes]:
-        return [
-            np.array([t.id for t in model.tokenize(w.decode("latin-1").translate(characters))], "<u4").tobytes()
-            for w in words
-        ]
-
-    memory = Remembered(encode, b"")
-
-    def codes(texts: list[str]) -> list[bytes]:
-        whole = {
-            at: np.array(library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-            for at, text in enumerate(texts)
-            if any(token in text for token in added)
-        }
-        cut = iter(memory.codes([text for at, text in enumerate(texts) if at not in whole]))
-        return [whole[at] if at in whole else b"".join(next(cut)) for at in range(len(texts))]
-
-    return codes
+def _encoder(tokenizer: str) -> _Encoder:
+    return _Encoder(tokenizer)
 
 
 def id_type(tokenizer_file: str) -> pa.DataType:
@@ -132,18 +168,18 @@ def write_sequences(
     spark = docs.sparkSession
     ids = id_type(tokenizer_file)
     shared = spark.sparkContext.broadcast(tokenizer_file)
-    last = np.array([end], "<u4")
+    last = np.array([end], np.int32)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, task, writer = _memory(shared.value), TaskContext.get(), None
+        encoder, task, writer = _encoder(shared.value), TaskContext.get(), None
         name = f"part-{task.partitionId():06d}-{task.taskAttemptId()}.arrow"
         for rows in batches:
             for at in range(0, rows.num_rows, 1000):
                 some = rows.slice(at, 1000)
                 begins, sizes = [], []
                 writer = writer or _Writer(f"{folder}/{name}", ids, length, batch)
-                for code in encode(some.column("_text").to_pylist()):
-                    tokens = np.concatenate([np.frombuffer(code, "<u4"), last])
+                for code in encoder.texts(some.column("_text")):
+                    tokens = np.concatenate([code, last])
                     begins.append(writer.add(tokens))
                     sizes.append(len(tokens))
                 n = some.num_rows

@@ -99,6 +99,7 @@ class Memory:
 
     def _forget(self) -> None:
         self.known: dict[str, int] = {}
+        self.parts: list[str] = []
         self.coded = [Coded(np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, bool)) for _ in self.vocabularies]
 
     def _learn(self, parts: list[str]) -> np.ndarray:
@@ -107,6 +108,7 @@ class Memory:
         known = self.known
         new = [p for p in parts if p not in known]
         if new:
+            self.parts += new
             for p in new:
                 known[p] = len(known)
             for at, (vocabulary, old) in enumerate(zip(self.vocabularies, self.coded, strict=True)):

@@ -2,7 +2,10 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers as P
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from sitewind.llm import sequences
@@ -73,3 +76,21 @@ def test_query(spark):
         want.append((d.doc_id, start, len(ids), zlib.crc32(ids.tobytes())))
         start += len(ids)
     assert sorted(map(tuple, got)) == want
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(
+    st.lists(st.sampled_from([*"ab .,1\n\t é日'😀\x1c<|>", "<|endoftext|>", " next"]), max_size=20).map("".join),
+    min_size=1, max_size=6,
+))
+def test_ids_are_those_of_the_library(texts):
+    encoder = sequences._encoder(sequences.tokenizer_file())
+    found = encoder.texts(pa.array(texts, pa.string()))
+    plain = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    assert [f.tolist() for f in found] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_other_columns_and_an_empty_table(spark):
+    docs = spark.createDataFrame([(1, "a b", "f", "p", "s")], SCHEMA)
+    manifest = sequences.write_sequences(docs.limit(0), shared_path(spark, "empty"), sequences.tokenizer_file())
+    assert manifest.count() == 0 and sequences.read_documents(manifest, shared_path(spark, "empty")).count() == 0
