@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from sentencepiece import SentencePieceProcessor
 
-from sitewind.llm.common import documents, staged
+from sitewind.llm.common import documents, slices, staged
 from sitewind.llm.sequences import byte_level, tokenizer_file
 from sitewind.llm.wordcodes import Memory, Vocabulary, gathered
 
@@ -210,6 +210,36 @@ def _documents(aligner: _Aligner, texts: pa.Array, keep: bool = False) -> list[_
     return found
 
 
+def linked(self) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.pairs) == 1:
+            return self.pairs[0], self.times[0]
+        pairs, place = np.unique(np.concatenate([np.zeros(0, np.int64), *self.pairs]), return_inverse=True)
+        times = np.bincount(place, np.concatenate([np.zeros(0), *self.times]), len(pairs))
+        return pairs, times.astype(np.int64)
+
+
+def _documents(aligner: _Aligner, texts: pa.Array, keep: bool = False) -> list[_Document]:
+    found = [_Document.new() for _ in range(len(texts))]
+    for first, aligned, groups, pairs in aligner.texts(texts):
+        n = len(groups)
+        of = aligned.of[0][aligned.links[0]]
+        counts = np.stack([
+            np.bincount(aligned.of[0], minlength=n), np.bincount(aligned.of[1], minlength=n),
+            np.bincount(aligned.of[0][aligned.begins[0]], minlength=n), np.bincount(of, minlength=n),
+        ], axis=1)
+        # A text and a pair in one number: texts of a batch are few.
+        key = np.sort(of * np.int64(1 << 40) + pairs)
+        cuts = np.flatnonzero(np.diff(key, prepend=-1))
+        times = np.diff(cuts, append=len(key))
+        key = key[cuts]
+        ends = np.searchsorted(key >> 40, np.arange(1, n))
+        each = zip(np.split(key & ((1 << 40) - 1), ends), np.split(times, ends), strict=True)
+        for k, (some, often) in enumerate(each):
+            if groups[k]:
+                found[first + k].add(counts[k], groups[k], some, often, keep)
+    return found
+
+
 def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     """Rows of about TEXT_AT_ONCE bytes, or one longer row."""
     sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False)
@@ -230,7 +260,7 @@ def linked(docs: DataFrame, tokenizer: str, model: bytes) -> DataFrame:
         aligner = _aligner(*shared.value)
         part, held = TaskContext.get().partitionId() << 32, 0
         for batch in batches:
-            for some in _slices(batch):
+            for some in slices(batch, "text", TEXT_AT_ONCE):
                 found = _documents(aligner, some.column(1))
                 pairs, times = zip(*(d.linked() for d in found), strict=True) if found else ((), ())
                 ends = pa.array(np.cumsum([0, *map(len, pairs)]), pa.int32())
@@ -312,12 +342,12 @@ def groups(docs: DataFrame, tokenizer: str, model: bytes) -> DataFrame:
         aligner = _aligner(*shared.value)
         for batch in batches:
             names = [*kept, "groups"]
-            for some in _slices(batch.select(["_row", "_text", *kept])):
-                found = _documents(aligner, some.column(1), keep=True)
+            for some in slices(batch, "_text", TEXT_AT_ONCE):
+                found = _documents(aligner, some.column("_text"), keep=True)
                 text = pa.array(["".join(d.groups)[:-1] for d in found], pa.string())
                 yield pa.RecordBatch.from_arrays([*[some.column(c) for c in kept], text], names)
 
-    rows = docs.select(*kept, F.col("text").alias("_text"), F.lit(0).alias("_row"))
+    rows = docs.select(*kept, F.col("text").alias("_text"))
     return rows.mapInArrow(write, docs.select(*kept).schema.add("groups", "string"))
 
 

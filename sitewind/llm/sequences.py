@@ -25,12 +25,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from sitewind.llm.common import documents, shared_path, staged, tasks
+from sitewind.llm.common import documents, shared_path, slices, staged, tasks
 from sitewind.llm.wordcodes import REMEMBERED, Coded, Memory, Vocabulary, gathered
 
 #: Tokens of a sequence, sequences of a batch.
 LENGTH = 2048
 BATCH = 128
+#: Bytes of text that are encoded at once.
+TEXT_AT_ONCE = 8 << 20
 
 
 def byte_characters() -> dict[int, str]:
@@ -174,8 +176,7 @@ def write_sequences(
         encoder, task, writer = _encoder(shared.value), TaskContext.get(), None
         name = f"part-{task.partitionId():06d}-{task.taskAttemptId()}.arrow"
         for rows in batches:
-            for at in range(0, rows.num_rows, 1000):
-                some = rows.slice(at, 1000)
+            for some in slices(rows, "_text", TEXT_AT_ONCE):
                 begins, sizes = [], []
                 writer = writer or _Writer(f"{folder}/{name}", ids, length, batch)
                 for code in encoder.texts(some.column("_text")):

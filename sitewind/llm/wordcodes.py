@@ -16,7 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Parts after which a worker begins a new memory, and characters of a text made of new parts.
-REMEMBERED = 400_000
+REMEMBERED = 700_000
 TOGETHER = 1 << 14
 
 # Python counts a few characters more as white space than the vocabularies do: fewer cuts, same ids.
@@ -57,36 +57,47 @@ class Vocabulary:
         return ids, b"".join(self.spelled[ids]) == (" " + part).encode("utf-8", "surrogatepass")
 
     def codes(self, parts: list[str]) -> Coded:
-        found: list = [None] * len(parts)
-        exact = np.ones(len(parts), bool)
-        block: list[int] = []
-        blocks, held = [], 0
-        for at, part in enumerate(parts):
-            if _whole(part):
-                found[at], exact[at] = self._one(part)
-                continue
-            block.append(at)
-            held += len(part) + 1
-            if held >= TOGETHER:
-                blocks.append(block)
-                block, held = [], 0
-        if block:
-            blocks.append(block)
-        texts = ["".join([" " + parts[at] for at in block]) for block in blocks]
-        for block, text, ids in zip(blocks, texts, self.encode(texts) if texts else [], strict=True):
-            ids = np.array(ids, np.int32)
-            starts = np.flatnonzero(self.opens[ids])
-            same = b"".join(self.spelled[ids]) == text.encode("utf-8", "surrogatepass")
-            if same and len(starts) == len(block):
-                for at, code in zip(block, np.split(ids, starts[1:]), strict=True):
-                    found[at] = code
-            else:
-                for at in block:
-                    found[at], exact[at] = self._one(parts[at])
-        none = np.zeros(0, np.int32)
-        return Coded(
-            np.concatenate([none, *found]), np.cumsum([len(f) for f in found], dtype=np.int64), exact
+        odd = [at for at, part in enumerate(parts) if _whole(part)]
+        if not odd:
+            return self._together(parts)
+        alone = [self._one(parts[at]) for at in odd]
+        apart = set(odd)
+        coded = self._together([part for at, part in enumerate(parts) if at not in apart])
+        # Where each part's code is: those encoded together come first.
+        source = np.empty(len(parts), np.int64)
+        source[odd] = len(coded.ends) + np.arange(len(odd))
+        source[np.setdiff1d(np.arange(len(parts)), odd, assume_unique=True)] = np.arange(len(coded.ends))
+        every = Coded(
+            np.concatenate([coded.ids, *(ids for ids, _ in alone)]),
+            np.concatenate([coded.ends, len(coded.ids) + np.cumsum([len(ids) for ids, _ in alone])]),
+            np.concatenate([coded.exact, [same for _, same in alone]]),
         )
+        return Coded(*gathered(every, source), every.exact[source])
+
+    def _together(self, parts: list[str]) -> Coded:
+        """Codes of parts that may stand one after the other in a text."""
+        cuts = _cuts([len(part) + 1 for part in parts])
+        blocks = [parts[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+        texts = [" " + " ".join(block) for block in blocks]
+        ids, sizes, exact = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)], np.ones(len(parts), bool)
+        for at, block, text, code in zip(cuts, blocks, texts, self.encode(texts) if texts else [], strict=False):
+            code = np.array(code, np.int32)
+            starts = np.flatnonzero(self.opens[code])
+            same = b"".join(self.spelled[code]) == text.encode("utf-8", "surrogatepass")
+            if not same or len(starts) != len(block):
+                each = [self._one(part) for part in block]
+                code = np.concatenate([ids for ids, _ in each])
+                starts = np.cumsum([0, *(len(ids) for ids, _ in each[:-1])])
+                exact[at : at + len(block)] = [same for _, same in each]
+            ids.append(code)
+            sizes.append(np.diff(starts, append=len(code)))
+        return Coded(np.concatenate(ids), np.cumsum(np.concatenate(sizes)), exact)
+
+
+def _cuts(sizes: list[int]) -> list[int]:
+    """Where blocks of about TOGETHER begin, and the end."""
+    ends = np.cumsum(sizes) // TOGETHER if sizes else np.zeros(0, np.int64)
+    return [0, *(np.flatnonzero(np.diff(ends)) + 1).tolist(), len(sizes)] if sizes else [0]
 
 
 class Memory:
@@ -129,7 +140,9 @@ class Memory:
         offsets = offsets - offsets[0]
         distinct = words.dictionary.to_pylist()
         codes = words.indices.to_numpy(zero_copy_only=False)
-        odd = np.fromiter(map(_whole, distinct), bool, len(distinct))
+        # A part that begins or ends with white space, or is nothing.
+        bare = pc.utf8_trim_whitespace(words.dictionary)
+        odd = pc.or_(pc.equal(bare, ""), pc.not_equal(bare, words.dictionary)).to_numpy(zero_copy_only=False)
         # A text with white space next to a space is cut with care.
         rows = np.unique(np.searchsorted(offsets, np.flatnonzero(odd[codes]), "right") - 1) if odd.any() else []
         careful = {int(r): _cut(texts[int(r)].as_py()) for r in rows}
