@@ -17,12 +17,12 @@ ORACLE_SQL = None
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules reject go."""
-    return quality.judged(docs, docs.columns).where("kept").select(*docs.columns)
+    return quality.passing(docs)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Runs of lines that occur earlier go; n_chars follows the text."""
-    kept = lines.dedup_lines(docs)
+    kept = lines.without_repeats(docs)
     return kept.withColumn("n_chars", F.length("text").cast("bigint")).select(*docs.columns)
 
 
@@ -33,11 +33,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents stay with the probabilities of their source, language and topic."""
-    return mixing.mixed(docs).where("kept").select(*docs.columns)
+    return mixing.sampled(docs)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as ids, with digests of the ids and of what they decode to."""
+    """Documents as ids, with digests of the ids and of what they decode to. The text is in the ids;
+    columns that documents don't have go."""
     coded = bpe.encoded(docs, bpe.rank_file())
     return coded.select("doc_id", "lang", "source", "n_chars", "ids", *bpe.digests(coded))
 
