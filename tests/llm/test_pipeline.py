@@ -54,3 +54,16 @@ def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id bigint, text string, lang string, source string, n_chars bigint")
     for _, stage in P.STAGES:
         assert stage(spark, docs, FOLDER).count() == 0
+
+
+def test_columns_of_any_name_go_through_every_stage(spark):
+    names = ["kept", "removed", "topic", "base_failed", "probability", "row", "print"]
+    text = "plain words of a text that says nothing much about the number {} of it all"
+    rows = [(i, text.format(i), "en", "s", 70, *[f"{n}{i}" for n in names]) for i in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint, " + ", ".join(f"{n} string" for n in names))
+    for _, stage in P.STAGES[:-1]:
+        out = stage(spark, docs, FOLDER)
+        assert out.columns == docs.columns
+        assert {tuple(r)[5:] for r in out.collect()} <= {r[5:] for r in rows}
+        docs = spark.createDataFrame(out.collect(), docs.schema)
+    assert P.STAGES[-1][1](spark, docs, FOLDER).count() == docs.count()
