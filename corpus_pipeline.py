@@ -40,7 +40,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as ids, with digests of the ids and of what they decode to. The text is in the ids;
     columns that documents don't have go. Workers of the stages before still hold what they
     hold, so fewer parts are remembered."""
-    coded = bpe.encoded(docs, bpe.rank_file(), remembered=120_000)
+    coded = bpe.encoded(docs, bpe.rank_file(), remembered=120_000, at_once=4 << 20)
     return coded.select("doc_id", "lang", "source", "n_chars", "ids", *bpe.digests(coded))
 
 
