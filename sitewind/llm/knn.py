@@ -1,11 +1,15 @@
 """Exact nearest vectors by inner product: a join of Voronoi cells.
 
-Queries are grouped by their nearest pivot; a group's radius is how far its farthest query lies from
-the pivot. For a vector s and a group with pivot p and radius u, every query of the group scores
-between p.s - u|s| and p.s + u|s|. So the k-th best lower bound over all vectors, merged from short
-summaries of their blocks, is a score that each query's k-th best reaches at least, and a vector
-whose upper bound is below it is needed by no query of that group. The others are sent to the group,
-packed in blocks, and scored there.
+Queries and vectors are grouped by their nearest pivot. The radius of a group of queries is how far
+its farthest one lies from the pivot. For a vector s and a group with pivot p and radius u, every query
+of the group scores between p.s - u|s| and p.s + u|s|.
+
+A cell of vectors is cut into rings by the distance to its pivot, and a ring into blocks of bounded
+size. A block is stored with its summary: the highest upper bound for each group, and the highest lower
+bounds of different ids. The k-th best lower bound of all blocks is a score that each query's k-th best
+reaches at least, so a block whose upper bound is below it is needed by no query of that group, and
+is left out by its summary. Of the other blocks, the vectors that reach the score are sent to the
+group and scored there; a group asks only the shares of the table that hold such blocks.
 
 Where bounds can't tell (in high dimension, vectors without clusters are all about equally far from
 any pivot) every block goes to every group, and the work is queries times vectors, in blocks.
@@ -14,6 +18,8 @@ any pivot) every block goes to every group, and the work is queries times vector
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from operator import or_
 
 import numpy as np
 import pandas as pd
@@ -31,6 +37,8 @@ GROUP = 2048
 #: Vectors that meet a group in one task, about, and vectors of a block.
 SHARE = 32_768
 BLOCK = 2048
+#: Rings of a cell, of equal width.
+RINGS = 4
 SCALE = 64
 
 
@@ -79,6 +87,36 @@ def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return places[np.lexsort((ids[places], -scores[places]))][:k]
 
 
+_LOWS = pa.list_(pa.struct([("cell", pa.int32()), ("vec_id", pa.int64()), ("low", pa.float64())]))
+
+
+def _numbers(values: np.ndarray) -> Column:
+    return F.array(*[F.lit(v) for v in values.tolist()])
+
+
+def _runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[int, pa.RecordBatch]]:
+    """Rows of one key after the other; a run that goes on in the next batch comes in two pieces."""
+    for batch in batches:
+        keys = batch.column(key).to_numpy(zero_copy_only=False)
+        cuts = [0, *(np.flatnonzero(np.diff(keys)) + 1).tolist(), len(keys)]
+        for at, end in zip(cuts, cuts[1:], strict=False):
+            if at < end:
+                yield int(keys[at]), batch.slice(at, end - at)
+
+
+def needed_blocks(blocks: DataFrame, enough: dict[int, float]) -> DataFrame:
+    """A row (cell, share, ids, vectors) for each group and block that may hold one of its best. The
+    bounds are plain columns, so they are held against the files before vectors are read."""
+    reaches = [F.col(f"high_{c}") >= F.lit(low) for c, low in enough.items()]
+    cells = F.array_compact(F.array(*[F.when(r, F.lit(c)) for r, c in zip(reaches, enough, strict=True)]))
+    return blocks.where(reduce(or_, reaches)).select(
+        F.explode(cells).alias("cell"),
+        F.expr(f"block div {max(1, SHARE // BLOCK)}").alias("share"),
+        "ids",
+        "vectors",
+    )
+
+
 def nearest(vectors: DataFrame, k: int = 20, every: int = 20) -> DataFrame:
     """(query_id, rank, vec_id, score) of the ``k`` highest inner products, as whole numbers of
     ``floor(64 * x)``, of each query with the other rows. Queries are the rows whose vec_id is
@@ -120,104 +158,147 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20) -> DataFrame:
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score bigint")
     pivots = _unpacked([r.vector for r in sample], kind, size)
 
-    # Groups of queries.
-    def group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    # Cells of all rows, and groups of queries.
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = _unpacked(batch.column("vector").to_pylist(), kind, size)
             far = np.stack([np.linalg.norm(found - p, axis=1) for p in pivots], axis=1)
             cells = far.argmin(axis=1)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(cells), pa.array(far[np.arange(len(far)), cells])],
+                [*batch.columns, pa.array(cells, pa.int32()), pa.array(far[np.arange(len(far)), cells])],
                 ["vec_id", "vector", "row", "cell", "far"],
             )
 
-    grouped = staged(
-        queries.mapInArrow(group, "vec_id bigint, vector binary, row bigint, cell bigint, far double"), "queries"
-    )
-    radius, parts = np.zeros(len(pivots)), np.zeros(len(pivots), np.int64)
-    for cell, far, count in grouped.groupBy("cell").agg(F.max("far"), F.count(F.lit(1))).collect():
-        radius[cell], parts[cell] = far, -(-count // GROUP)
-
-    # Bounds of groups, from a summary of each block.
-    def bounds(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        found = _unpacked(batch.column("vector").to_pylist(), kind, size)
+    placed = staged(held.mapInArrow(place, "vec_id bigint, vector binary, row bigint, cell int, far double"), "cells")
+    asks = F.pmod("vec_id", F.lit(every)) == 0
+    widest, radius, parts = np.zeros(len(pivots)), np.zeros(len(pivots)), np.zeros(len(pivots), np.int64)
+    for cell, far, reach, count in (
+        placed.groupBy("cell").agg(F.max("far"), F.max(F.when(asks, F.col("far"))), F.count_if(asks)).collect()
+    ):
+        widest[cell], radius[cell], parts[cell] = far, reach or 0.0, -(-count // GROUP)
+
+    # Blocks of cells. A vector's block follows from its row, so a task that runs again makes the same.
+    ring = F.floor(F.lit(RINGS) * F.col("far") / F.get(_numbers(np.maximum(widest, 1e-300)), F.col("cell")))
+    ringed = placed.withColumn("ring", (F.col("cell") * RINGS + F.least(ring, F.lit(RINGS - 1))).cast("int"))
+    cuts = np.zeros(len(pivots) * RINGS, np.int64)
+    for at, count in ringed.groupBy("ring").count().collect():
+        cuts[at] = -(-count // BLOCK)
+    first = np.cumsum(cuts) - cuts
+    piece = F.pmod(F.xxhash64("row"), F.get(_numbers(np.maximum(cuts, 1)), F.col("ring")))
+    n_blocks = int(cuts.sum())
+    groups = [c for c in range(len(pivots)) if parts[c]]
+
+    def bounds(found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         middle = found @ pivots.T
         spread = np.linalg.norm(found, axis=1)[:, None] * radius[None, :]
         slack = 1e-9 * (np.abs(middle) + spread + 1)
         # Scores end where BIGINT ends, and so do their bounds.
         low, high = (np.clip(b, -(2.0**63), 2.0**63) for b in (middle - spread - slack, middle + spread + slack))
-        return found, low, high
+        return low, high
 
-    def summary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            low = np.sort(bounds(batch)[1], axis=0)[-(k + 1) :]
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block, batch in _runs(batches, "block"):
+            found = _unpacked(batch.column("vector").to_pylist(), kind, size)
+            ids = batch.column("vec_id").to_numpy(zero_copy_only=False)
+            low, high = bounds(found)
+            lows = []
+            for c in groups:
+                # The best of each id: a query's own id is one of them at most, hence one more than k.
+                order = np.argsort(-low[:, c], kind="stable")
+                _, best = np.unique(ids[order], return_index=True)
+                lows += [
+                    {"cell": c, "vec_id": int(ids[at]), "low": float(low[at, c])} for at in order[np.sort(best)[: k + 1]]
+                ]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.tile(np.arange(len(pivots)), len(low))), pa.array(low.ravel())], ["cell", "low"]
+                [
+                    pa.array([block]),
+                    pa.array([ids.astype("<i8").tobytes()], pa.binary()),
+                    pa.array([found.astype(kind).tobytes()], pa.binary()),
+                    pa.array([lows], _LOWS),
+                    *(pa.array([float(high[:, c].max())]) for c in groups),
+                ],
+                ["block", "ids", "vectors", "lows", *(f"high_{c}" for c in groups)],
             )
 
-    # A vector's block follows from its row, so a task that runs again makes the same blocks.
-    n_blocks = max(1, -(-n // BLOCK))
-    shares = max(1, -(-n // SHARE))
-    in_share = -(-n_blocks // shares)
-    spread = (
-        held.withColumn("block", F.pmod(F.xxhash64("row"), F.lit(n_blocks)).cast("bigint"))
-        .repartition(min(tasks(spark), n_blocks), "block")
+    schema = "block bigint, ids binary, vectors binary, lows array<struct<cell:int,vec_id:bigint,low:double>>"
+    blocks = staged(
+        ringed.select("vec_id", "vector", "row", (F.get(_numbers(first), F.col("ring")) + piece).alias("block"))
+        .repartition(min(tasks(spark), n_blocks), F.expr(f"block div {max(1, SHARE // BLOCK)}"))
         .sortWithinPartitions("block", "row")
+        .mapInArrow(summed, ", ".join([schema, *(f"high_{c} double" for c in groups)])),
+        "blocks",
     )
     order = Window.partitionBy("cell").orderBy(F.col("low").desc())
-    # A query's own row may be among the best, hence one more.
-    lows = spread.mapInArrow(summary, "cell bigint, low double")
+    lows = blocks.select(F.inline("lows")).groupBy("cell", "vec_id").agg(F.max("low").alias("low"))
     ranked = lows.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k + 1)
     enough = np.full(len(pivots), -np.inf)
     for cell, count, low in ranked.groupBy("cell").agg(F.count(F.lit(1)), F.min("low")).collect():
         if count > k:
             enough[cell] = low
 
-    # Blocks go where they are needed.
-    targets = [(c, p) for c in range(len(pivots)) for p in range(parts[c])]
-
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            blocks = whole.column("block").to_numpy(zero_copy_only=False)
-            cuts = [0, *(np.flatnonzero(np.diff(blocks)) + 1).tolist(), len(blocks)]
-            for at, end in zip(cuts, cuts[1:], strict=False):
-                batch = whole.slice(at, end - at)
-                found, _, high = bounds(batch)
-                ids = batch.column("vec_id").to_numpy(zero_copy_only=False)
-                share = int(blocks[at]) // in_share
-                out = []
-                for cell, part in targets:
-                    needed = high[:, cell] >= enough[cell]
-                    if needed.any():
-                        out.append((cell, part, share, ids[needed].astype("<i8").tobytes(),
-                                    found[needed].astype(kind).tobytes()))
+    # Blocks go where they are needed, and questions where blocks go.
+    needed = needed_blocks(blocks, {c: float(enough[c]) for c in groups})
+    of_cell = F.get(_numbers(parts), F.col("cell"))
+
+    def for_parts(df: DataFrame) -> DataFrame:
+        return df.withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), of_cell - 1)))
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(batch.num_rows):
+                row = batch.slice(at, 1)
+                cell = row.column("cell")[0].as_py()
+                found = _unpacked(row.column("vectors").to_pylist(), kind, size)
+                ids = np.frombuffer(row.column("ids")[0].as_py(), "<i8")
+                reach = bounds(found)[1][:, cell] >= enough[cell]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([o[i] for o in out], t) for i, t in
-                     enumerate([pa.int64()] * 3 + [pa.binary()] * 2)],
-                    ["cell", "part", "share", "ids", "vectors"],
+                    [
+                        row.column("cell"),
+                        row.column("share"),
+                        pa.array([ids[reach].tobytes()], pa.binary()),
+                        pa.array([found[reach].astype(kind).tobytes()], pa.binary()),
+                    ],
+                    ["cell", "share", "ids", "vectors"],
                 )
 
-    blocks = spread.mapInArrow(send, "cell bigint, part bigint, share bigint, ids binary, vectors binary")
-    of_part = F.array(*[F.lit(int(x)) for x in np.maximum(parts, 1)])
-    asked = grouped.select(
-        "cell",
-        F.pmod(F.xxhash64("row"), F.get(of_part, F.col("cell").cast("int"))).cast("bigint").alias("part"),
-        F.explode(F.expr(f"sequence(0L, {shares - 1}L)")).alias("share"),
-        F.col("row").alias("query"),
-        "vec_id",
-        "vector",
+    sent = for_parts(
+        needed.select("cell", "share", "ids", "vectors").mapInArrow(
+            pick, "cell int, share bigint, ids binary, vectors binary"
+        )
     )
 
-    def solve(asked: pd.DataFrame, blocks: pd.DataFrame) -> pd.DataFrame:
-        names = ["query", "query_id", "vec_id", "score"]
-        if asked.empty or blocks.empty:
-            return pd.DataFrame({c: pd.Series(dtype="int64") for c in names})
-        wanted = _unpacked(asked["vector"], kind, size)
-        own = asked["vec_id"].to_numpy()
-        best: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0, np.int64),) * 2] * len(asked)
-        for ids, packed in zip(blocks["ids"], blocks["vectors"], strict=True):
+    def packed_queries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for key, batch in _runs(batches, "key"):
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([key % len(pivots)], pa.int32()),
+                    pa.array([key // len(pivots)]),
+                    pa.array([batch.column("row").to_numpy(zero_copy_only=False).astype("<i8").tobytes()], pa.binary()),
+                    pa.array([batch.column("vec_id").to_numpy(zero_copy_only=False).astype("<i8").tobytes()], pa.binary()),
+                    pa.array([b"".join(batch.column("vector").to_pylist())], pa.binary()),
+                ],
+                ["cell", "part", "queries", "query_ids", "wanted"],
+            )
+
+    part = F.pmod(F.xxhash64("row"), F.get(_numbers(np.maximum(parts, 1)), F.col("cell")))
+    questions = (
+        placed.where(asks)
+        .select("vec_id", "vector", "row", (part * len(pivots) + F.col("cell")).alias("key"))
+        .repartition(min(tasks(spark), int(parts.sum())), "key")
+        .sortWithinPartitions("key", "row")
+        .mapInArrow(packed_queries, "cell int, part bigint, queries binary, query_ids binary, wanted binary")
+    )
+    asked = for_parts(needed.select("cell", "share").distinct()).join(questions, ["cell", "part"])
+
+    def solve(asked: pd.DataFrame, sent: pd.DataFrame) -> pd.DataFrame:
+        if asked.empty or sent.empty:
+            return pd.DataFrame({c: pd.Series(dtype="int64") for c in ("query", "query_id", "vec_id", "score")})
+        rows, own = (np.frombuffer(b"".join(asked[c]), "<i8") for c in ("queries", "query_ids"))
+        wanted = _unpacked(asked["wanted"], kind, size)
+        best: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0, np.int64),) * 2] * len(rows)
+        for ids, vectors in zip(sent["ids"], sent["vectors"], strict=True):
             ids = np.frombuffer(ids, "<i8")
-            scores = _scores(wanted, _unpacked([packed], kind, size), exact)
+            scores = _scores(wanted, _unpacked([vectors], kind, size), exact)
             for at, row in enumerate(scores):
                 other = ids != own[at]
                 there, found = best[at]
@@ -226,14 +307,14 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20) -> DataFrame:
                 best[at] = (there[places], found[places])
         counts = [len(b[0]) for b in best]
         return pd.DataFrame({
-            "query": np.repeat(asked["query"].to_numpy(), counts),
+            "query": np.repeat(rows, counts),
             "query_id": np.repeat(own, counts),
             "vec_id": np.concatenate([b[0] for b in best]),
             "score": np.concatenate([b[1] for b in best]),
         })
 
     keys = ["cell", "part", "share"]
-    found = asked.groupBy(*keys).cogroup(blocks.groupBy(*keys)).applyInPandas(solve, result)
+    found = asked.groupBy(*keys).cogroup(sent.groupBy(*keys)).applyInPandas(solve, result)
     rank = F.row_number().over(Window.partitionBy("query").orderBy(F.col("score").desc(), "vec_id"))
     return (
         found.withColumn("rank", rank)

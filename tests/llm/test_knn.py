@@ -58,9 +58,33 @@ def test_query(spark, folder):
     assert sorted(map(tuple, knn.op7_voronoi_knn(spark, folder).collect())) == brute(rows)
 
 
-def test_groups_get_only_what_they_need(spark):
-    """With clusters that lie apart, the bounds leave out most of the other vectors."""
+def test_whole_cells_are_left_out(spark, monkeypatch):
+    """With clusters that lie apart, a group's blocks are those of its own cluster: the summaries leave
+    out the others, and the files are asked for the bounds."""
+    monkeypatch.setattr(knn, "BLOCK", 20)
+    monkeypatch.setattr(knn, "SHARE", 40)
+    seen = {}
+
+    def needed(blocks, enough):
+        found = needed_blocks(blocks, enough)
+        seen.update(blocks=blocks, enough=enough, needed=found)
+        return found
+
+    needed_blocks = knn.needed_blocks
+    monkeypatch.setattr(knn, "needed_blocks", needed)
     draw = np.random.default_rng(3)
     centres = np.eye(8) * 5
-    rows = [(i, (centres[i % 8] + draw.normal(size=8) * 0.01).tolist()) for i in range(800)]
+    rows = [(i, (centres[i // 5 % 8] + draw.normal(size=8) * 0.01).tolist()) for i in range(1600)]
+    assert got(spark, rows) == brute(rows)
+    pairs = seen["blocks"].count() * len(seen["enough"])
+    sent = seen["needed"].count()
+    vectors = sum(len(r.ids) // 8 for r in seen["needed"].collect())
+    assert len(seen["enough"]) >= 8 and 0 < sent < pairs / 3 and vectors <= 1600 * len(seen["enough"]) / 3
+    plan = seen["needed"]._jdf.queryExecution().toString()
+    assert any("high_" in line for line in plan.splitlines() if "PushedFilters" in line)
+
+
+def test_copies_of_a_query_bound_nothing(spark):
+    """Rows of a query's own id are no candidates, so they may not raise what others must reach."""
+    rows = [(0, [9.0, 9.0])] * 40 + [(i, [i / 100, 1.0]) for i in range(1, 60)]
     assert got(spark, rows) == brute(rows)
