@@ -8,10 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Values of the first column of the order that share a bucket, and rows beyond which a bucket is cut
-# into pieces by its next columns.
+# Values of the first column of the order that share a bucket, and of the second that share a piece.
 WIDTH = 4096
-PIECE_ROWS = 1 << 18
 
 
 def _same(names: Sequence[str], other: str) -> Column:
@@ -47,41 +45,38 @@ def running_total(
     columns, which have to lead ``order``; NULL is a value like any other. The column after them is
     a BIGINT, and so is the next, if there is one.
 
-    Which bucket a row is in follows from its own values, so nothing is sampled, and rows that are
-    read again are in the same place. A bucket has ``WIDTH`` values of the first column; where they
-    have many rows, a piece of it has one value and ``WIDTH`` values of the second. Only totals are
-    carried on, from piece to piece and from bucket to bucket: one row per bucket is what the last
-    step sorts, and a group of any size is worked on by as many tasks as it has pieces.
+    Which bucket a row is in follows from its own values, so nothing is sampled or counted first, and
+    rows that are read again are in the same place. A bucket has ``WIDTH`` values of the first
+    column. If there is a second one, a bucket may have any number of rows, and is cut into pieces
+    of one value of the first column and ``WIDTH`` of the second. Only totals are carried on, from
+    piece to piece and from bucket to bucket: one row per bucket is what the last step sorts, and a
+    group of any size is worked on by as many tasks as it has pieces.
     """
     if list(order[: len(within)]) != list(within):
         raise ValueError("the columns of 'within' must lead 'order'")
     first, *rest = order[len(within):]
     bucket = [*within, "_bucket"]
-    rows = df.withColumns({
-        "_weight": weight.cast("bigint"),
-        "_bucket": F.call_function("div", F.col(first), F.lit(WIDTH)),
-    })
     # Division cuts off towards zero: on both sides of it would be one bucket.
-    rows = rows.withColumn("_bucket", F.when(F.col(first) < 0, F.col("_bucket") - 1).otherwise(F.col("_bucket")))
-    piece = F.lit(None).cast("struct<a:bigint,b:bigint>")
+    at = F.call_function("div", F.col(first), F.lit(WIDTH)) - F.when(F.col(first) < 0, 1).otherwise(0)
+    rows = df.withColumns({"_weight": weight.cast("bigint"), "_bucket": at})
+    piece = list(bucket)
     if rest:
-        sizes = rows.groupBy(*bucket).agg(F.count(F.lit(1)).alias("_n"))
-        rows = _with(rows, sizes, bucket, "_of_")
         second = F.floor(F.col(rest[0]) / F.lit(WIDTH)) if dict(df.dtypes)[rest[0]] == "bigint" else F.lit(0).cast("bigint")
-        cut = F.struct(F.col(first).cast("bigint").alias("a"), second.alias("b"))
-        piece = F.when(F.col("_n") > PIECE_ROWS, cut).otherwise(piece)
-    rows = rows.withColumn("_piece", piece)
+        rows = rows.withColumn("_piece", F.struct(F.col(first).cast("bigint").alias("a"), second.alias("b")))
+        piece.append("_piece")
 
-    totals = rows.groupBy(*bucket, "_piece").agg(F.sum("_weight").alias("_total"))
-    in_bucket = _before(totals, bucket, "_piece", "_ahead").drop("_total")
-    sums = totals.groupBy(*bucket).agg(F.sum("_total").alias("_total"))
-    of_bucket = _before(sums, within, "_bucket", "_offset").drop("_total")
-    offsets = _with(in_bucket, of_bucket, bucket, "_of_")
+    totals = rows.groupBy(*piece).agg(F.sum("_weight").alias("_total"))
+    sums = totals.groupBy(*bucket).agg(F.sum("_total").alias("_total")) if rest else totals
+    offsets = _before(sums, within, "_bucket", "_offset").drop("_total")
+    if rest:
+        ahead = _before(totals, bucket, "_piece", "_ahead").drop("_total")
+        offsets = _with(ahead, offsets, bucket, "_of_").withColumn("_offset", F.col("_offset") + F.col("_ahead"))
+        offsets = offsets.drop("_ahead")
 
-    inside = Window.partitionBy(*bucket, "_piece").orderBy(first, *rest).rowsBetween(
+    inside = Window.partitionBy(*piece).orderBy(first, *rest).rowsBetween(
         Window.unboundedPreceding, -1
     )
     placed = rows.withColumn("_inside", F.coalesce(F.sum("_weight").over(inside), F.lit(0)))
-    return _with(placed, offsets, [*bucket, "_piece"], "_at_").select(
-        *df.columns, (F.col("_offset") + F.col("_ahead") + F.col("_inside")).alias(name)
+    return _with(placed, offsets, piece, "_at_").select(
+        *df.columns, (F.col("_offset") + F.col("_inside")).alias(name)
     )
