@@ -4,8 +4,8 @@ Each task cuts its texts into parts and hands the distinct ones it hasn't met to
 of bounded size. A recursive query starts with one row per byte of a word, joins neighbouring
 rows with the merge table, and contracts the leftmost pair of least rank of each word, until no
 word has a pair left. Long words are contracted in rounds instead, each of which starts from the
-table of the one before and contracts many pairs. Decoding joins the ids with the vocabulary and puts their bytes together by
-an aggregate in order.
+table of the one before and contracts many pairs. Decoding joins all ids of the texts with the vocabulary
+and puts the bytes of each text together by an aggregate in order.
 """
 
 from __future__ import annotations
@@ -35,6 +35,8 @@ ROWS_AT_ONCE = 4_000_000
 LONG = 256
 #: Rows of a batch, at most, and bytes of text after which it ends.
 TEXT_AT_ONCE = 8 << 20
+#: Ids of one decoding query; a text may go on in the next.
+IDS_AT_ONCE = 400_000
 
 # A row is a token: its word, where in the word it begins, its id and its length in bytes. A pair's
 # key is its rank, place and length in one number (20, 34 and 10 bits), so the least key of a word
@@ -106,8 +108,8 @@ from (select *, lag(taken, 1, false) over (partition by word order by pos) as go
 where not gone
 """
 _DECODE = """
-select word, string_agg(hex, '' order by pos) as hex
-from ids join vocabulary using (id) group by word order by word
+select text, list(token order by pos) as tokens
+from ids join vocabulary using (id) group by text order by text
 """
 
 
@@ -136,7 +138,7 @@ class Codec:
         self._table("merges", pa.table({**columns, "child": child[columns["id"]]}))
         self._table("vocabulary", pa.table({
             "id": pa.array(list(ranks.values()), pa.int32()),
-            "hex": pa.array([t.hex() for t in ranks]),
+            "token": pa.array(list(ranks), pa.binary()),
         }))
 
     def _table(self, name: str, rows: pa.Table) -> None:
@@ -215,32 +217,35 @@ class Codec:
         for at, ids in zip(block, np.split(np.asarray(rows["id"], np.int32), cuts), strict=True):
             found[at] = ids
 
-    def decode_words(self, words: list[np.ndarray]) -> list[bytes]:
-        """Bytes of each word's ids; no word may be empty."""
-        found: list[bytes] = []
-        for at in range(0, len(words), WORDS_AT_ONCE):
-            block = words[at : at + WORDS_AT_ONCE]
-            sizes = np.array([len(w) for w in block])
-            rows = self._query("ids", pa.table({
-                "word": np.repeat(np.arange(len(block), dtype=np.int32), sizes),
-                "pos": np.arange(sizes.sum(), dtype=np.int64),
-                "id": np.concatenate(block),
-            }), _DECODE)
-            found += [bytes.fromhex(h) for h in rows["hex"]]
-        return found
+    def decode(self, ids: np.ndarray, ends: np.ndarray) -> list[bytes]:
+        """Bytes of each text's ids: the texts' ids one after the other, and where each text's end."""
+        texts = np.repeat(np.arange(len(ends), dtype=np.int32), np.diff(ends, prepend=0))
+        found: list[list[bytes]] = [[] for _ in ends]
+        for at in range(0, len(ids), IDS_AT_ONCE):
+            block = ids[at : at + IDS_AT_ONCE]
+            self.db.register("ids", pa.table({
+                "text": texts[at : at + IDS_AT_ONCE], "pos": np.arange(len(block), dtype=np.int32), "id": block,
+            }))
+            rows = self.db.sql(_DECODE).to_arrow_table()
+            self.db.unregister("ids")
+            joined = pa.compute.binary_join(rows.column("tokens").cast(pa.list_(pa.binary())), b"")
+            for text, part in zip(rows.column("text").to_pylist(), joined.to_pylist(), strict=True):
+                found[text].append(part)
+        return [b"".join(parts) for parts in found]
 
     def codes(self, words: list[bytes]) -> list[bytes]:
-        """Ids of each word, packed. They are decoded, too: a vocabulary that doesn't give back what went
-        in is an error, so the bytes of a text's ids are those of the text."""
-        ids = self.encode_words(words)
-        if ids and self.decode_words(ids) != words:
-            raise ValueError("the rank file doesn't decode to what it encodes")
-        return [i.tobytes() for i in ids]
+        """Ids of each word, packed."""
+        return [i.tobytes() for i in self.encode_words(words)]
+
+
+@cache
+def _codec(rank_file: bytes) -> Codec:
+    return Codec(rank_file)
 
 
 @cache
 def _memory(rank_file: bytes, remembered: int | None = None) -> Remembered:
-    return Remembered(Codec(rank_file).codes, b"", remembered)
+    return Remembered(_codec(rank_file).codes, b"", remembered)
 
 
 def _slices(batch: pa.RecordBatch, sizes: np.ndarray, at_once: int) -> Iterator[pa.RecordBatch]:
@@ -258,7 +263,7 @@ def encoded(
 ) -> DataFrame:
     """``docs`` with the ids of each text (``ids``, ARRAY<INT>) and the bytes that those ids decode
     to (``decoded``, BINARY). Columns of these names are replaced. A null or an empty text has no
-    ids. ``rank_file`` is a rank file's content; it goes to the tasks, so they need no such file.
+    ids. A vocabulary that doesn't give back what went in is an error. ``rank_file`` is a rank file's content; it goes to the tasks, so they need no such file.
     ``remembered`` bounds the parts that a worker keeps encoded, by default as ``pieces`` does, and
     ``at_once`` the bytes of text it takes together: the ids are the same, less takes less memory and
     more time.
@@ -267,17 +272,21 @@ def encoded(
     shared = docs.sparkSession.sparkContext.broadcast(rank_file)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory = _memory(shared.value, remembered)
+        codec, memory = _codec(shared.value), _memory(shared.value, remembered)
         for batch in batches:
             sizes = pa.compute.binary_length(batch.column("_text")).to_numpy(zero_copy_only=False)
             for part in _slices(batch, sizes, at_once):
-                ids = [b"".join(code) for code in memory.codes(part.column("_text").to_pylist())]
-                ends = np.cumsum([0, *(len(i) // 4 for i in ids)]).astype(np.int32)
+                each = [b"".join(code) for code in memory.codes(part.column("_text").to_pylist())]
+                ids = np.frombuffer(b"".join(each), np.int32)
+                ends = np.cumsum([0, *(len(i) // 4 for i in each)]).astype(np.int32)
+                decoded = pa.array(codec.decode(ids, ends[1:]), pa.binary())
+                if not decoded.equals(part.column("_text").cast(pa.binary())):
+                    raise ValueError("the rank file doesn't decode to what it encodes")
                 yield pa.RecordBatch.from_arrays(
                     [
                         *[part.column(c) for c in kept],
-                        pa.ListArray.from_arrays(ends, np.frombuffer(b"".join(ids), np.int32)),
-                        part.column("_text").cast(pa.binary()),
+                        pa.ListArray.from_arrays(ends, ids),
+                        decoded,
                     ],
                     [*kept, "ids", "decoded"],
                 )

@@ -79,14 +79,20 @@ class Remembered:
         parts = [cut(text) for text in texts]
         new_plain = self._learn(plain, self.before[0], set().union(*[first for first, _ in parts]), "")
         new_spaced = self._learn(spaced, self.before[1], set().union(*[rest for _, rest in parts]), " ")
-        distinct = list({m for _, split in (*new_plain, *new_spaced) for m in split})
-        code = dict(
-            zip(distinct, self.encode([m.encode("utf-8", "surrogatepass") for m in distinct]), strict=True)
-        )
+        # A match that has been a part by itself is known.
+        code, distinct = {}, []
+        for m in {m for _, split in (*new_plain, *new_spaced) for m in split}:
+            at, part = (1, m[1:]) if m[0] == " " else (0, m)
+            known = (spaced if at else plain).get(part) or self.before[at].get(part)
+            if known is None:
+                distinct.append(m)
+            else:
+                code[m] = known
+        code |= zip(distinct, self.encode([m.encode("utf-8", "surrogatepass") for m in distinct]), strict=True)
         for known, new in ((plain, new_plain), (spaced, new_spaced)):
             for part, split in new:
                 total = code[split[0]] if split else self.empty
                 for m in split[1:]:
                     total = total + code[m]
                 known[part] = total
-        return [[plain[p] for p in first] + [spaced[p] for p in rest] for first, rest in parts]
+        return [[*map(plain.__getitem__, first), *map(spaced.__getitem__, rest)] for first, rest in parts]

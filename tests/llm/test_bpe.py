@@ -2,6 +2,7 @@ import base64
 import hashlib
 import random
 
+import numpy as np
 import public_tokenizers as P
 import pytest
 import tiktoken
@@ -58,3 +59,24 @@ def test_forgetting_changes_nothing(encoding, monkeypatch):
     for text in texts()[:60]:
         ids = b"".join(memory.codes([text])[0])
         assert list(memoryview(ids).cast("i")) == encoding.encode_ordinary(text)
+
+
+def test_the_ids_of_whole_texts_are_decoded(encoding, monkeypatch):
+    """All of them, in order, also where a text goes on in the next query."""
+    codec = bpe.Codec(bpe.rank_file())
+    given = [np.array(encoding.encode_ordinary(t), np.int32) for t in texts()[:80]]
+    given += [given[-1][::-1], np.zeros(0, np.int32)]
+    want = [encoding.decode_bytes(ids.tolist()) for ids in given]
+    for at_once in (7, 400_000):
+        monkeypatch.setattr(bpe, "IDS_AT_ONCE", at_once)
+        assert codec.decode(np.concatenate(given), np.cumsum([len(ids) for ids in given])) == want
+    assert codec.decode(np.zeros(0, np.int32), np.zeros(2, np.int64)) == [b"", b""]
+
+
+def test_a_match_that_was_a_part_is_known(encoding):
+    sent = []
+    codec = bpe.Codec(bpe.rank_file())
+    memory = pieces.Remembered(lambda words: sent.extend(words) or codec.codes(words), b"")
+    for text in ["Zyxwv qponm x", "Zyxwv, qponm; x-"]:
+        assert list(memoryview(b"".join(memory.codes([text])[0])).cast("i")) == encoding.encode_ordinary(text)
+    assert len(sent) == len(set(sent)) and b"Zyxwv" in sent and b" qponm" in sent
