@@ -181,6 +181,12 @@ def log10_probabilities(grams: np.ndarray, counts: np.ndarray, top: Top) -> np.n
     return found
 
 
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys, in no order, and the place of each key's own."""
+    found = pa.array(keys).dictionary_encode()
+    return found.dictionary.to_numpy(), found.indices.to_numpy()
+
+
 class _Texts:
     """Texts of a part, lower-cased, with zero bytes before, between and after them: the first of
     these after a text is its end, and is scored like a byte."""
@@ -198,18 +204,22 @@ class _Texts:
         np.subtract.at(inside, self.begins + self.sizes, 1)
         self.inside = np.cumsum(inside[:-1], dtype=np.int8).astype(bool)
 
-    def grams(self) -> tuple[np.ndarray, np.ndarray]:
-        """Keys of the strings that end in each scored byte, and the text each is of."""
+    def grams(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Keys of the distinct strings that end in a scored byte, the place of each scored byte's
+        among them, and the text each is of."""
         scored = self.inside.copy()
         scored[self.begins + self.sizes] = True
-        places = np.flatnonzero(scored)
-        found = np.zeros(len(places), np.uint64)
-        for back in range(DEPTH, -1, -1):
-            found = found << np.uint64(8) | self.data[places - back].astype(np.uint64)
-        return key_of(found), np.repeat(np.arange(len(self.sizes)), self.sizes + 1)
-
-    def words(self) -> tuple[np.ndarray, np.ndarray]:
-        """Hashes of all tokens, ends last, and the text each is of."""
+        n = len(self.data) - DEPTH
+        found = self.data[:n].astype(np.uint64)
+        for at in range(1, DEPTH + 1):
+            found <<= np.uint64(8)
+            found |= self.data[at : at + n]
+        distinct, place = _distinct(found[scored[DEPTH:]])
+        return key_of(distinct), place, np.repeat(np.arange(len(self.sizes)), self.sizes + 1)
+
+    def words(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Hashes of the distinct tokens, the place of each token's among them, ends last, and the text
+        each is of."""
         word = self.inside & ~_SPACE[self.data]
         edges = np.flatnonzero(np.diff(word, prepend=False, append=False))
         begins, ends = edges[::2], edges[1::2]
@@ -221,11 +231,10 @@ class _Texts:
             found[at] = zlib.crc32(whole) << 32 | zlib.adler32(whole)
         of = np.searchsorted(self.begins, begins, "right") - 1
         n = len(self.sizes)
-        return np.concatenate([found, np.full(n, _END)]), np.concatenate([of, np.arange(n)])
+        return *_distinct(np.concatenate([found, np.full(n, _END)])), np.concatenate([of, np.arange(n)])
 
-    def learned_counts(self, keys: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        distinct, place = np.unique(keys, return_inverse=True)
-        return distinct, np.bincount(place, self.learned[of], len(distinct)).astype("<u4")
+    def learned_counts(self, distinct: np.ndarray, place: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return distinct, np.bincount(place[self.learned[of]], minlength=len(distinct)).astype("<u4")
 
 
 def scored(docs: DataFrame) -> DataFrame:
@@ -309,14 +318,15 @@ def scored(docs: DataFrame) -> DataFrame:
             texts = _Texts(table)
             n = len(texts.sizes)
 
-            def summed(keys: np.ndarray, of: np.ndarray, answers: list, width: int, values: str, *each) -> list[np.ndarray]:
-                distinct, place = np.unique(keys, return_inverse=True)
+            def summed(
+                distinct: np.ndarray, place: np.ndarray, of: np.ndarray, answers: list, width: int, values: str, *each
+            ) -> list[np.ndarray]:
                 known = P.look_up(distinct, answers, buckets, width, values).astype(np.float64)
                 return [np.bincount(of, f(known)[place], n) for f in each]
 
-            words, of = texts.words()
-            n_tokens = np.bincount(of, minlength=n)
-            base, n_known = summed(words, of, read_words(part, WORDS), _WORD_WIDTH, "<u8", lambda c: np.log10(c + 0.1), lambda c: c > 0)
+            words = texts.words()
+            n_tokens = np.bincount(words[-1], minlength=n)
+            base, n_known = summed(*words, read_words(part, WORDS), _WORD_WIDTH, "<u8", lambda c: np.log10(c + 0.1), lambda c: c > 0)
             (logs,) = summed(*texts.grams(), read_grams(part, GRAMS), _GRAM_WIDTH, "<f4", lambda x: x)
             yield pa.RecordBatch.from_arrays(
                 [

@@ -144,3 +144,25 @@ def test_nothing_learned_and_empty_table(spark):
 def test_query_beats_even_bytes_on_held_out_texts(spark):
     rows = ctw.op3_ctw_score(spark, "/root/testdata/sf0.01").where("held_out").collect()
     assert sum(r.bits_per_byte for r in rows) / len(rows) < 2.5
+
+
+def test_a_part_sorts_no_occurrences(monkeypatch):
+    """Its distinct strings and tokens come from hashing; counts are those of the texts learned from."""
+    data = [(i, (t or "").encode()) for i, t in rows() if i is not None] * 3
+    table = ctw.pa.table({"doc_id": [i for i, _ in data], "text": ctw.pa.array([t for _, t in data], ctw.pa.binary())})
+    want = Counter()
+    for i, t in data:
+        if not ctw.held_out(i):
+            t = bytes(4) + lower(t.decode()).encode() + b"\0"
+            want.update(int.from_bytes(t[at - 4 : at + 1]) for at in range(4, len(t)))
+    for name in ("unique", "sort", "argsort"):
+        monkeypatch.setattr(np, name, None)
+    texts = ctw._Texts(table)
+    grams, place, of = texts.grams()
+    assert len(place) == len(of) == sum(len(t) + 1 for _, t in data) and len(set(grams.tolist())) == len(grams)
+    found = zip(*(x.tolist() for x in (ctw.gram_of(grams), texts.learned_counts(grams, place, of)[1])), strict=True)
+    assert {g: n for g, n in found if n} == want
+    words = texts.words()
+    assert texts.learned_counts(*words)[1].sum() == sum(
+        len(lower(t.decode()).encode().split()) + 1 for i, t in data if not ctw.held_out(i)
+    )
