@@ -23,9 +23,9 @@ TOGETHER = 1 << 14
 _SAFE = re.compile(r"(?<!\s) (?=\S)")
 
 
-def _whole(part: str) -> bool:
-    """Whether a part can't stand among others: its own text may not meet that of a neighbour."""
-    return not part or " " in part or part[0].isspace() or part[-1].isspace()
+def _whole(parts: list[str]) -> list[int]:
+    """Places of the parts that can't stand among others: their own text may not meet that of a neighbour."""
+    return [at for at, part in enumerate(parts) if not part or " " in part or part.strip() != part]
 
 
 @dataclass
@@ -57,7 +57,7 @@ class Vocabulary:
         return ids, b"".join(self.spelled[ids]) == (" " + part).encode("utf-8", "surrogatepass")
 
     def codes(self, parts: list[str]) -> Coded:
-        odd = [at for at, part in enumerate(parts) if _whole(part)]
+        odd = _whole(parts)
         if not odd:
             return self._together(parts)
         alone = [self._one(parts[at]) for at in odd]
@@ -120,8 +120,7 @@ class Memory:
         new = [p for p in parts if p not in known]
         if new:
             self.parts += new
-            for p in new:
-                known[p] = len(known)
+            known.update(zip(new, range(len(known), len(self.parts)), strict=True))
             for at, (vocabulary, old) in enumerate(zip(self.vocabularies, self.coded, strict=True)):
                 more = vocabulary.codes(new)
                 self.coded[at] = Coded(
@@ -138,7 +137,7 @@ class Memory:
         words = pc.list_flatten(lists).dictionary_encode()
         offsets = np.asarray(lists.offsets, np.int64)
         offsets = offsets - offsets[0]
-        distinct = words.dictionary.to_pylist()
+        distinct = words.dictionary.to_numpy(zero_copy_only=False).tolist()
         codes = words.indices.to_numpy(zero_copy_only=False)
         # A part that begins or ends with white space, or is nothing.
         bare = pc.utf8_trim_whitespace(words.dictionary)
