@@ -11,24 +11,28 @@ from pyspark.sql import functions as F
 
 from sitewind.llm.common import staged
 
+#: Links from which on their least neighbours are shuffled and not broadcast. Spark goes by the size of
+#: the links' files, which may hold an id in a byte or two.
+MANY = 1 << 17
 
-def _large_star(links: DataFrame) -> DataFrame:
+
+def _large_star(links: DataFrame, many: bool) -> DataFrame:
     """Every neighbour above a node is linked to the least of the node and its neighbours."""
     both = links.union(links.select(F.col("low").alias("high"), F.col("high").alias("low")))
     both = both.toDF("node", "other")
     least = both.groupBy("node").agg(F.min("other").alias("least"))
     return (
         both.where("other > node")
-        .join(least, "node")
+        .join(least.hint("merge") if many else least, "node")
         .select(F.col("other").alias("high"), F.least("node", "least").alias("low"))
         .distinct()
     )
 
 
-def _small_star(links: DataFrame) -> DataFrame:
+def _small_star(links: DataFrame, many: bool) -> DataFrame:
     """A node and its neighbours below are linked to the least of those neighbours."""
     least = links.groupBy("high").agg(F.min("low").alias("least"))
-    moved = links.join(least, "high").where("low > least").select(
+    moved = links.join(least.hint("merge") if many else least, "high").where("low > least").select(
         F.col("low").alias("high"), F.col("least").alias("low")
     )
     return moved.union(least.select("high", F.col("least").alias("low"))).distinct()
@@ -52,7 +56,8 @@ def components(links: DataFrame) -> DataFrame:
     )
     state = _state(links)
     while state[0]:
-        links = staged(_small_star(_large_star(links)), "links")
+        many = state[0] >= MANY
+        links = staged(_small_star(_large_star(links, many), many), "links")
         before, state = state, _state(links)
         if state == before:
             break

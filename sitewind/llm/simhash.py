@@ -79,7 +79,8 @@ def links(prints: DataFrame) -> DataFrame:
     homes = dealt.mapInArrow(_homes, "anchor bigint, home bigint")
     places = dealt.mapInArrow(_places, "anchor bigint, print bigint")
     near = F.expr(f"home < print and bit_count(home ^ print) <= {DISTANCE}")
-    return homes.join(places, "anchor").where(near).select("home", "print")
+    # Always shuffled: a fingerprint has some 58 places, which Spark sizes like the fingerprints.
+    return homes.join(places.hint("merge"), "anchor").where(near).select("home", "print")
 
 
 def near_duplicates(docs: DataFrame, length: int = 3) -> DataFrame:
@@ -91,12 +92,13 @@ def near_duplicates(docs: DataFrame, length: int = 3) -> DataFrame:
     rows = staged(docs.select("doc_id", fingerprint(F.col("text"), length).alias("print")), "prints")
     by_print = rows.groupBy("print").agg(F.min("doc_id").alias("least"))
     found = components(links(by_print.select("print"))).withColumnRenamed("node", "print")
-    labelled = by_print.join(found, "print", "left").withColumn(
+    # Tables with a row per fingerprint are shuffled: as files they are far smaller than when broadcast.
+    labelled = by_print.join(found.hint("merge"), "print", "left").withColumn(
         "component", F.coalesce("component", "print")
     )
     least = labelled.groupBy("component").agg(F.min("least").alias("component_id"))
-    labels = staged(labelled.join(least, "component").select("print", "component_id"), "labels")
-    return rows.join(labels, "print").select("doc_id", "print", "component_id")
+    labels = staged(labelled.join(least.hint("merge"), "component").select("print", "component_id"), "labels")
+    return rows.join(labels.hint("merge"), "print").select("doc_id", "print", "component_id")
 
 
 def one_of_each(docs: DataFrame, length: int = 3) -> DataFrame:

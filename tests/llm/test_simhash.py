@@ -5,7 +5,7 @@ import pytest
 import xxhash
 
 from sitewind.llm import golay, simhash
-from sitewind.llm.components import components
+from sitewind.llm.components import _large_star, _small_star, components
 
 SCHEMA = "doc_id bigint, text string, print string, component string"
 
@@ -95,3 +95,21 @@ def test_empty_table(spark):
 @pytest.mark.parametrize("text", ["a b c", "x y", "x", "a a a a a a"])
 def test_print_of_short_texts(text):
     assert simhash._simhash(text, 3) % (1 << 64) == brute_print(text)
+
+
+def test_what_grows_with_the_fingerprints_is_not_broadcast(spark, monkeypatch):
+    """Places are many times the fingerprints they are of, and files of ids far smaller than the ids."""
+    prints = spark.range(2000).selectExpr("xxhash64(id) as print")
+    plan = simhash.links(prints)._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and "SortMergeJoin" in plan
+
+    docs = spark.createDataFrame([(i, f"w{i % 7} x y z", "", "") for i in range(50)], SCHEMA)
+    plan = simhash.near_duplicates(docs)._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and "SortMergeJoin" in plan
+
+    links = spark.range(1, 10).selectExpr("id + 1 as high", "id as low")
+    for star in (_large_star, _small_star):
+        assert "BroadcastHashJoin" in star(links, False)._jdf.queryExecution().executedPlan().toString()
+        assert "Broadcast" not in star(links, True)._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr("sitewind.llm.components.MANY", 1)
+    assert sorted(map(tuple, components(links).collect())) == [(i, 1) for i in range(1, 11)]
