@@ -115,7 +115,7 @@ def one_of_each(docs: DataFrame, length: int = 3) -> DataFrame:
     prints = held.select(F.col(f"_{names.index('doc_id')}").alias("doc_id"), "row", "print")
     found = components(links(prints.select("print").distinct())).withColumnRenamed("node", "print")
     labels = staged(found, "labels")
-    labelled = prints.join(labels, "print", "left").withColumn("component", F.coalesce("component", "print"))
+    labelled = prints.join(labels.hint("merge"), "print", "left").withColumn("component", F.coalesce("component", "print"))
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row"))
     kept = staged(labelled.groupBy("component").agg(first.alias("first")).select("first.row"), "kept")
     # Always shuffled: the texts are moved once, by even row numbers, however many groups there are.

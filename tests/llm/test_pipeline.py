@@ -2,6 +2,7 @@ import hashlib
 
 import corpus_pipeline as P
 from sitewind.llm import simhash
+from sitewind.llm.common import staged
 from test_lines import brute as brute_lines
 from test_quality import brute_kept
 from test_simhash import brute_components, brute_print
@@ -50,6 +51,23 @@ def test_one_of_equal_rows_stays(spark):
     assert sorted(r.row for r in got) == ["a", "c", "e"]
 
 
+def test_near_duplicates_broadcast_nothing(spark, monkeypatch):
+    """Neither places of fingerprints nor labels: both grow with the documents."""
+    plans = []
+
+    def planned(df, name, by=None):
+        plans.append((name, df._jdf.queryExecution().executedPlan().toString()))
+        return staged(df, name, by)
+
+    monkeypatch.setattr(simhash, "staged", planned)
+    monkeypatch.setattr("sitewind.llm.components.staged", planned)
+    docs = spark.createDataFrame([(i, f"w{i % 7} x y z") for i in range(50)], "doc_id bigint, text string")
+    assert simhash.one_of_each(docs).count() == 7
+    places, kept = (next(plan for name, plan in plans if name == n) for n in ("links", "kept"))
+    for plan in (places, kept):
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id bigint, text string, lang string, source string, n_chars bigint")
     for _, stage in P.STAGES:
