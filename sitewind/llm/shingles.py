@@ -11,6 +11,7 @@ ask groups that are wholly of its component.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitewind.llm.common import documents, staged, tasks
+from sitewind.llm.common import documents, shuffles_released, staged, tasks
 from sitewind.llm.components import components
 from sitewind.llm.parts import ANSWER, PACKET, by_part, keyed, look_up, packets, unpacked
 
@@ -34,6 +35,8 @@ GROUP_TOKENS = 1 << 16
 #: of which the bucket's number holds 8.
 BUCKET_TOKENS = 1 << 19
 _WIDTH = 7
+#: Sizes of sets in one class differ by this factor at most, which is that of partners at PERCENT.
+SIZE_STEP = 1.1
 
 # Odd numbers, one per place of an n-gram: multiples of the golden ratio's fraction.
 _GOLDEN = 0x9E3779B97F4A7C15
@@ -243,22 +246,29 @@ def _sets(docs: DataFrame, length: int) -> DataFrame:
     return docs.select("text").mapInArrow(read, "digest binary, tokens binary")
 
 
-def grouped(members: DataFrame, key: Column) -> DataFrame:
+def size_class(n: Column) -> Column:
+    """A number that sets of about ``n`` tokens have in common."""
+    return F.floor(F.log(F.greatest(n, F.lit(1))) / math.log(SIZE_STEP)).cast("int")
+
+
+def grouped(members: DataFrame, key: Column, kind: Column | None = None) -> DataFrame:
     """``members`` (with n) with ``group``: rows of one key come together, in as many groups as their
-    tokens fill; keys with few tokens share groups."""
-    keyed_rows = members.withColumn("key", key)
-    sums = keyed_rows.groupBy("key").agg(F.sum("n").alias("tokens"))
-    # One number; a group of several keys is chosen among so many.
-    total = keyed_rows.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    few = max(1, -(-total // GROUP_TOKENS))
+    tokens fill; keys with few tokens share groups, those of one ``kind`` (an int) if there is one."""
+    keyed_rows = members.withColumns({"key": key, "kind": F.lit(0) if kind is None else kind})
+    sums = keyed_rows.groupBy("key", "kind").agg(F.sum("n").alias("tokens"))
+    # One number per kind, and few kinds; a group of several keys is chosen among so many.
+    totals = keyed_rows.groupBy("kind").agg(F.sum("n")).collect()
+    numbers = [F.lit(x) for kind, total in totals for x in (kind, max(1, -(-total // GROUP_TOKENS)))]
+    few = F.coalesce(F.create_map(*numbers)[F.col("kind")], F.lit(1)) if numbers else F.lit(1)
     large = sums.where(F.col("tokens") > GROUP_TOKENS).select(
-        "key", F.ceil(F.col("tokens") / GROUP_TOKENS).cast("int").alias("split")
+        "key", "kind", F.ceil(F.col("tokens") / GROUP_TOKENS).cast("int").alias("split")
     )
-    own = F.xxhash64("key", F.pmod(F.xxhash64("row"), F.col("split")))
+    own = F.xxhash64("key", "kind", F.pmod(F.xxhash64("row"), F.col("split")))
+    together = F.xxhash64("kind", F.pmod(F.xxhash64("key"), few))
     return (
-        keyed_rows.join(large, "key", "left")
-        .withColumn("group", F.when(F.col("split").isNull(), F.pmod(F.xxhash64("key"), F.lit(few))).otherwise(own))
-        .drop("key", "split")
+        keyed_rows.join(large, ["key", "kind"], "left")
+        .withColumn("group", F.when(F.col("split").isNull(), together).otherwise(own))
+        .drop("key", "kind", "split")
     )
 
 
@@ -366,10 +376,15 @@ def links(members: DataFrame, percent: int = PERCENT) -> DataFrame:
     known = within.union(middle_links)
 
     labels = _labelled(members.select("row", "n", first_token.alias("first")), known)
-    sizes = labels.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
+    # A set can only be linked with sets of about its size, so no others share its group: else short
+    # sets would ask most groups, and as many times as there are more groups be sent to them.
+    sizes = labels.groupBy("component").agg(F.count(F.lit(1)).alias("size"), F.avg("n").alias("about"))
     key = F.when(F.col("size") > 1, F.col("component")).otherwise(F.col("first"))
     labels = staged(
-        grouped(labels.join(sizes, "component"), key).select("row", "n", "component", "group"), "groups"
+        grouped(labels.join(sizes, "component"), key, size_class(F.col("about"))).select(
+            "row", "n", "component", "group"
+        ),
+        "groups",
     )
     whole = labels.groupBy("group").agg(
         F.min("n").alias("least"), F.max("n").alias("most"),
@@ -386,7 +401,7 @@ def links(members: DataFrame, percent: int = PERCENT) -> DataFrame:
         & (F.col("pure").isNull() | (F.col("pure") != F.col("component")))
     )
     candidates = staged(
-        asks.join(matrix, "token").where(met).select("row", "n", "component", "group").distinct(), "candidates"
+        asks.join(matrix.hint("merge"), "token").where(met).select("row", "n", "component", "group").distinct(), "candidates"
     )
     # Groups that many sets ask are opened several times, for some of them each.
     shares = candidates.groupBy("group").agg(
@@ -410,14 +425,8 @@ def links(members: DataFrame, percent: int = PERCENT) -> DataFrame:
     return staged(known.union(found), "links")
 
 
-def joined(docs: DataFrame, length: int = LENGTH, percent: int = PERCENT) -> DataFrame:
-    """One row (doc_id, n, component_id) per row of ``docs`` (doc_id, text; others aren't read).
-
-    ``n`` is the number of distinct n-grams, ``component_id`` the smallest doc_id that links lead to:
-    two documents are linked if of the n-grams of either, ``percent`` in a hundred are in both. Null
-    texts and those without words have no n-grams and no links. Null ids count as none; rows that
-    repeat come as often. N-grams are told apart by 64-bit names, equal sets by 128-bit digests.
-    """
+def _named(docs: DataFrame, length: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The staged ``prefixes`` of documents, and (digest, component_id) of their distinct sets."""
     rows = staged(prefixes(docs, length, percent), "prefixes")
     found = staged(live(rows, percent), "live")
     first = found.groupBy("digest").agg(F.min("row").alias("row"))
@@ -440,6 +449,19 @@ def joined(docs: DataFrame, length: int = LENGTH, percent: int = PERCENT) -> Dat
         found.join(least, "component", "left").select("digest", F.coalesce("component_id", "least").alias("component_id")),
         "named",
     )
+    return rows, named
+
+
+def joined(docs: DataFrame, length: int = LENGTH, percent: int = PERCENT) -> DataFrame:
+    """One row (doc_id, n, component_id) per row of ``docs`` (doc_id, text; others aren't read).
+
+    ``n`` is the number of distinct n-grams, ``component_id`` the smallest doc_id that links lead to:
+    two documents are linked if of the n-grams of either, ``percent`` in a hundred are in both. Null
+    texts and those without words have no n-grams and no links. Null ids count as none; rows that
+    repeat come as often. N-grams are told apart by 64-bit names, equal sets by 128-bit digests.
+    """
+    with shuffles_released(docs.sparkSession):
+        rows, named = _named(docs, length, percent)
     return rows.select("doc_id", "n", "digest").join(named, "digest", "left").select(
         "doc_id", "n", F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")
     )

@@ -1,4 +1,6 @@
 import random
+import time
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -7,6 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from sitewind.llm import shingles
+from sitewind.llm.common import staged
 
 SCHEMA = "doc_id bigint, text string, row string, digest string, component string, n string"
 
@@ -88,6 +91,44 @@ def test_one_family_whose_members_are_linked_through_few(spark, monkeypatch):
     assert sorted(map(tuple, shingles.joined(frame(spark, some)).collect()), key=str) == brute(some)
 
 
+def test_sets_meet_groups_of_about_their_size_only(spark, monkeypatch):
+    """However many other groups there are: what a set is sent to must not grow with them."""
+    monkeypatch.setattr(shingles, "GROUP_TOKENS", 300)
+    tables = {}
+
+    def kept(df, name, by=None):
+        tables[name] = staged(df, name, by)
+        return tables[name]
+
+    monkeypatch.setattr(shingles, "staged", kept)
+    some = rows(4, 40)
+    assert sorted(map(tuple, shingles.joined(frame(spark, some)).collect()), key=str) == brute(some)
+    members = [r.asDict() for r in tables["groups"].collect()]
+    in_component = Counter(r["component"] for r in members)
+    sizes = {}
+    for r in members:
+        if in_component[r["component"]] == 1:
+            sizes.setdefault(r["group"], []).append(r["n"])
+    assert any(len(n) > 1 for n in sizes.values())
+    assert all(max(n) <= min(n) * shingles.SIZE_STEP + 1 for n in sizes.values())
+
+
+def test_steps_leave_no_shuffle_files(spark):
+    def files():
+        found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {f for f in found.mkString(" ").split() if "/shuffle_" in f}
+
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    setting, before = spark.conf.get(name, None), files()
+    found = shingles.joined(frame(spark, rows(5, 5)))
+    end = time.time() + 30
+    while files() - before and time.time() < end:
+        time.sleep(0.2)
+    assert not files() - before
+    assert spark.conf.get(name, None) == setting
+    assert found.count() == len(rows(5, 5))
+
+
 def test_given_documents_and_an_empty_table(spark):
     some = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()]
     got = shingles.op11_ngram_jaccard(spark, "/root/testdata/sf0.001")
